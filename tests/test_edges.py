@@ -98,3 +98,14 @@ def test_long_rule_list_uses_fold(spark):
     rules = [Rule(0, 97, 97, 256, 0)] + [Rule(i, 300 + i, 301 + i, 1000 + i, 0) for i in range(1, 260)]
     assert _one(spark, encode_ids("t", rules), "aaaaa") == [256, 256, 97]
     assert _one(spark, apply_rules(F.lit("aaaa"), rules), "") == id_to_char(256) * 2
+
+
+def test_text_holding_the_barrier_character(spark):
+    from tokenledger.functions.vocab import BARRIER
+    vin = spark.createDataFrame([(0, 0, "ab", "X")], VOCAB_IN_SCHEMA)
+    rules = [Rule(0, 99, 100, 400, 0)]
+    bolt = BoltOn.from_vocab(build_vocab(vin, 500), rules)
+    text = "xab" + BARRIER + "cdab"
+    assert _one(spark, bolt.ids("t"), text) == [120, 500, 244, 143, 191, 189, 400, 500]
+    assert _one(spark, bolt.token_count("t"), text) == 8
+    assert _one(spark, bolt.token_count("t"), "xabcdab") == 4

@@ -46,6 +46,31 @@ def flat_pattern(terms: Iterable[str]) -> str:
     return "|".join("".join(escape_char(c) for c in t) for t in uniq)
 
 
+# Nodes with more children than this dispatch on character ranges first.
+DISPATCH_FANOUT = 8
+
+
+def _alternation(branches: list[tuple[str, str]]) -> str:
+    """Alternation of ``(first char, branch pattern)`` sorted by first char.
+
+    Java's engine tries alternatives one by one, so a flat list costs one
+    test per branch at every text position.  Wide nodes are split into a
+    balanced tree of range lookaheads: a position costs about
+    ``log2(branches)`` range tests plus a handful of branch tests, and only
+    the branch whose first character matches can succeed -- the semantics
+    (and so the longest match) are unchanged.
+    """
+    if len(branches) <= DISPATCH_FANOUT:
+        pats = [p for _, p in branches]
+        return pats[0] if len(pats) == 1 else "(?:" + "|".join(pats) + ")"
+    mid = len(branches) // 2
+    lo, hi = branches[0][0], branches[mid - 1][0]
+    rng = f"[{escape_char(lo)}-{escape_char(hi)}]" if lo != hi else f"[{escape_char(lo)}]"
+    left = _alternation(branches[:mid])
+    right = _alternation(branches[mid:])
+    return f"(?:(?={rng}){left}|(?!{rng}){right})"
+
+
 def trie_pattern(terms: Iterable[str]) -> str:
     """Prefix-factored alternation with longest-match semantics."""
     root: dict = {}
@@ -59,10 +84,9 @@ def trie_pattern(terms: Iterable[str]) -> str:
 
     def emit(node: dict) -> str:
         kids = sorted(k for k in node if k != _END)
-        alts = [escape_char(k) + emit(node[k]) for k in kids]
-        if not alts:
+        if not kids:
             return ""
-        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        body = _alternation([(k, escape_char(k) + emit(node[k])) for k in kids])
         if node.get(_END):
             return "(?:" + body + ")?"
         return body
@@ -81,10 +105,30 @@ def vocab_runs(text: Column | str, pattern: str) -> Column:
     return F.split(_col(text), pattern, -1)
 
 
+# Spark's ``split`` hands the pattern to ``String.split``, which compiles it
+# for every row; ``regexp_replace``/``regexp_extract_all`` compile a literal
+# pattern once.  The fast path therefore marks every match with the barrier
+# character, byte-expands, and turns the barrier's four bytes back into one
+# barrier token -- UTF-8 is self-synchronising, so those bytes can only come
+# from a barrier.  A text that already contains the barrier character takes
+# the exact ``split`` path instead.
+BARRIER_BYTES = "".join(chr(b) for b in BARRIER.encode("utf-8"))
+
+
+def _has_barrier(text: Column) -> Column:
+    return F.instr(text, BARRIER) > 0
+
+
+def _marked_bytes(text: Column, pattern: str) -> Column:
+    marked = F.regexp_replace(text, F.lit(pattern), F.lit(BARRIER))
+    return F.replace(utf8_byte_string(marked), F.lit(BARRIER_BYTES), F.lit(BARRIER))
+
+
 def bolt_token_string_counting(text: Column | str, pattern: str, rules) -> Column:
     """Bolt-on encode with every match as the barrier character (for counts)."""
-    runs = F.transform(vocab_runs(text, pattern), lambda r: utf8_byte_string(r))
-    return apply_rules(F.array_join(runs, BARRIER), rules)
+    t = _col(text)
+    slow = F.array_join(F.transform(vocab_runs(t, pattern), lambda r: utf8_byte_string(r)), BARRIER)
+    return apply_rules(F.when(_has_barrier(t), slow).otherwise(_marked_bytes(t, pattern)), rules)
 
 
 def bolt_token_count(text: Column | str, pattern: str, rules) -> Column:
@@ -106,9 +150,12 @@ def bolt_token_string(text: Column | str, pattern: str, entries: Sequence[tuple[
 
     Vocabulary ids are above every rule id, so they also act as barriers.
     """
+    t = _col(text)
     m = vocab_id_map(entries)
-    runs = F.transform(vocab_runs(text, pattern), lambda r: utf8_byte_string(r))
-    ids = F.transform(vocab_matches(text, pattern), lambda t: F.element_at(m, t))
+    marked = F.regexp_replace(t, F.lit(pattern), F.lit(BARRIER))
+    runs = F.when(_has_barrier(t), vocab_runs(t, pattern)).otherwise(F.split(marked, BARRIER, -1))
+    runs = F.transform(runs, lambda r: utf8_byte_string(r))
+    ids = F.transform(vocab_matches(t, pattern), lambda x: F.element_at(m, x))
     joined = F.array_join(F.zip_with(runs, ids, lambda r, i: F.concat(r, F.coalesce(i, F.lit("")))), "")
     return apply_rules(joined, rules)
 
