@@ -123,3 +123,13 @@ def test_select_batch_rules():
     # a complete list may be taken whole; remaining caps it
     assert select_batch([c(1, 2, 9), c(3, 4, 9)], 10, True) == [c(1, 2, 9), c(3, 4, 9)]
     assert select_batch([c(1, 2, 9), c(3, 4, 8)], 1, True) == [c(1, 2, 9)]
+
+
+def test_rank_fallback_for_unpackable_first_keys(spark):
+    # document ordinals too large to pack force the distributed dense rank
+    texts = [("abab aab ba", 1), ("cab abab aab", 2), ("ba ba cab", 1)]
+    big = [(1 << 60) - 7, (1 << 60) - 5, (1 << 61)]
+    df = spark.createDataFrame([("s", 0, big[i], w, t) for i, (t, w) in enumerate(texts)],
+                               CORPUS_SCHEMA)
+    got = train_bpe(word_table(df, ["source_ord", "doc_ord"]), 8).rules
+    assert [(r.left, r.right, r.new_id, r.n) for r in got] == checker.train(texts, 8)

@@ -27,13 +27,15 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenledger.functions.tokens import apply_rules, char_to_id
 from tokenledger.operators.pairs import pair_counts, top_pairs
-from tokenledger.operators.words import rank_words
+from tokenledger.operators.words import first_key
 from tokenledger.session import drop_scratch, ensure_checkpoint_dir, materialize
 
 RULES_SCHEMA = T.StructType([
@@ -128,17 +130,17 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     ensure_checkpoint_dir(spark)
 
     t_setup = time.perf_counter()
-    ranked_words, max_len, scratch = rank_words(words.select("tok", "freq", "first"))
-    shift = max(1, int(max_len).bit_length())
+    keyed, shift, max_len, scratch = first_key(
+        words.select("tok", "freq", "first").where(F.char_length("tok") >= 2))
     if shift > 30:
         raise ValueError(f"a word of {max_len} tokens is too long to rank positions")
-    base = ranked_words.select("tok", "freq", F.col("wrank").alias("first")).where(
-        F.char_length("tok") >= 2)
-    # The distinct-word table is small next to the corpus; give every core a
-    # share of it (AQE would otherwise coalesce it into a couple of tasks).
-    base, p0 = materialize(base.repartition(max(spark.sparkContext.defaultParallelism, 1)),
-                           "train-words")
-    scratch.append(p0)
+    # The written word table is spread over every core (the distinct-word
+    # table is small next to the corpus; AQE would otherwise coalesce it into
+    # a couple of tasks) and kept in memory for the steps; a lost block is
+    # re-read from the files, not recomputed from the corpus.
+    base = keyed.select("tok", "freq", F.col("wkey").alias("first")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    cached = [base]
     result.setup_seconds = time.perf_counter() - t_setup
     # Each step reads the last written working set and re-applies the rules
     # learned since (a narrow projection); every ``checkpoint_every`` steps
@@ -176,10 +178,14 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                     base.select(apply_rules("tok", pending).alias("tok"), "freq", "first")
                     .where(F.char_length("tok") >= 2), "train-words")
                 scratch.append(p)
+                base = base.persist(StorageLevel.MEMORY_AND_DISK)
+                cached.append(base)
                 pending = []
                 since_ckpt = 0
             result.step_seconds.append(round(time.perf_counter() - t_step, 3))
     finally:
+        for c in cached:
+            c.unpersist()
         for p in scratch:
             drop_scratch(spark, p)
     return result
