@@ -15,11 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenledger.functions.text import byte_length, utf8_bytes, word_count, words
-from tokenledger.functions.tokens import (apply_rules, encode_token_string, token_count,
-                                          token_label, token_string_ids)
+from tokenledger.functions.tokens import (apply_rules, char_to_id, token_count, token_label,
+                                          token_string_ids)
 from tokenledger.operators import encode as enc
 from tokenledger.operators.pairs import pair_counts, pair_ids, ranked_pairs
-from tokenledger.operators.train import Rule, train_bpe
+from tokenledger.operators.train import Rule, compression, train_bpe
 from tokenledger.operators.vocab import BoltOn, build_vocab, vocab_added
 from tokenledger.operators.words import word_freq, word_table
 from tokenledger.plans import reports
@@ -185,7 +185,6 @@ def q_merge_step(spark: SparkSession, sf: str) -> DataFrame:
     rules = []
     if best and best[0]["n"] >= 2:
         p = best[0]["pair"]
-        from tokenledger.functions.tokens import char_to_id
         rules = [Rule(0, char_to_id(p[0]), char_to_id(p[1]), 256, best[0]["n"])]
     return wt.select("word", "freq", _long(F.char_length("tok")).alias("tokens_before"),
                      _long(F.char_length(apply_rules("tok", rules))).alias("tokens_after"))
@@ -207,7 +206,6 @@ def q_rules_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_train_compression(spark: SparkSession, sf: str) -> DataFrame:
     """A4: corpus tokens before and after training."""
-    from tokenledger.operators.train import compression
     rules = trained_rules(spark, sf, None)
     return compression(_doc_word_table(spark, sf), rules)
 

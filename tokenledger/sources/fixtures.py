@@ -171,8 +171,11 @@ VOCAB_IN_SCHEMA = T.StructType([
 
 def reference_corpus_mix(spark: SparkSession, mix: str) -> DataFrame:
     """One of the reference training mixes as ``(source, source_ord, doc_ord, weight, text)``."""
-    rows = [(src, i, 0, w, CORPORA[src]) for i, (src, w) in enumerate(CORPUS_MIXES[mix])]
-    return spark.createDataFrame(rows, CORPUS_SCHEMA)
+    from tokenledger.sources.tables import union_corpora
+
+    parts = [(src, spark.createDataFrame([(CORPORA[src],)], "text string"), w)
+             for src, w in CORPUS_MIXES[mix]]
+    return union_corpora(parts)
 
 
 def parallel_sentences(spark: SparkSession) -> DataFrame:

@@ -75,6 +75,24 @@ def documents_corpus(spark: SparkSession, sf_dir: str,
                     "text")
 
 
+def union_corpora(parts: Sequence[tuple[str, DataFrame, int]], text: str = "text",
+                  doc_ord: str | None = None) -> DataFrame:
+    """Concatenate corpora in order: ``[(source, frame, weight), ...]``.
+
+    Each part gets its position as ``source_ord`` (so the first occurrence of
+    a word is looked up in corpus order), its weight, and ``doc_ord`` from the
+    given column (0 when the part is a single text).
+    """
+    out = None
+    for i, (source, frame, weight) in enumerate(parts):
+        part = frame.select(F.lit(source).alias("source"), F.lit(i).alias("source_ord"),
+                            (F.col(doc_ord).cast("bigint") if doc_ord else F.lit(0).cast("bigint"))
+                            .alias("doc_ord"),
+                            F.lit(int(weight)).cast("bigint").alias("weight"), F.col(text).alias("text"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # Mixes over the driver's documents, shaped like the reference experiments:
 # an English-heavy mix (3 x English + 1 x French) and balanced mixes
 # (1 x English + 10 x the other language).
