@@ -109,3 +109,16 @@ def test_text_holding_the_barrier_character(spark):
     assert _one(spark, bolt.ids("t"), text) == [120, 500, 244, 143, 191, 189, 400, 500]
     assert _one(spark, bolt.token_count("t"), text) == 8
     assert _one(spark, bolt.token_count("t"), "xabcdab") == 4
+
+
+def test_rules_parquet_round_trip(spark):
+    from tokenledger.operators.train import rules_df
+    from tokenledger.session import drop_scratch, scratch_path
+    from tokenledger.sources.rules import read_rules, reference_rules, write_rules
+    rules = reference_rules("balanced_zh")
+    path = scratch_path(spark, "rules-io")
+    write_rules(rules_df(spark, rules), path)
+    try:
+        assert read_rules(spark, path) == rules
+    finally:
+        drop_scratch(spark, path)

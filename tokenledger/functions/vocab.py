@@ -95,6 +95,36 @@ def trie_pattern(terms: Iterable[str]) -> str:
     return pat if pat else "(?!)"
 
 
+# Entries whose first character is below this are "Latin"; the rest are
+# guarded by a coarse class of the Unicode pages their first characters use.
+LATIN_LIMIT = 0x0250
+
+
+def split_by_script(terms: Iterable[str]) -> tuple[list[str], list[str]]:
+    latin, other = [], []
+    for t in terms:
+        if t:
+            (latin if ord(t[0]) < LATIN_LIMIT else other).append(t)
+    return latin, other
+
+
+def page_class(chars: Iterable[str]) -> str:
+    """A character class covering the 256-code-point pages of ``chars``.
+
+    Coarse on purpose: a handful of ranges is cheap to test at every
+    position, and a superset is all a guard needs.
+    """
+    pages = sorted({ord(c) >> 8 for c in chars})
+    ranges: list[list[int]] = []
+    for pg in pages:
+        if ranges and ranges[-1][1] == pg - 1:
+            ranges[-1][1] = pg
+        else:
+            ranges.append([pg, pg])
+    body = "".join(f"\\x{{{lo << 8:X}}}-\\x{{{(hi << 8) | 0xFF:X}}}" for lo, hi in ranges)
+    return "[" + body + "]"
+
+
 def vocab_matches(text: Column | str, pattern: str) -> Column:
     """Matched vocabulary entries in text order (``array<string>``)."""
     return F.regexp_extract_all(_col(text), F.lit(pattern), 0)

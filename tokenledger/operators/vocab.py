@@ -9,11 +9,13 @@ label stays), and ids are handed out consecutively from ``first_id``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenledger.functions import vocab as vf
+from tokenledger.functions.tokens import encode_token_string, token_count, token_string_ids
 
 # Vocabularies reach every task as a compiled regex and a literal map; this
 # bounds what we are willing to ship that way.
@@ -58,7 +60,14 @@ def vocab_added(vocab: DataFrame, vocab_in: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class BoltOn:
-    """A trained rule list plus a bolt-on vocabulary, ready to encode columns."""
+    """A trained rule list plus a bolt-on vocabulary, ready to encode columns.
+
+    An entry can only match in a text that contains its first character, so
+    each row first tests a coarse class of the pages used by the non-Latin
+    first characters (one cheap scan); rows without any of them run the much
+    smaller Latin-only pattern, or no regex at all.  The result is the same
+    as always running the full pattern.
+    """
 
     rules: tuple
     entries: tuple  # (term, token_id) in id order
@@ -74,21 +83,37 @@ class BoltOn:
             raise ValueError("bolt-on ids must start above every rule id")
         return BoltOn(tuple(rules), tuple((r["term"], int(r["token_id"])) for r in rows))
 
-    @property
+    @cached_property
     def pattern(self) -> str:
         return vf.trie_pattern(t for t, _ in self.entries)
 
+    @cached_property
+    def _split(self) -> tuple[str | None, str | None]:
+        latin, other = vf.split_by_script(t for t, _ in self.entries)
+        latin_pat = vf.trie_pattern(latin) if latin else None
+        guard = vf.page_class(t[0] for t in other) if other else None
+        return latin_pat, guard
+
+    def _guarded(self, text: Column | str, with_pattern, without_vocab: Column) -> Column:
+        t = F.col(text) if isinstance(text, str) else text
+        latin_pat, guard = self._split
+        if guard is None:
+            return with_pattern(self.pattern) if latin_pat else without_vocab
+        cheap = with_pattern(latin_pat) if latin_pat else without_vocab
+        return F.when(t.rlike(guard), with_pattern(self.pattern)).otherwise(cheap)
+
     def matches(self, text: Column | str) -> Column:
-        return vf.vocab_matches(text, self.pattern)
+        t = F.col(text) if isinstance(text, str) else text
+        none = F.when(t.isNotNull(), F.array().cast("array<string>"))
+        return self._guarded(t, lambda p: vf.vocab_matches(t, p), none)
 
     def token_count(self, text: Column | str) -> Column:
-        if not self.entries:
-            from tokenledger.functions.tokens import token_count
-            return token_count(text, self.rules)
-        return vf.bolt_token_count(text, self.pattern, self.rules)
+        return self._guarded(text, lambda p: vf.bolt_token_count(text, p, self.rules),
+                             token_count(text, self.rules))
 
     def token_string(self, text: Column | str) -> Column:
-        return vf.bolt_token_string(text, self.pattern, self.entries, self.rules)
+        return self._guarded(text, lambda p: vf.bolt_token_string(text, p, self.entries, self.rules),
+                             encode_token_string(text, self.rules))
 
     def ids(self, text: Column | str) -> Column:
-        return vf.bolt_ids(text, self.pattern, self.entries, self.rules)
+        return token_string_ids(self.token_string(text))
