@@ -92,7 +92,14 @@ def trie_pattern(terms: Iterable[str]) -> str:
         return body
 
     pat = emit(root)
-    return pat if pat else "(?!)"
+    if not pat:
+        return "(?!)"
+    # Every match starts with one of the root characters: test that first
+    # (a Latin-1 class is a constant-time bit test in Java's engine).
+    firsts = sorted(k for k in root if k != _END)
+    if len(firsts) > 1 and (all(ord(c) < 0x100 for c in firsts) or len(firsts) <= 64):
+        pat = "(?=[" + "".join(escape_char(c) for c in firsts) + "])" + pat
+    return pat
 
 
 # Entries whose first character is below this are "Latin"; the rest are
@@ -108,6 +115,10 @@ def split_by_script(terms: Iterable[str]) -> tuple[list[str], list[str]]:
     return latin, other
 
 
+# Pages closer than this are merged into one range of the guard class.
+GUARD_GAP_PAGES = 64
+
+
 def page_class(chars: Iterable[str]) -> str:
     """A character class covering the 256-code-point pages of ``chars``.
 
@@ -117,7 +128,7 @@ def page_class(chars: Iterable[str]) -> str:
     pages = sorted({ord(c) >> 8 for c in chars})
     ranges: list[list[int]] = []
     for pg in pages:
-        if ranges and ranges[-1][1] == pg - 1:
+        if ranges and pg - ranges[-1][1] <= GUARD_GAP_PAGES:
             ranges[-1][1] = pg
         else:
             ranges.append([pg, pg])

@@ -107,9 +107,11 @@ class BoltOn:
         none = F.when(t.isNotNull(), F.array().cast("array<string>"))
         return self._guarded(t, lambda p: vf.vocab_matches(t, p), none)
 
-    def token_count(self, text: Column | str) -> Column:
-        return self._guarded(text, lambda p: vf.bolt_token_count(text, p, self.rules),
-                             token_count(text, self.rules))
+    def token_count(self, text: Column | str, base_count: Column | None = None) -> Column:
+        """Bolt-on token count.  ``base_count`` may name an already computed
+        plain count of the same text; rows where no entry can match reuse it."""
+        plain = base_count if base_count is not None else token_count(text, self.rules)
+        return self._guarded(text, lambda p: vf.bolt_token_count(text, p, self.rules), plain)
 
     def token_string(self, text: Column | str) -> Column:
         return self._guarded(text, lambda p: vf.bolt_token_string(text, p, self.entries, self.rules),

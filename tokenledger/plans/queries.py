@@ -366,10 +366,13 @@ def q_bolt_ids(spark: SparkSession, sf: str) -> DataFrame:
 def q_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
     """K8: tokens per language for the base tokenizer and each bolt-on variant."""
     d = _docs(spark, sf, ("lang", "text"))
-    cols = [_long(token_count("text", base_rules())).alias("base")]
+    # The base count is computed once; a variant reuses it on rows where
+    # none of its entries can occur (e.g. CJK entries on Latin text).
+    based = d.select("lang", "text", _long(token_count("text", base_rules())).alias("base"))
+    cols = [F.col("base")]
     for variant, labels in fx.VOCAB_VARIANTS.items():
-        cols.append(_long(_bolt(spark, labels).token_count("text")).alias(variant))
-    per = d.select("lang", *cols).groupBy("lang").agg(*[F.sum(v).alias(v) for v in VARIANTS])
+        cols.append(_long(_bolt(spark, labels).token_count("text", F.col("base"))).alias(variant))
+    per = based.select("lang", *cols).groupBy("lang").agg(*[F.sum(v).alias(v) for v in VARIANTS])
     stack = ", ".join(f"'{v}', `{v}`" for v in VARIANTS)
     return per.selectExpr("lang", f"stack({len(VARIANTS)}, {stack}) as (variant, tokens)").select(
         "variant", "lang", _long("tokens").alias("tokens"))
