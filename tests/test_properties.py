@@ -111,25 +111,54 @@ def test_weights_equal_replication(spark):
 
 def test_select_batch_rules():
     c = Candidate
-    # disjoint pairs with strictly falling counts are batched
-    assert select_batch([c(1, 2, 9), c(3, 4, 8), c(5, 6, 7), c(1, 9, 1)], 10, False) == \
+    # pairs that share no token, strictly falling counts: one batch
+    assert select_batch([c(1, 2, 9), c(3, 4, 8), c(5, 6, 7), c(9, 1, 1)], 10, False) == \
         [c(1, 2, 9), c(3, 4, 8), c(5, 6, 7)]
-    # a tie at the cut forces a step back
-    assert select_batch([c(1, 2, 9), c(3, 4, 8), c(2, 7, 8)], 10, False) == [c(1, 2, 9)]
-    # a self-pair first goes alone
+    # same-side sharing is allowed: (1,2) and (1,4) cannot take each other's tokens
+    assert select_batch([c(1, 2, 9), c(1, 4, 8), c(3, 2, 7), c(8, 9, 1)], 10, False) == \
+        [c(1, 2, 9), c(1, 4, 8), c(3, 2, 7)]
+    # opposite-side sharing ends the prefix; a generator tying the last count cuts back
+    assert select_batch([c(1, 2, 9), c(3, 4, 8), c(4, 7, 8)], 10, False) == [c(1, 2, 9)]
+    assert select_batch([c(1, 2, 9), c(3, 4, 8), c(2, 7, 5), c(8, 9, 1)], 10, False) == \
+        [c(1, 2, 9), c(3, 4, 8)]
+    # a self-pair first goes alone; later it ends the prefix
     assert select_batch([c(1, 1, 9), c(3, 4, 8), c(5, 6, 1)], 10, True) == [c(1, 1, 9)]
-    # a self-pair later ends the prefix
     assert select_batch([c(1, 2, 9), c(3, 3, 8), c(5, 6, 1)], 10, True) == [c(1, 2, 9)]
-    # a complete list may be taken whole; remaining caps it
+    # unknown pairs beyond a partial list bound the batch; a complete list does not
+    assert select_batch([c(1, 2, 9), c(3, 4, 9)], 10, False) == [c(1, 2, 9)]
     assert select_batch([c(1, 2, 9), c(3, 4, 9)], 10, True) == [c(1, 2, 9), c(3, 4, 9)]
     assert select_batch([c(1, 2, 9), c(3, 4, 8)], 1, True) == [c(1, 2, 9)]
 
 
-def test_rank_fallback_for_unpackable_first_keys(spark):
-    # document ordinals too large to pack force the distributed dense rank
-    texts = [("abab aab ba", 1), ("cab abab aab", 2), ("ba ba cab", 1)]
-    big = [(1 << 60) - 7, (1 << 60) - 5, (1 << 61)]
-    df = spark.createDataFrame([("s", 0, big[i], w, t) for i, (t, w) in enumerate(texts)],
-                               CORPUS_SCHEMA)
-    got = train_bpe(word_table(df, ["source_ord", "doc_ord"]), 8).rules
-    assert [(r.left, r.right, r.new_id, r.n) for r in got] == checker.train(texts, 8)
+def _python_batched(corpus, num_merges, fetch):
+    """The batching rule driven by exact Python counts (no Spark)."""
+    seqs = [(list(w.encode("utf-8")), wt) for text, wt in corpus for w in text.split()]
+    rules, new = [], 256
+    while len(rules) < num_merges:
+        counts, first = {}, {}
+        for wi, (seq, wt) in enumerate(seqs):
+            for i, p in enumerate(zip(seq, seq[1:])):
+                counts[p] = counts.get(p, 0) + wt
+                first.setdefault(p, (wi, i))
+        ranked = sorted((p for p in counts if counts[p] >= 2), key=lambda p: (-counts[p], first[p]))
+        if not ranked:
+            break
+        top = [Candidate(a, b, counts[(a, b)]) for a, b in ranked[:fetch]]
+        batch = select_batch(top, num_merges - len(rules), complete=len(ranked) <= fetch)
+        for cand in batch:
+            seqs = [(checker.merge(seq, cand.left, cand.right, new), wt) for seq, wt in seqs]
+            rules.append((cand.left, cand.right, new, cand.n))
+            new += 1
+    return rules
+
+
+def test_batching_rule_equals_one_by_one_on_many_corpora():
+    rng = random.Random(11)
+    pieces = ["ab", "ba", "abab", "aab", "abb", "bba", "cab", "abc", "aaaa", "bbb", "ca", "ac",
+              "xyz", "zyx", "\u65e5\u672c", "\u00e9t\u00e9"]
+    for trial in range(400):
+        corpus = [(" ".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))), rng.randint(1, 4))
+                  for _ in range(rng.randint(1, 4))]
+        merges = rng.randint(1, 25)
+        fetch = rng.choice([2, 3, 4, 8, 64])
+        assert _python_batched(corpus, merges, fetch) == checker.train(corpus, merges), (trial, corpus)

@@ -8,14 +8,9 @@ word table, so the working set never leaves the executors.
 Exact batching
 --------------
 One merge per job is slow when job overhead dominates.  From the ranked
-list (count desc, first occurrence asc) we take the longest prefix in which
-no pair shares a token with an earlier one (and no pair after the first is
-a self-pair; a self-pair first goes alone), then cut it back until the last
-taken pair's count is strictly above the next pair's.  Merging disjoint
-pairs does not change each other's counts or relative order, existing
-counts can only fall, and any pair a merge creates is bounded by a
-conflicting pair that ranks below the batch -- so one-by-one training would
-pick exactly this batch, in this order.
+list (count desc, first occurrence asc) we take several merges per job when
+one-by-one training would provably pick exactly those, in that order (see
+``select_batch`` for the argument).
 
 Fault tolerance: the working set is cached between steps and reliably
 checkpointed (``spark.checkpoint.dir``) every few steps, so a lost executor
@@ -88,26 +83,45 @@ def rules_df(spark: SparkSession, rules: list[Rule]) -> DataFrame:
 def select_batch(ranked: list[Candidate], remaining: int, complete: bool) -> list[Candidate]:
     """Longest exact batch from the head of a ranked candidate list.
 
-    ``complete`` says the list holds every candidate (nothing ranks after
-    its last element).
+    ``complete`` says the list holds every candidate with enough count
+    (nothing unknown ranks above the minimum count).
+
+    Merging ``(a, b)`` only consumes a token that sits next to its partner,
+    so it can destroy occurrences of ``(b, y)`` and ``(x, a)`` (the shared
+    token on the opposite side) but never of ``(a, y)`` or ``(x, b)``: a
+    token has one right and one left neighbour.  The batch is the ranked
+    prefix without opposite-side sharing (and without self-pairs after the
+    first; a self-pair first goes alone).  Counts inside it do not move and
+    neither does their relative order; pairs outside it can only lose
+    occurrences.  New pairs ``(x, N)``, ``(N, y)``, ``(N, M)`` cost an
+    occurrence of ``(x, a)``, ``(b, y)`` or ``(b, c)``, so their count is at
+    most that of an opposite-side ("generator") pair.  The batch is cut back
+    until its last count is strictly above every generator's -- then
+    one-by-one training picks exactly these pairs, in this order.
     """
     if not ranked or remaining <= 0:
         return []
     head = ranked[0]
     batch = [head]
     if head.left != head.right:
-        used = {head.left, head.right}
+        lefts, rights = {head.left}, {head.right}
         for c in ranked[1:]:
-            if c.left == c.right or c.left in used or c.right in used:
+            if c.left == c.right or c.left in rights or c.right in lefts:
                 break
             batch.append(c)
-            used.update((c.left, c.right))
+            lefts.add(c.left)
+            rights.add(c.right)
+    # Pairs beyond a partial list may be generators with up to its last count.
+    unknown = 0 if complete else ranked[-1].n
     k = len(batch)
     while k > 1:
-        if k < len(ranked):
-            if batch[k - 1].n > ranked[k].n:
-                break
-        elif complete:
+        taken = batch[:k]
+        lefts = {c.left for c in taken}
+        rights = {c.right for c in taken}
+        members = set(taken)
+        gen = max((c.n for c in ranked
+                   if c not in members and (c.right in lefts or c.left in rights)), default=0)
+        if taken[-1].n > max(gen, unknown):
             break
         k -= 1
     return batch[:min(k, remaining)]
