@@ -71,13 +71,21 @@ def validate_rules(rules) -> list[tuple[int, int, int]]:
     return triples
 
 
-def apply_rules(tok: Column | str, rules) -> Column:
-    """Fold the merge rules, in rank order, over a token-string column."""
+def apply_rules(tok: Column | str, rules, pad_to: int | None = None) -> Column:
+    """Fold the merge rules, in rank order, over a token-string column.
+
+    ``pad_to`` appends no-op steps (``replace`` with an empty search string
+    returns at once) up to that many, so chains of different lengths share
+    one generated-code shape and the compiled code is reused from Spark's
+    cache.
+    """
     triples = validate_rules(rules)
     c = _col(tok)
     if len(triples) <= NESTED_REPLACE_LIMIT:
         for left, right, new in triples:
             c = F.replace(c, F.lit(id_to_char(left) + id_to_char(right)), F.lit(id_to_char(new)))
+        for _ in range(max(0, (pad_to or 0) - len(triples))):
+            c = F.replace(c, F.lit(""), F.lit(""))
         return c
     pairs = F.array(*[F.lit(id_to_char(l) + id_to_char(r)) for l, r, _ in triples])
     news = F.array(*[F.lit(id_to_char(n)) for _, _, n in triples])

@@ -22,28 +22,36 @@ def _pairs_of(tok: Column) -> Column:
 
 
 def explode_pairs(words: DataFrame, tok: str, carry: dict[str, Column],
-                  max_len: int | None = None) -> DataFrame:
+                  max_len: int | None = None, route_len: str | None = None) -> DataFrame:
     """``(*carry, _i, pair)`` for every adjacent pair; ``_i`` is 0-based.
 
-    ``max_len``, when known, is an upper bound of the token-string length;
-    if no word is long, the linear branch (and its second scan) is left out.
+    ``max_len``, when known, bounds the token-string length; if no word is
+    long, the linear branch (and its second scan) is left out.
+    ``route_len`` names a stored upper bound of each row's length (its length
+    before the latest merges): routing on it keeps the filter from being
+    pushed below a projection that computes ``tok``, so a ``replace`` chain
+    feeding ``tok`` runs once per row.
     """
-    n = F.char_length(tok)
+    n = F.char_length("_t")
     cols = [c.alias(k) for k, c in carry.items()]
     names = list(carry)
-    short = (words.where((n >= 2) & (n <= SHORT_WORD))
-             .select(*cols, F.col(tok).alias("_t"), F.explode(F.sequence(F.lit(0), n - 2)).alias("_i"))
+    route = F.col(route_len) if route_len else F.char_length(tok)
+    short = (words.where(route <= SHORT_WORD)
+             .select(*cols, F.col(tok).alias("_t"))
+             .select(*names, "_t", F.explode(F.when(n >= 2, F.sequence(F.lit(0), n - 2))).alias("_i"))
              .select(*names, "_i", F.substring(F.col("_t"), F.col("_i") + 1, 2).alias("pair")))
     if max_len is not None and max_len <= SHORT_WORD:
         return short
-    long_ = (words.where(n > SHORT_WORD)
-             .select(*cols, F.posexplode(_pairs_of(F.col(tok))).alias("_i", "pair")))
+    long_ = (words.where(route > SHORT_WORD)
+             .select(*cols, F.col(tok).alias("_t"))
+             .where(n >= 2)
+             .select(*names, F.posexplode(_pairs_of(F.col("_t"))).alias("_i", "pair")))
     return short.unionByName(long_)
 
 
 def pair_counts(words: DataFrame, tok: str = "tok", freq: str = "freq",
                 first: str | None = "first", shift: int | None = None,
-                max_len: int | None = None) -> DataFrame:
+                max_len: int | None = None, route_len: str | None = None) -> DataFrame:
     """Count every adjacent pair, weighted by ``freq``.
 
     Returns ``(pair string, n bigint[, first])`` where ``pair`` is the
@@ -56,7 +64,8 @@ def pair_counts(words: DataFrame, tok: str = "tok", freq: str = "freq",
     keeps the aggregation on the fast fixed-width hash path.
     """
     if first is not None and shift is not None:
-        ex = explode_pairs(words, tok, {"_f": F.col(freq), "_o": F.col(first)}, max_len)
+        ex = explode_pairs(words, tok, {"_f": F.col(freq), "_o": F.col(first)}, max_len,
+                           route_len)
         key = F.shiftleft(F.col("_o"), shift) + F.col("_i")
         return ex.groupBy("pair").agg(F.sum("_f").alias("n"), F.min(key).alias("first"))
     if first is not None:

@@ -127,6 +127,15 @@ def select_batch(ranked: list[Candidate], remaining: int, complete: bool) -> lis
     return batch[:min(k, remaining)]
 
 
+# Pending-rule chains are padded to a multiple of this, so steps reuse a few
+# compiled code shapes instead of compiling a new one every job.
+CHAIN_BUCKET = 4
+
+
+def _padded(n: int) -> int:
+    return -(-n // CHAIN_BUCKET) * CHAIN_BUCKET
+
+
 def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
               batched: bool = True, fetch: int = 64, checkpoint_every: int = 8,
               min_count: int = 2) -> TrainResult:
@@ -152,8 +161,8 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     # table is small next to the corpus; AQE would otherwise coalesce it into
     # a couple of tasks) and kept in memory for the steps; a lost block is
     # re-read from the files, not recomputed from the corpus.
-    base = keyed.select("tok", "freq", F.col("wkey").alias("first")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    base = keyed.select("tok", "freq", F.col("wkey").alias("first"),
+                        F.char_length("tok").alias("blen")).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [base]
     result.setup_seconds = time.perf_counter() - t_setup
     # Each step reads the last written working set and re-applies the rules
@@ -166,8 +175,9 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
         while len(result.rules) < num_merges:
             t_step = time.perf_counter()
             cur = base if not pending else base.select(
-                apply_rules("tok", pending).alias("tok"), "freq", "first")
-            top = top_pairs(pair_counts(cur, shift=shift, max_len=max_len),
+                apply_rules("tok", pending, _padded(len(pending))).alias("tok"), "freq", "first",
+                "blen")
+            top = top_pairs(pair_counts(cur, shift=shift, max_len=max_len, route_len="blen"),
                             k_fetch, min_count).collect()
             result.jobs += 1
             if not top:
@@ -188,9 +198,11 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
             since_ckpt += 1
             if (len(result.rules) < num_merges and checkpoint_every > 0
                     and since_ckpt >= checkpoint_every):
+                nxt = base.select(apply_rules("tok", pending, _padded(len(pending))).alias("tok"),
+                                  "freq", "first")
                 base, p = materialize(
-                    base.select(apply_rules("tok", pending).alias("tok"), "freq", "first")
-                    .where(F.char_length("tok") >= 2), "train-words")
+                    nxt.select("tok", "freq", "first", F.char_length("tok").alias("blen"))
+                    .where(F.col("blen") >= 2), "train-words")
                 scratch.append(p)
                 base = base.persist(StorageLevel.MEMORY_AND_DISK)
                 cached.append(base)
