@@ -24,3 +24,19 @@ def test_stream_equals_batch(spark):
                               rules, keep=["doc_id"])
     want = sorted(tuple(r) for r in batch.select("doc_id", "tokens").collect())
     assert got == want and len(got) == 200
+
+
+def test_stream_running_totals_equal_batch(spark):
+    from tokenledger.streaming.encode_stream import stream_tokens_by_key
+    rules = reference_rules("heavy")
+    stream = read_documents_stream(spark, os.path.join(SF0001, "documents*.parquet"))
+    name = "tokens_by_lang_stream"
+    q = (stream_tokens_by_key(stream, rules).writeStream.format("memory").queryName(name)
+         .outputMode("complete").option("checkpointLocation", scratch_path(spark, "agg-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = {r["lang"]: (r["docs"], r["tokens"]) for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    batch = enc.tokens_by_key(spark.read.parquet(os.path.join(SF0001, "documents.parquet")),
+                              rules, ["lang"])
+    want = {r["lang"]: (r["docs"], r["tokens"]) for r in batch.collect()}
+    assert got == want
