@@ -107,11 +107,30 @@ class BoltOn:
         none = F.when(t.isNotNull(), F.array().cast("array<string>"))
         return self._guarded(t, lambda p: vf.vocab_matches(t, p), none)
 
-    def token_count(self, text: Column | str, base_count: Column | None = None) -> Column:
-        """Bolt-on token count.  ``base_count`` may name an already computed
-        plain count of the same text; rows where no entry can match reuse it."""
+    @property
+    def latin_pattern(self) -> str | None:
+        """The pattern used on rows without any non-Latin first character."""
+        latin_pat, guard = self._split
+        return latin_pat if guard is not None else (self.pattern if latin_pat else None)
+
+    def token_count(self, text: Column | str, base_count: Column | None = None,
+                    latin_count: Column | None = None) -> Column:
+        """Bolt-on token count.
+
+        ``base_count`` may name an already computed plain count of the same
+        text (used where no entry can match), ``latin_count`` an already
+        computed count with ``latin_pattern`` (tokenizers with the same Latin
+        entries share it).
+        """
         plain = base_count if base_count is not None else token_count(text, self.rules)
-        return self._guarded(text, lambda p: vf.bolt_token_count(text, p, self.rules), plain)
+        latin_pat, guard = self._split
+
+        def with_pattern(p: str) -> Column:
+            if latin_count is not None and p == self.latin_pattern:
+                return latin_count
+            return vf.bolt_token_count(text, p, self.rules)
+
+        return self._guarded(text, with_pattern, plain)
 
     def token_string(self, text: Column | str) -> Column:
         return self._guarded(text, lambda p: vf.bolt_token_string(text, p, self.entries, self.rules),

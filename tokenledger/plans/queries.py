@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenledger.functions.text import byte_length, utf8_bytes, word_count, words
+from tokenledger.functions.vocab import bolt_token_count
 from tokenledger.functions.tokens import (apply_rules, char_to_id, token_count, token_label,
                                           token_string_ids)
 from tokenledger.operators import encode as enc
@@ -366,18 +367,28 @@ def q_bolt_ids(spark: SparkSession, sf: str) -> DataFrame:
 def q_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
     """K8: tokens per language for the base tokenizer and each bolt-on variant."""
     d = _docs(spark, sf, ("lang", "text"))
-    # The base count is computed once; a variant reuses it on rows where
-    # none of its entries can occur (e.g. CJK entries on Latin text).
-    based = d.select("lang", "text", _long(token_count("text", base_rules())).alias("base"))
+    bolts = {variant: _bolt(spark, labels) for variant, labels in fx.VOCAB_VARIANTS.items()}
+    # Shared work, computed once per row: the base count (rows where none of
+    # a variant's entries can occur) and one count per distinct Latin-only
+    # pattern (variants with the same Latin entries agree on Latin rows).
+    latin = {b.latin_pattern for b in bolts.values() if b.latin_pattern}
+    latin_cols = {p: f"_latin{i}" for i, p in enumerate(sorted(latin))}
+    shared = d.select("lang", "text", _long(token_count("text", base_rules())).alias("base"),
+                      *[bolt_count_col(p).alias(c) for p, c in latin_cols.items()])
     cols = [F.col("base")]
-    for variant, labels in fx.VOCAB_VARIANTS.items():
-        cols.append(_long(_bolt(spark, labels).token_count("text", F.col("base"))).alias(variant))
-    per = based.select("lang", *cols).groupBy("lang").agg(*[F.sum(v).alias(v) for v in VARIANTS])
+    for variant, b in bolts.items():
+        lc = F.col(latin_cols[b.latin_pattern]) if b.latin_pattern else None
+        cols.append(_long(b.token_count("text", F.col("base"), lc)).alias(variant))
+    per = shared.select("lang", *cols).groupBy("lang").agg(*[F.sum(v).alias(v) for v in VARIANTS])
     stack = ", ".join(f"'{v}', `{v}`" for v in VARIANTS)
     return per.selectExpr("lang", f"stack({len(VARIANTS)}, {stack}) as (variant, tokens)").select(
         "variant", "lang", _long("tokens").alias("tokens"))
 
 
+def bolt_count_col(pattern: str) -> Column:
+    return bolt_token_count("text", pattern, base_rules())
+
+
 def _before_after(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     bolt = _bolt(spark)
     per = _docs(spark, sf, ("lang", "text")).select(
