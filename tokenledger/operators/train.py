@@ -127,6 +127,9 @@ def select_batch(ranked: list[Candidate], remaining: int, complete: bool) -> lis
     return batch[:min(k, remaining)]
 
 
+# Target size of a training partition (distinct words).
+WORDS_PER_PARTITION = 20_000
+
 # Pending-rule chains are padded to a multiple of this, so steps reuse a few
 # compiled code shapes instead of compiling a new one every job.
 CHAIN_BUCKET = 4
@@ -153,17 +156,21 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     ensure_checkpoint_dir(spark)
 
     t_setup = time.perf_counter()
-    keyed, shift, max_len, scratch = first_key(
+    keyed, shift, max_len, n_words, scratch = first_key(
         words.select("tok", "freq", "first").where(F.char_length("tok") >= 2))
     if shift > 30:
         raise ValueError(f"a word of {max_len} tokens is too long to rank positions")
-    # The written word table is spread over every core (the distinct-word
-    # table is small next to the corpus; AQE would otherwise coalesce it into
-    # a couple of tasks) and kept in memory for the steps; a lost block is
-    # re-read from the files, not recomputed from the corpus.
+    # The word table was written by every core; small tables are narrowed
+    # (no shuffle) to one partition per WORDS_PER_PARTITION words, which cuts
+    # per-task overhead in the many small step jobs.  The set is kept in
+    # memory; a lost block is re-read from the files, not recomputed.
+    parts = min(max(spark.sparkContext.defaultParallelism, 1),
+                max(1, -(-n_words // WORDS_PER_PARTITION)))
     base = keyed.select("tok", "freq", F.col("wkey").alias("first"),
-                        F.char_length("tok").alias("blen")).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [base]
+                        F.char_length("tok").alias("blen"))
+    if parts < base.rdd.getNumPartitions():
+        base = base.coalesce(parts)
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     result.setup_seconds = time.perf_counter() - t_setup
     # Each step reads the last written working set and re-applies the rules
     # learned since (a narrow projection); every ``checkpoint_every`` steps
@@ -200,18 +207,21 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                     and since_ckpt >= checkpoint_every):
                 nxt = base.select(apply_rules("tok", pending, _padded(len(pending))).alias("tok"),
                                   "freq", "first")
-                base, p = materialize(
+                written, p = materialize(
                     nxt.select("tok", "freq", "first", F.char_length("tok").alias("blen"))
                     .where(F.col("blen") >= 2), "train-words")
-                scratch.append(p)
-                base = base.persist(StorageLevel.MEMORY_AND_DISK)
-                cached.append(base)
+                # The new working set reads only its own files: release the
+                # previous one (cache and files) right away.
+                base.unpersist()
+                for old in scratch:
+                    drop_scratch(spark, old)
+                scratch = [p]
+                base = written.persist(StorageLevel.MEMORY_AND_DISK)
                 pending = []
                 since_ckpt = 0
             result.step_seconds.append(round(time.perf_counter() - t_step, 3))
     finally:
-        for c in cached:
-            c.unpersist()
+        base.unpersist()
         for p in scratch:
             drop_scratch(spark, p)
     return result

@@ -73,29 +73,32 @@ def rank_words(table: DataFrame, first: str = "first") -> tuple[DataFrame, int,
     return ranked, int(max_len), [path]
 
 
-def first_key(table: DataFrame, first: str = "first") -> tuple[DataFrame, int, int, list[str]]:
+def first_key(table: DataFrame, first: str = "first") -> tuple[DataFrame, int, int, int, list[str]]:
     """An order-preserving ``bigint`` key for each word's first occurrence.
 
     The word table is written once (it is the expensive input of training).
     If the maxima of the first-occurrence fields (all non-negative) fit into
     the bits left next to the position bits, the key is the packed fields;
     otherwise a distributed dense rank is used (``rank_words``).
-    Returns ``(table with wkey, shift, max_len, scratch paths)``, where
-    ``shift`` is the number of low bits reserved for a position inside the
-    token string and ``max_len`` the longest token string.
+    Returns ``(table with wkey, shift, max_len, n_words, scratch paths)``,
+    where ``shift`` is the number of low bits reserved for a position inside
+    the token string and ``max_len`` the longest token string.
     """
     from tokenledger.session import materialize
 
     spark = table.sparkSession
     fields = table.schema[first].dataType.fieldNames()
-    spread = table.repartition(max(spark.sparkContext.defaultParallelism, 1))
-    written, path = materialize(spread, "word-table")
-    aggs = [F.max(F.char_length("tok")).alias("_len")]
+    # Written by every core: AQE would otherwise coalesce the small
+    # distinct-word table into one or two writing tasks.
+    written, path = materialize(table.repartition(max(spark.sparkContext.defaultParallelism, 1)),
+                                "word-table")
+    aggs = [F.max(F.char_length("tok")).alias("_len"), F.count(F.lit(1)).alias("_n")]
     for f in fields:
         aggs += [F.min(F.col(f"{first}.{f}")).alias(f"_min_{f}"),
                  F.max(F.col(f"{first}.{f}")).alias(f"_max_{f}")]
     st = written.agg(*aggs).first()
     max_len = int(st["_len"] or 0)
+    n_words = int(st["_n"])
     shift = max(1, max_len.bit_length())
     widths = []
     packable = True
@@ -110,7 +113,7 @@ def first_key(table: DataFrame, first: str = "first") -> tuple[DataFrame, int, i
         key = F.lit(0).cast("bigint")
         for f, w in zip(fields, widths):
             key = F.shiftleft(key, w) + F.col(f"{first}.{f}").cast("bigint")
-        return written.withColumn("wkey", key), shift, max_len, [path]
+        return written.withColumn("wkey", key), shift, max_len, n_words, [path]
     ranked, max_len2, paths = rank_words(written, first)
     shift = max(1, int(max_len2).bit_length())
-    return ranked.withColumnRenamed("wrank", "wkey"), shift, max_len2, [path] + paths
+    return ranked.withColumnRenamed("wrank", "wkey"), shift, max_len2, n_words, [path] + paths
