@@ -50,9 +50,15 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(_col(text), WS_PATTERN), lambda w: w != F.lit(""))
 
 
+def array_size(arr: Column) -> Column:
+    """``size`` that is null for a null array whatever ``spark.sql.ansi.enabled``
+    and ``spark.sql.legacy.sizeOfNull`` say (the legacy answer is -1)."""
+    return F.when(arr.isNotNull(), F.size(arr))
+
+
 def word_count(text: Column | str) -> Column:
-    """``len(text.split())``."""
-    return F.size(words(text))
+    """``len(text.split())``; null for null text."""
+    return array_size(words(text))
 
 
 def utf8_byte_string(text: Column | str) -> Column:

@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenledger.functions.text import byte_length, utf8_bytes, word_count, words
+from tokenledger.functions.text import array_size, byte_length, utf8_bytes, word_count, words
 from tokenledger.functions.vocab import bolt_token_count
 from tokenledger.functions.tokens import (apply_rules, char_to_id, token_count, token_label,
                                           token_string_ids)
@@ -353,10 +353,10 @@ def q_vocab_match(spark: SparkSession, sf: str) -> DataFrame:
     bolt = _bolt(spark)
     m = _docs(spark, sf, ("doc_id", "text")).select("doc_id", bolt.matches("text").alias("m"))
     return m.select(
-        "doc_id", _long(F.size("m")).alias("matches"),
+        "doc_id", _long(array_size(F.col("m"))).alias("matches"),
         _long(F.aggregate(F.transform("m", lambda t: F.octet_length(t)), F.lit(0),
                           lambda a, b: a + b)).alias("matched_bytes"),
-        _long(F.size(F.array_distinct("m"))).alias("distinct_terms"))
+        _long(array_size(F.array_distinct("m"))).alias("distinct_terms"))
 
 
 def q_vocab_hits_by_label(spark: SparkSession, sf: str) -> DataFrame:
