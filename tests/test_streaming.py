@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from tokenledger.operators import encode as enc
 from tokenledger.session import scratch_path

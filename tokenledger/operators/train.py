@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from tokenledger.functions.tokens import apply_rules, char_to_id
 from tokenledger.operators.pairs import pair_counts, top_pairs
 from tokenledger.operators.words import first_key
-from tokenledger.session import drop_scratch, ensure_checkpoint_dir, materialize
+from tokenledger.session import drop_scratch, ensure_checkpoint_dir, materialize, num_partitions
 
 RULES_SCHEMA = T.StructType([
     T.StructField("rank", T.IntegerType(), False),
@@ -168,7 +168,8 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                 max(1, -(-n_words // WORDS_PER_PARTITION)))
     base = keyed.select("tok", "freq", F.col("wkey").alias("first"),
                         F.char_length("tok").alias("blen"))
-    if parts < base.rdd.getNumPartitions():
+    current = num_partitions(base)
+    if current is not None and parts < current:
         base = base.coalesce(parts)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     result.setup_seconds = time.perf_counter() - t_setup

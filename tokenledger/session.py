@@ -88,3 +88,12 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(hpath, True)
+
+
+def num_partitions(df) -> int | None:
+    """Partition count of a DataFrame's plan, or None where the RDD view is
+    not available (e.g. a Spark Connect session)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - any client without RDD access
+        return None

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenledger.session import num_partitions
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -26,8 +28,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A large input already has at least that many splits, so this never adds
     a shuffle of the full text at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+        return df
+    n = num_partitions(df)
+    if n is not None and n < target:
         return df.repartition(target)
     return df
 
