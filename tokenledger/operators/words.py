@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenledger.functions.text import utf8_byte_string, words
@@ -22,16 +22,51 @@ def pretokenize(corpus: DataFrame, text: str = "text",
     return corpus.select(*keep, F.posexplode(words(text)).alias("pos", "word"))
 
 
+# First occurrences (source ordinal, document ordinal, word position) pack
+# into one decimal(38,0): source * 10^30 + (doc + 2^63) * 10^10 + pos.  A
+# Spark string is under 2 GB, so a position has at most 10 digits; a shifted
+# bigint has at most 20; sources must be below 10^8.  Decimal aggregation
+# buffers are fixed-width, so ``min`` stays a hash aggregate -- ``min`` over a
+# struct would sort every exploded word of the corpus.
+_KEY = "decimal(38,0)"
+_SOURCE_LIMIT = 10 ** 8
+
+
+def _dec(v: int) -> Column:
+    return F.lit(str(v)).cast(_KEY)
+
+
+def _pack_first(source: Column, doc: Column, pos: Column) -> Column:
+    s = F.when((source >= 0) & (source < _SOURCE_LIMIT), source).otherwise(
+        F.raise_error(F.lit(f"source ordinal outside [0, {_SOURCE_LIMIT})")))
+    return (s.cast(_KEY) * _dec(10 ** 30) + (doc.cast(_KEY) + _dec(2 ** 63)) * _dec(10 ** 10)
+            + pos.cast(_KEY))
+
+
+def _unpack_first(key: Column, names: Sequence[str]) -> Column:
+    source = F.floor(key / _dec(10 ** 30)).cast("int")
+    doc = (F.floor(key / _dec(10 ** 10)) - source.cast(_KEY) * _dec(10 ** 20) - _dec(2 ** 63))
+    pos = key - F.floor(key / _dec(10 ** 10)) * _dec(10 ** 10)
+    return F.struct(source.alias(names[0]), doc.cast("bigint").alias(names[1]),
+                    pos.cast("int").alias("pos"))
+
+
 def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
               weight: str | None = "weight") -> DataFrame:
     """Distinct words with weighted frequency and first occurrence.
 
     Returns ``(word, freq bigint, first struct<*order, pos>)``.  The
     aggregation is partial (map-side) then final, so a hot word costs one
-    row per partition in the shuffle.
+    row per partition in the shuffle.  With the usual ``(source, document)``
+    order the first occurrence travels as one packed decimal (hash
+    aggregation); other orders fall back to ``min`` over a struct.
     """
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     exploded = corpus.select(*order, w.alias("_w"), F.posexplode(words(text)).alias("pos", "word"))
+    if len(order) == 2:
+        key = _pack_first(F.col(order[0]), F.col(order[1]), F.col("pos"))
+        agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
+        return agg.select("word", "freq", _unpack_first(F.col("_k"), order).alias("first"))
     return (exploded.groupBy("word")
             .agg(F.sum("_w").alias("freq"), F.min(F.struct(*order, "pos")).alias("first")))
 
