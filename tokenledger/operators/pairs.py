@@ -69,6 +69,10 @@ def pair_counts(words: DataFrame, tok: str = "tok", freq: str = "freq",
         key = F.shiftleft(F.col("_o"), shift) + F.col("_i")
         return ex.groupBy("pair").agg(F.sum("_f").alias("n"), F.min(key).alias("first"))
     if first is not None:
+        # A struct minimum plans as a sort-based aggregate.  Its partial step
+        # still collapses each partition to distinct pairs before the
+        # shuffle, which a hash version keyed by (pair, word) would not; the
+        # training loop itself uses the packed bigint key above.
         fields = words.schema[first].dataType.fieldNames()
         ex = explode_pairs(words, tok, {"_f": F.col(freq), "_o": F.col(first)})
         key = F.struct(*[F.col(f"_o.{f}").alias(f) for f in fields], F.col("_i").alias("i"))
