@@ -162,3 +162,17 @@ def test_batching_rule_equals_one_by_one_on_many_corpora():
         merges = rng.randint(1, 25)
         fetch = rng.choice([2, 3, 4, 8, 64])
         assert _python_batched(corpus, merges, fetch) == checker.train(corpus, merges), (trial, corpus)
+
+
+def test_dispatched_trie_equals_flat_alternation_on_wide_vocabularies(spark):
+    rng = random.Random(21)
+    alphabet = list("abcdefghijklmnop") + [chr(c) for c in range(0x3041, 0x3061)] + \
+        [chr(c) for c in range(0x4E00, 0x4E20)] + ["é", "è", "\U0001F600", ".", " ", "-"]
+    terms = {"".join(rng.choice(alphabet) for _ in range(rng.randint(2, 5))) for _ in range(300)}
+    terms |= {t[:2] for t in list(terms)[:60]}  # shared prefixes: optional continuations
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(200)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = df.select("id", F.regexp_extract_all("t", F.lit(trie_pattern(terms)), 0).alias("a"),
+                    F.regexp_extract_all("t", F.lit(flat_pattern(terms)), 0).alias("b")).collect()
+    for r in got:
+        assert r["a"] == r["b"], texts[r["id"]]
