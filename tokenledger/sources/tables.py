@@ -23,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster's cores, but only when the scan
-    yields fewer partitions than that (one big file, one row group).
+    yields fewer partitions than that (one big file, one row group, or an
+    input smaller than cores x split size).
 
-    A large input already has at least that many splits, so this never adds
-    a shuffle of the full text at scale.
+    The encoders spend many passes per byte, so one shuffle that puts every
+    core to work pays off; an input with at least as many splits as cores
+    (any large one) is returned untouched and never shuffled here.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
