@@ -51,6 +51,26 @@ def _unpack_first(key: Column, names: Sequence[str]) -> Column:
                     pos.cast("int").alias("pos"))
 
 
+def _long_layout(corpus: DataFrame, order: Sequence[str]) -> tuple[int, int, int] | None:
+    """Bit layout for a bigint first-occurrence key, if the data allows one.
+
+    One cheap job reads only the two ordinal columns.  Positions take 31
+    bits (a Spark string holds fewer than 2^31 words).  Returns
+    ``(doc_bits, doc_min, pos_bits)`` or None when the key would not fit.
+    """
+    st = corpus.agg(F.min(order[0]).alias("s0"), F.max(order[0]).alias("s1"),
+                    F.min(order[1]).alias("d0"), F.max(order[1]).alias("d1")).first()
+    if st is None or st["s0"] is None or st["s0"] < 0:
+        return None
+    doc_bits = max(1, int(st["d1"] - st["d0"]).bit_length())
+    if max(1, int(st["s1"]).bit_length()) + doc_bits + _POS_BITS > 63:
+        return None
+    return doc_bits, int(st["d0"]), _POS_BITS
+
+
+_POS_BITS = 31
+
+
 def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
               weight: str | None = "weight") -> DataFrame:
     """Distinct words with weighted frequency and first occurrence.
@@ -58,17 +78,32 @@ def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
     Returns ``(word, freq bigint, first struct<*order, pos>)``.  The
     aggregation is partial (map-side) then final, so a hot word costs one
     row per partition in the shuffle.  With the usual ``(source, document)``
-    order the first occurrence travels as one packed decimal (hash
-    aggregation); other orders fall back to ``min`` over a struct.
+    order the first occurrence travels as one packed key -- a bigint when the
+    observed ordinals leave room, else a decimal(38,0) -- so ``min`` is a hash
+    aggregate; other orders fall back to ``min`` over a struct (sorting).
     """
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     exploded = corpus.select(*order, w.alias("_w"), F.posexplode(words(text)).alias("pos", "word"))
-    if len(order) == 2:
-        key = _pack_first(F.col(order[0]), F.col(order[1]), F.col("pos"))
+    if len(order) != 2:
+        return (exploded.groupBy("word")
+                .agg(F.sum("_w").alias("freq"), F.min(F.struct(*order, "pos")).alias("first")))
+    layout = _long_layout(corpus, order)
+    s, d, p = F.col(order[0]), F.col(order[1]), F.col("pos")
+    if layout is None:
+        key = _pack_first(s, d, p)
         agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
         return agg.select("word", "freq", _unpack_first(F.col("_k"), order).alias("first"))
-    return (exploded.groupBy("word")
-            .agg(F.sum("_w").alias("freq"), F.min(F.struct(*order, "pos")).alias("first")))
+    doc_bits, doc_min, pos_bits = layout
+    key = (F.shiftleft(s.cast("bigint"), doc_bits + pos_bits)
+           + F.shiftleft(d - F.lit(doc_min), pos_bits) + p.cast("bigint"))
+    agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
+    k = F.col("_k")
+    first = F.struct(
+        F.shiftright(k, doc_bits + pos_bits).cast("int").alias(order[0]),
+        (F.shiftright(k, pos_bits).bitwiseAND(F.lit((1 << doc_bits) - 1)) + F.lit(doc_min))
+        .cast("bigint").alias(order[1]),
+        k.bitwiseAND(F.lit((1 << pos_bits) - 1)).cast("int").alias("pos"))
+    return agg.select("word", "freq", first.alias("first"))
 
 
 def word_table(corpus: DataFrame, order: Sequence[str], text: str = "text",
