@@ -4,7 +4,7 @@ All reports are DataFrame -> DataFrame.  A "baseline" is one row per
 comparison group (here: the baseline language), aggregated first and joined
 back under a broadcast hint -- its size is bounded by the number of groups,
 which the join key fixes.  Where the reference prints "—" (no gain) the
-value is null.
+value is null.  A single baseline is a scalar subquery (no join).
 """
 
 from __future__ import annotations
@@ -23,12 +23,14 @@ def vs_baseline(counts: DataFrame, value: str, key: str = "lang", baseline: str
                 out: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Add ``value / value[baseline]`` (per ``by`` group); null if the baseline is absent."""
     out = out or f"{value}_vs_{baseline}"
-    keys = list(by) or ["_g"]
-    src = counts if by else counts.withColumn("_g", F.lit(0))
-    base = src.where(F.col(key) == baseline).select(*keys, F.col(value).alias("_base"))
-    joined = src.join(F.broadcast(base), keys, "left")
-    out_df = joined.withColumn(out, _div(F.col(value), F.col("_base"))).drop("_base")
-    return out_df if by else out_df.drop("_g")
+    if not by:
+        # One baseline value: a scalar subquery, evaluated once, no join.
+        base = counts.where(F.col(key) == baseline).select(F.max(value)).scalar()
+        return counts.withColumn(out, _div(F.col(value), base))
+    keys = list(by)
+    base = counts.where(F.col(key) == baseline).select(*keys, F.col(value).alias("_base"))
+    joined = counts.join(F.broadcast(base), keys, "left")
+    return joined.withColumn(out, _div(F.col(value), F.col("_base"))).drop("_base")
 
 
 def gap_reduction(before: DataFrame, after: DataFrame, value: str, key: str = "lang",
@@ -60,14 +62,14 @@ def bolt_reduction(before: DataFrame, after: DataFrame, value: str, density: str
     d = density or value
     b = before.select(key, F.col(value).alias("before"), F.col(d).alias("_db"))
     a = after.select(key, F.col(value).alias("after"), F.col(d).alias("_da"))
-    base = b.where(F.col(key) == baseline).select(F.lit(0).alias("_g"), F.col("_db").alias("_base"))
-    j = b.join(a, key).withColumn("_g", F.lit(0)).join(F.broadcast(base), "_g", "left")
+    base = b.where(F.col(key) == baseline).select(F.max("_db")).scalar()
+    j = b.join(a, key)
     red = F.col("before") - F.col("after")
     return j.select(
         key, "before", "after", red.alias("reduction"),
         F.when(red > 0, _div(red, F.col("before")) * F.lit(100.0)).alias("reduction_pct"),
-        _div(F.col("_db"), F.col("_base")).alias("mult_before"),
-        _div(F.col("_da"), F.col("_base")).alias("mult_after"))
+        _div(F.col("_db"), base).alias("mult_before"),
+        _div(F.col("_da"), base).alias("mult_after"))
 
 
 def token_cost(before_after: DataFrame, price_per_token: float, volume: int,
