@@ -13,9 +13,10 @@
    and the confirmed links are contracted to components by alternating large
    and small stars, written between rounds.
 3. A bucket whose members then still lie in several components may hide
-   further links.  Its largest component is cut into blocks of at most
-   ``BLOCK`` rows, and the other members are compared with every block by
-   sketch; passing pairs are confirmed in the same way.  Pairs inside one
+   further links.  Its members outside its largest component are compared, on
+   full sets, with that component and with each other: both sides are cut into
+   blocks of at most about ``BLOCK`` rows, every task holds one block of each,
+   and only links that join further components leave it.  Pairs inside one
    component need no test, as they cannot change the result.
 
 A link of similarity 0.75 misses all bands with probability 5e-6, and the
@@ -32,7 +33,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +46,9 @@ SKETCH_BITS = 1024
 #: Estimates below this are dropped before the exact test: about six standard
 #: deviations under a similarity of 0.75.
 SCREEN = 0.53
+#: Rows, and shingles in all, of a block of stage 3.
 BLOCK = 1000
+BLOCK_SHINGLES = 1 << 20
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MUL = mix64(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix64(np.arange(1001, SAMPLES + 1001, dtype=np.uint64))
@@ -211,39 +213,87 @@ def _labels(members: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _rest(buckets: DataFrame, comps: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Screened pairs across components inside buckets that hold several."""
+def _arenas(buckets: DataFrame, comps: DataFrame, sizes: DataFrame) -> DataFrame:
+    """What is left to compare, as rows ``(arena, block, part, node, comp,
+    probe)``: the members of mixed buckets outside the bucket's largest
+    component (probes) meet that component and each other."""
     lab = _labels(buckets, comps)
     mixed = lab.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-    lab = written(lab.join(mixed, "key"), "mixed")
-    sizes = lab.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    top = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("t"), F.sum("n").alias("total")).select(
-        "key", F.col("t.comp").alias("main"), F.col("total"), (F.col("total") - F.col("t.n")).alias("others"))
-    lab = lab.join(top, "key").withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    lab = lab.withColumn("parts", F.greatest(F.ceil(F.col("others") / BLOCK).cast("int"), F.lit(1)))
-    # members outside the largest component are dealt to `parts` and meet every block of `own`
-    probe = lab.where("comp <> main").select(
-        "key", "node", "comp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int").alias("part"), F.lit(True).alias("probe"))
-    held = lab.select("key", "node", "comp", F.col("own").alias("block"),
-                      F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("probe"))
-    rows = probe.union(held).join(sketches, "node")
-
-    def run(keys, table):
-        held = table.filter(pc.invert(table["probe"]))
-        probe = table.filter(table["probe"])
-        node, comp = (held[c].to_numpy() for c in ("node", "comp"))
-        bits = np.frombuffer(b"".join(held["sketch"].to_pylist()), np.uint64).reshape(len(node), -1)
-        out_a, out_b = [], []
-        for u, c, s in zip(probe["node"].to_pylist(), probe["comp"].to_pylist(), probe["sketch"].to_pylist()):
-            d = np.bitwise_count(bits ^ np.frombuffer(s, np.uint64)).sum(axis=1, dtype=np.int64)
-            hit = np.flatnonzero((comp != c) & (odd_similarity(d) >= SCREEN))
-            out_a += [min(u, int(v)) for v in node[hit]]
-            out_b += [max(u, int(v)) for v in node[hit]]
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    return rows.groupBy("key", "block", "part").applyInArrow(run, "a bigint, b bigint").distinct()
+    big = comps.groupBy("comp").agg(F.count("*").alias("members"))
+    lab = written(lab.join(mixed, "key").join(big, "comp", "left").select("key", "node", "comp", F.coalesce("members", F.lit(1)).alias("members")), "mixed")
+    main = lab.groupBy("key").agg(F.max(F.struct("members", (-F.col("comp")).alias("low"))).alias("m")).select(
+        "key", (-F.col("m.low")).alias("arena"))
+    probes = written(lab.join(main, "key").where("comp <> arena").select("arena", "node", "comp").distinct().join(sizes, "node"), "probes")
+    arenas = probes.select(F.col("arena").alias("comp")).distinct()
+    held = _labels(sizes, comps).join(arenas, "comp").select(F.col("comp").alias("arena"), "node", "comp", "n")
+    every = held.unionByName(probes.select("arena", "node", "comp", "n")).distinct()
+
+    def count(rows: DataFrame, name: str) -> DataFrame:
+        need = F.greatest(F.count("*") / F.lit(float(BLOCK)), F.sum("n") / F.lit(float(BLOCK_SHINGLES)))
+        return rows.groupBy("arena").agg(F.greatest(F.ceil(need), F.lit(1)).cast("int").alias(name))
+
+    shape = written(count(every, "blocks").join(count(probes, "parts"), "arena"), "shape")
+    deal = lambda seed, k: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(k)).cast("int")
+    upto = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    one = every.join(shape, "arena").select("arena", deal(1, "blocks").alias("block"), upto("parts").alias("part"),
+                                            "node", "comp", F.lit(False).alias("probe"))
+    two = probes.join(shape, "arena").select("arena", upto("blocks").alias("block"), deal(2, "parts").alias("part"),
+                                             "node", "comp", F.lit(True).alias("probe"))
+    return written(one.unionByName(two), "arenas")
+
+
+def _rest(arenas: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Confirmed links ``(a, b)`` across components inside the blocks: exact
+    tests by an inverted index of the block's shingles, of which only those
+    that join further components leave the task."""
+    percent = round(similarity * 100)
+
+    def run(table):
+        found_a, found_b = [], []
+        arena, node, comp, probe = (table[c].to_numpy() for c in ("arena", "node", "comp", "probe"))
+        text = pa.RecordBatch.from_arrays([table["text"].combine_chunks()], ["text"])
+        parts = [shingle_hashes(d, o) for _, d, o in text_chunks(text)]
+        sizes = np.concatenate([np.diff(o) for _, o in parts])
+        h = np.concatenate([x for x, _ in parts])
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        # arenas of a task are kept apart by a hash of shingle and arena
+        h = mix64(h + mix64(arena.view(np.uint64))[owner] * _PRIME)
+        at = np.append(0, np.cumsum(sizes))
+        mine = ~probe[owner]
+        order = np.argsort(h[mine], kind="stable")
+        index, posting = h[mine][order], owner[mine][order]
+        root = {int(c): int(c) for c in set(comp.tolist())}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        for i in np.flatnonzero(probe):
+            own = h[at[i]:at[i + 1]]
+            lo, hi = np.searchsorted(index, own, "left"), np.searchsorted(index, own, "right")
+            n = hi - lo
+            if not n.any():
+                continue
+            where = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+            other, inter = np.unique(posting[where], return_counts=True)
+            hit = other[100 * inter >= percent * (sizes[i] + sizes[other] - inter)]
+            for j in hit[comp[hit] != comp[i]]:
+                x, y = find(int(comp[i])), find(int(comp[j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    found_a.append(int(node[i]))
+                    found_b.append(int(node[j]))
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    # small arenas share tasks of about BLOCK / 2 rows
+    bins = max(1, arenas.count() // (BLOCK // 2))
+    small = F.when((F.col("blocks") == 1) & (F.col("parts") == 1), F.pmod(F.xxhash64("arena"), F.lit(bins))).otherwise(F.col("arena"))
+    counted = arenas.groupBy("arena").agg((F.max("block") + 1).alias("blocks"), (F.max("part") + 1).alias("parts"))
+    rows = arenas.join(counted, "arena").withColumn("bin", small).withColumn("alone", (F.col("blocks") > 1) | (F.col("parts") > 1))
+    return rows.join(texts, "node").select("bin", "alone", "block", "part", "arena", "node", "comp", "probe", "text").groupBy(
+        "bin", "alone", "block", "part").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.75) -> DataFrame:
@@ -257,14 +307,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75) -> DataFrame:
     crowd = member.groupBy("key").agg(F.min("node").alias("c"), F.max("node").alias("d")).where("c <> d")
     buckets = written(member.join(crowd.select("key", F.col("c").alias("center")), "key").distinct(), "buckets")
     near = buckets.select("node").distinct()
-    sketches = written(reps.select("node", "sketch").join(near, "node"), "sketches")
+    sketches = written(reps.select("node", "n", "sketch").join(near, "node"), "sketches")
     texts = written(docs.select(F.col("doc_id").cast("bigint").alias("node"), "text").join(near, "node"), "texts")
     pairs = buckets.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     tested = written(_confirmed(_screened(pairs, sketches), texts, similarity), "tested")
     edges = tested.where("linked").select("a", "b")
     comps = components(edges)
-    more = _rest(buckets.select("key", "node"), comps, sketches).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    found = written(_confirmed(more, texts, similarity).where("linked").select("a", "b"), "found")
+    arenas = _arenas(buckets.select("key", "node"), comps, sketches.select("node", "n").distinct())
+    found = written(_rest(arenas, texts, similarity), "found")
     if not found.isEmpty():
         comps = components(edges.union(found))
     final = _labels(classes, comps).groupBy("k1", "k2").agg(F.min("comp").alias("comp"))

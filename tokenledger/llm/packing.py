@@ -20,11 +20,11 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-import base64
 import re
 import zlib
 from bisect import bisect_left, insort
 from collections import deque
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -76,13 +76,19 @@ class Encoder:
         return self.exact.encode(text, add_special_tokens=False).ids
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker process and file."""
+    return Encoder(path)
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids, ids_crc32)``: the token ids of
     each text, ended by ``END_ID``, cut from the back into full sequences."""
     path = vocabulary or default_vocabulary()
 
     def run(batches):
-        encode = Encoder(path)
+        encode = encoder(path)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
