@@ -7,7 +7,9 @@ memory is bounded by ``CHUNK_BYTES`` plus the longest single document.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -123,9 +125,19 @@ def fold(doc_id: Column, k: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % k, F.lit(0))
 
 
+def _importable(df: DataFrame) -> None:
+    """Let Python workers on this machine import the package from where the
+    driver found it (on a cluster it is installed or sent with --py-files)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = df.sparkSession.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def spread_rows(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer than half as many splits as the
     session has cores; larger inputs are returned as they are."""
+    _importable(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
     n = num_partitions(df)
     return df.repartition(cores) if n is not None and 2 * n < cores else df
@@ -133,4 +145,5 @@ def spread_rows(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back."""
+    _importable(df)
     return materialize(df, f"llm-{name}")[0]

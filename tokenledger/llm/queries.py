@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenledger.llm import (decontaminate, fingerprint, langid, linededup, neardup, packing, quality, tokencount,
-                             toxicity)
+from tokenledger.llm import (decontaminate, fingerprint, langid, linededup, neardup, packing, quality, repeats,
+                             tokencount, toxicity)
 from tokenledger.sources.tables import table
 
 
@@ -18,6 +18,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -60,6 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
