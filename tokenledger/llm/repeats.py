@@ -233,25 +233,36 @@ def _met(routed: DataFrame, buckets: int) -> DataFrame:
 # ------------------------------------------------------------ run-length index
 
 def suffix_array(t: np.ndarray, stop: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Suffix array of small non-negative symbols by prefix doubling, and the
-    ranks by the first ``k`` symbols for each ``k`` up to ``stop``."""
+    """Suffix array of symbols 0..256, where every 0 ends a string and counts
+    as a symbol of its own (earlier ones smaller); also the ranks by the first
+    ``k`` symbols for each ``k`` up to ``stop`` that was passed.  Prefix
+    doubling from seven packed symbols, sorting only what is still tied."""
     n = len(t)
-    ranks: dict[int, np.ndarray] = {}
-    padded = np.append(t.astype(np.int64), np.zeros(4, np.int64))
-    key = ((padded[:n] * 512 + padded[1:n + 1]) * 512 + padded[2:n + 2]) * 512 + padded[3:n + 3]
-    k = 4
+    padded = np.append(t.astype(np.int64), np.zeros(7, np.int64))
+    key, inside = np.zeros(n, np.int64), np.ones(n, dtype=bool)
+    for j in range(7):
+        symbol = padded[j:j + n] * inside
+        key = key * 257 + symbol
+        inside &= symbol != 0
+    order = np.argsort(key, kind="stable")
+    new = np.append(True, (key[order][1:] != key[order][:-1]) | ~inside[order][1:])
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    ranks, k = {}, 7
     while True:
-        order = np.argsort(key, kind="stable")
-        s = key[order]
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.append(0, s[1:] != s[:-1]))
         if k <= stop:
-            ranks[k] = rank
-        if k > stop and (n == 0 or rank[order[-1]] == n - 1):
+            ranks[k] = rank.copy()
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(tied):
             return order, ranks
-        second = np.zeros(n, dtype=np.int64)
-        second[:max(n - k, 0)] = rank[k:] + 1
-        key = rank * (n + 2) + second
+        p = order[tied]
+        key = rank[p] * (n + 1) + rank[p + k]
+        o = np.argsort(key)
+        key = key[o]
+        order[tied] = p[o]
+        fresh = np.append(True, key[1:] != key[:-1])
+        new[tied] = fresh
+        rank[order[tied]] = np.maximum.accumulate(np.where(fresh, tied, 0))
         k *= 2
 
 
@@ -275,7 +286,8 @@ class RunIndex:
         ends = np.append(self.runs[1:], len(bwt))
         run_size = ends - self.runs
         by = np.argsort(self.heads, kind="stable")
-        self.by_symbol = by  # runs of each symbol, in order
+        self.by_symbol = by  # runs of each symbol, in order; searched by (symbol, run)
+        self.by_key = self.heads[by] * (len(self.runs) + 1) + by
         self.symbol_at = np.searchsorted(self.heads[by], np.arange(258))
         total = np.append(0, np.cumsum(np.bincount(bwt, minlength=258)))[:-1]
         through = np.append(0, np.cumsum(run_size[by]))
@@ -322,9 +334,7 @@ class RunIndex:
             jump = np.flatnonzero((self.heads[run] != c) | (m == 0))
             if len(jump):
                 runs_of = self.by_symbol
-                # runs of a symbol are stored in order: search them by (symbol, run)
-                order_key = self.heads[runs_of] * (len(self.runs) + 1) + runs_of
-                k = np.searchsorted(order_key, c[jump] * (len(self.runs) + 1) + run[jump])
+                k = np.searchsorted(self.by_key, c[jump] * (len(self.runs) + 1) + run[jump])
                 up, down = k - 1 >= lo[jump], k < hi[jump]
                 u = runs_of[np.clip(k - 1, 0, len(runs_of) - 1)]
                 d = runs_of[np.clip(k, 0, len(runs_of) - 1)]
