@@ -122,19 +122,3 @@ def test_rules_parquet_round_trip(spark):
         assert read_rules(spark, path) == rules
     finally:
         drop_scratch(spark, path)
-
-
-def test_first_occurrence_keys_bigint_and_decimal_layouts(spark):
-    from tokenledger.operators.words import _long_layout, word_freq
-    order = ["source_ord", "doc_ord"]
-    narrow = [("s", 1, 1000, 1, "a b a"), ("s", 0, -5, 2, "b c"), ("s", 0, 7, 1, "c d"),
-              ("s", 3, 2, 1, "a z")]
-    wide = [("s", 1, 1 << 62, 1, "a b a"), ("s", 0, -5, 2, "b c"),
-            ("s", 0, (1 << 63) - 1, 1, "c d"), ("s", 3, -(1 << 63), 1, "a z")]
-    for rows, bigint in ((narrow, True), (wide, False)):
-        df = spark.createDataFrame(rows, CORPUS_SCHEMA)
-        assert (_long_layout(df, order) is not None) == bigint
-        got = {r["word"]: (r["freq"], tuple(r["first"])) for r in word_freq(df, order).collect()}
-        a_doc, d_doc, z_doc = (rows[0][2], rows[2][2], rows[3][2])
-        assert got == {"a": (3, (1, a_doc, 0)), "b": (3, (0, -5, 0)), "c": (3, (0, -5, 1)),
-                       "d": (1, (0, d_doc, 1)), "z": (1, (3, z_doc, 1))}

@@ -1,20 +1,16 @@
-"""Every registered query against its DuckDB SQL on sf0.001.
-
-The queries that train several tokenizers are exercised by
-``tests/oracle_check.py`` (run on sf0.01); here one training query stands
-for them to keep the suite quick.
-"""
+"""Every registered query of the library against its DuckDB SQL on sf0.001."""
 
 import pytest
 
 import __spark_entry__ as ent
 from oracle_check import compare, duck
 
+from tokenledger.plans import oracle
+from tokenledger.plans.queries import QUERIES
+
 from conftest import SF0001
 
-SLOW = {"gap_reduction", "gap_compare", "vocab_growth", "rules_top10", "train_compression",
-        "train_sequences"}
-NAMES = [n for n in ent.queries() if n not in SLOW]
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,12 +20,13 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    info = compare(spark, con, name, SF0001, ent.oracle_sql()[name], ent.queries()[name])
+    info = compare(spark, con, name, SF0001, oracle.ORACLES[name](), QUERIES[name])
     assert info["ok"], info
 
 
 def test_every_query_has_an_oracle():
-    assert set(ent.queries()) == set(ent.oracle_sql())
+    assert set(QUERIES) == set(oracle.ORACLES)
+    assert set(QUERIES) <= set(ent.queries()) and set(QUERIES) <= set(ent.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -1,18 +1,56 @@
-"""Plan-level behaviour: concurrent training, input spreading."""
+"""Plan-level behaviour: one pass per report, one word aggregation, input spreading."""
 
+import re
+
+import pytest
+
+from tokenledger.operators.words import word_table
 from tokenledger.plans import queries as Q
 from tokenledger.sources import tables as tb
 
 from conftest import SF0001
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["vs_baseline", "gap_reduction", "gap_compare", "before_after", "bolt_reduction",
+                                  "token_cost", "tokens_by_lang"])
+def test_one_scan_and_no_join_per_report(spark, name):
+    text = plan(Q.QUERIES[name](spark, SF0001))
+    assert len(re.findall("FileScan parquet", text)) == 1, text
+    assert "Join" not in text and "Subquery" not in text, text
+
+
+@pytest.mark.parametrize("name", ["pair_counts", "pair_top"])
+def test_pairs_read_the_written_words_once(spark, name):
+    text = plan(Q.QUERIES[name](spark, SF0001))
+    assert "SortAggregate" not in text and "documents" not in text, text
+    assert len(re.findall("FileScan parquet", text)) == 1, text
+
+
+def test_word_aggregation_is_a_hash_aggregate(spark):
+    text = plan(word_table(tb.documents_corpus(spark, SF0001), ["source_ord", "doc_ord"]))
+    assert "SortAggregate" not in text and text.count("FileScan parquet") == 1, text
+
+
+def test_training_partitions_follow_the_words(spark, monkeypatch):
+    from tokenledger.operators import train as tr
+    wt, _ = Q.materialize(word_table(tb.documents_corpus(spark, SF0001), ["source_ord", "doc_ord"]), "words")
+    seen = []
+    real = tr.num_partitions
+    monkeypatch.setattr(tr, "num_partitions", lambda df: seen.append(real(df)) or seen[-1])
+    monkeypatch.setattr(tr, "WORDS_PER_PARTITION", 1000)
+    rules = tr.train_bpe(wt, 3, written=True).rules
+    assert len(rules) == 3 and seen[0] < 27  # 27,782 words ask for 28 partitions whatever the cores
+    monkeypatch.setattr(tr, "WORDS_PER_PARTITION", 20_000)
+    assert tr.train_bpe(wt, 3, written=True).rules == rules
+
+
 def test_concurrent_training_equals_sequential(spark):
-    mixes = ["en_heavy", "balanced_fr"]
-    together = Q.trained_many(spark, SF0001, mixes)
-    for m in mixes:
-        Q._TRAINED.pop((SF0001, m, Q.DOC_MERGES), None)
-    alone = {m: Q.trained_rules(spark, SF0001, m) for m in mixes}
-    assert together == alone
+    together = Q.trained_many(spark, SF0001, ["en_heavy", "balanced_fr"])
+    assert together["balanced_fr"] == Q.train_documents(spark, SF0001, "balanced_fr")[0]
     assert together["en_heavy"] != together["balanced_fr"]
 
 

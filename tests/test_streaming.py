@@ -39,3 +39,36 @@ def test_stream_running_totals_equal_batch(spark):
                               rules, ["lang"])
     want = {r["lang"]: (r["docs"], r["tokens"]) for r in batch.collect()}
     assert got == want
+
+
+def _files(spark, folder, lo, hi):
+    spark.read.parquet(os.path.join(SF0001, "documents.parquet")).where(
+        f"doc_id >= {lo} and doc_id < {hi}").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_second_run_goes_on_where_the_first_stopped(spark):
+    rules = reference_rules("heavy")
+    folder, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    for lo, hi in ((0, 100), (100, 200)):
+        _files(spark, folder, lo, hi)
+        q = write_available(stream_tokens(read_documents_stream(spark, folder), rules), out)
+        q.awaitTermination(300)
+    got = sorted(r["doc_id"] for r in spark.read.parquet(out).collect())
+    assert got == list(range(200))
+
+
+def test_bolt_on_stream_equals_batch(spark):
+    from tokenledger.operators.vocab import BoltOn, build_vocab
+    from tokenledger.sources import fixtures as fx
+    rules = reference_rules("heavy")
+    bolt = BoltOn.from_vocab(build_vocab(fx.vocab_input(spark), 336), rules)
+    folder, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    docs = spark.createDataFrame([(1, "créer un compte 我们 するデータ", "fr", "a", 1), (2, None, "en", "a", 0), (3, "the", "en", "a", 3)],
+                                 read_documents_stream(spark, SF0001).schema)
+    docs.write.parquet(folder)
+    write_available(stream_tokens(read_documents_stream(spark, folder), rules, bolt=bolt), out).awaitTermination(300)
+    got = {r["doc_id"]: (r["tokens"], r["bolt_tokens"]) for r in spark.read.parquet(out).collect()}
+    from tokenledger.functions.tokens import token_count
+    want = {r["doc_id"]: (r["a"], r["b"]) for r in docs.select(
+        "doc_id", token_count("text", rules).alias("a"), bolt.token_count("text").alias("b")).collect()}
+    assert got == want and got[1][1] < got[1][0]

@@ -23,7 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tokenledger.functions.text import _col, utf8_byte_string
-from tokenledger.functions.tokens import apply_rules, id_to_char, token_string_ids
+from tokenledger.functions.tokens import apply_rules, id_to_char
 
 BARRIER = "\U0010FFFD"
 _END = ""
@@ -82,16 +82,19 @@ def trie_pattern(terms: Iterable[str]) -> str:
             node = node.setdefault(ch, {})
         node[_END] = True
 
-    def emit(node: dict) -> str:
+    # Children before parents, on an explicit stack: entries may be long.
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(node[k] for k in node if k != _END)
+    done: dict[int, str] = {}
+    for node in reversed(order):
         kids = sorted(k for k in node if k != _END)
-        if not kids:
-            return ""
-        body = _alternation([(k, escape_char(k) + emit(node[k])) for k in kids])
-        if node.get(_END):
-            return "(?:" + body + ")?"
-        return body
-
-    pat = emit(root)
+        body = _alternation([(k, escape_char(k) + done.pop(id(node[k]))) for k in kids]) if kids else ""
+        done[id(node)] = "(?:" + body + ")?" if body and node.get(_END) else body
+
+    pat = done[id(root)]
     if not pat:
         return "(?!)"
     # Every match starts with one of the root characters: test that first
@@ -199,8 +202,3 @@ def bolt_token_string(text: Column | str, pattern: str, entries: Sequence[tuple[
     ids = F.transform(vocab_matches(t, pattern), lambda x: F.element_at(m, x))
     joined = F.array_join(F.zip_with(runs, ids, lambda r, i: F.concat(r, F.coalesce(i, F.lit("")))), "")
     return apply_rules(joined, rules)
-
-
-def bolt_ids(text: Column | str, pattern: str, entries: Sequence[tuple[str, int]], rules) -> Column:
-    """``BoltOnTokenizer.tokenize(text)`` as ``array<int>``."""
-    return token_string_ids(bolt_token_string(text, pattern, entries, rules))

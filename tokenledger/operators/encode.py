@@ -51,6 +51,17 @@ def tokens_by_key(df: DataFrame, rules, keys: Sequence[str], text: str = "text")
     return _densities(agg)
 
 
+def tokens_by_key_many(df: DataFrame, tokenizers: dict, keys: Sequence[str], text: str = "text") -> DataFrame:
+    """Token totals of several rule lists per key, in one pass over the texts:
+    ``(*keys, bytes, tokens_<name>..., per_byte_<name>...)``."""
+    per = df.select(*keys, byte_length(text).alias("b"),
+                    *[token_count(text, rules).alias(f"t_{n}") for n, rules in tokenizers.items()])
+    agg = per.groupBy(*keys).agg(F.sum("b").alias("bytes"),
+                                 *[F.sum(f"t_{n}").alias(f"tokens_{n}") for n in tokenizers])
+    return agg.select("*", *[F.try_divide(F.col(f"tokens_{n}").cast("double"), F.col("bytes").cast("double"))
+                             .alias(f"per_byte_{n}") for n in tokenizers])
+
+
 def _densities(agg: DataFrame) -> DataFrame:
     t = F.col("tokens").cast("double")
     return (agg.withColumn("tokens_per_byte", F.try_divide(t, F.col("bytes").cast("double")))

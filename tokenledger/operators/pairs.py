@@ -69,15 +69,13 @@ def pair_counts(words: DataFrame, tok: str = "tok", freq: str = "freq",
         key = F.shiftleft(F.col("_o"), shift) + F.col("_i")
         return ex.groupBy("pair").agg(F.sum("_f").alias("n"), F.min(key).alias("first"))
     if first is not None:
-        # A struct minimum plans as a sort-based aggregate.  Its partial step
-        # still collapses each partition to distinct pairs before the
-        # shuffle, which a hash version keyed by (pair, word) would not; the
-        # training loop itself uses the packed bigint key above.
+        # A struct minimum plans as a sort-based aggregate; it is the way out
+        # when no bigint key fits (see ``operators.words.first_key``).
         fields = words.schema[first].dataType.fieldNames()
-        ex = explode_pairs(words, tok, {"_f": F.col(freq), "_o": F.col(first)})
+        ex = explode_pairs(words, tok, {"_f": F.col(freq), "_o": F.col(first)}, max_len, route_len)
         key = F.struct(*[F.col(f"_o.{f}").alias(f) for f in fields], F.col("_i").alias("i"))
         return ex.groupBy("pair").agg(F.sum("_f").alias("n"), F.min(key).alias("first"))
-    ex = explode_pairs(words, tok, {"_f": F.col(freq)})
+    ex = explode_pairs(words, tok, {"_f": F.col(freq)}, max_len, route_len)
     return ex.groupBy("pair").agg(F.sum("_f").alias("n"))
 
 
@@ -92,6 +90,15 @@ def pair_ids(pair: Column | str) -> tuple[Column, Column]:
     return cid(F.substring(p, 1, 1)), cid(F.substring(p, 2, 1))
 
 
+def counted_pairs(keys, tok: str = "tok") -> DataFrame:
+    """``pair_counts`` over a written word table (``WordKeys``), with the first
+    occurrence as ``struct<*fields, i>``: one word aggregation in all, and a
+    hash aggregate by pair."""
+    col = "first" if keys.shift is None else "wkey"
+    counts = pair_counts(keys.frame, tok, first=col, shift=keys.shift, max_len=keys.max_len)
+    return keys.firsts(counts)
+
+
 def ranked_pairs(counts: DataFrame) -> DataFrame:
     """Order pairs as the trainer picks them: count desc, first occurrence asc."""
     return counts.orderBy(F.desc("n"), F.asc("first"))

@@ -141,12 +141,13 @@ def _padded(n: int) -> int:
 
 def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
               batched: bool = True, fetch: int = 64, checkpoint_every: int = 8,
-              min_count: int = 2) -> TrainResult:
+              min_count: int = 2, written: bool = False) -> TrainResult:
     """Learn up to ``num_merges`` rules from a word table ``(tok, freq, first)``.
 
     Stops early when no pair occurs ``min_count`` times.  ``batched=False``
     runs exactly one merge per job (the reference procedure, used to test
-    the batching).
+    the batching).  ``written`` says the table is already a written one (the
+    caller keeps it), so it is not written again.
     """
     spark = words.sparkSession
     result = TrainResult(rules=[], first_id=first_id)
@@ -156,21 +157,17 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     ensure_checkpoint_dir(spark)
 
     t_setup = time.perf_counter()
-    keyed, shift, max_len, n_words, scratch = first_key(
-        words.select("tok", "freq", "first").where(F.char_length("tok") >= 2))
-    if shift > 30:
-        raise ValueError(f"a word of {max_len} tokens is too long to rank positions")
-    # The word table was written by every core; small tables are narrowed
-    # (no shuffle) to one partition per WORDS_PER_PARTITION words, which cuts
-    # per-task overhead in the many small step jobs.  The set is kept in
-    # memory; a lost block is re-read from the files, not recomputed.
-    parts = min(max(spark.sparkContext.defaultParallelism, 1),
-                max(1, -(-n_words // WORDS_PER_PARTITION)))
-    base = keyed.select("tok", "freq", F.col("wkey").alias("first"),
-                        F.char_length("tok").alias("blen"))
+    keys = first_key(words.select("tok", "freq", "first").where(F.char_length("tok") >= 2), write=not written)
+    scratch, shift, max_len = keys.paths, keys.shift, keys.max_len
+    first = F.col("first") if shift is None else F.col("wkey")
+    # The table's files give as many partitions as its size asks for; a table
+    # with fewer is dealt out to one per WORDS_PER_PARTITION words.  The set
+    # is kept in memory; a lost block is re-read from the files.
+    parts = max(1, -(-keys.n_words // WORDS_PER_PARTITION))
+    base = keys.frame.select("tok", "freq", first.alias("first"), F.char_length("tok").alias("blen"))
     current = num_partitions(base)
-    if current is not None and parts < current:
-        base = base.coalesce(parts)
+    if current is not None and current < parts:
+        base = base.repartition(parts)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     result.setup_seconds = time.perf_counter() - t_setup
     # Each step reads the last written working set and re-applies the rules
@@ -228,12 +225,6 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     return result
 
 
-def trained_sequences(words: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The training words after all merges: adds ``n_tokens``."""
-    return (words.withColumn("tok", apply_rules("tok", rules))
-            .withColumn("n_tokens", F.char_length("tok")))
-
-
 def compression(words: DataFrame, rules: list[Rule]) -> DataFrame:
     """Corpus tokens before and after training, and their ratio (one row)."""
     seq = words.select("freq", F.char_length("tok").alias("b"),

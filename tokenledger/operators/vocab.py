@@ -8,6 +8,7 @@ label stays), and ids are handed out consecutively from ``first_id``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -16,10 +17,36 @@ from pyspark.sql import functions as F
 
 from tokenledger.functions import vocab as vf
 from tokenledger.functions.tokens import encode_token_string, token_count, token_string_ids
+from tokenledger.operators import match
 
-# Vocabularies reach every task as a compiled regex and a literal map; this
-# bounds what we are willing to ship that way.
-MAX_VOCAB_ENTRIES = 50_000
+# Up to this many entries a vocabulary is compiled into one regex that runs in
+# a narrow projection; a larger one is matched by joins (``operators.match``).
+# Both give the same matches.
+REGEX_ENTRIES = 2_000
+
+# Items ranked by one task while ids are handed out.
+_RANK_BLOCK = 1 << 16
+
+
+def _numbered(v: DataFrame, first_id: int) -> DataFrame:
+    """Consecutive ``token_id`` from ``first_id`` in (group_ord, item_ord)
+    order: ranks inside blocks of item ordinals, shifted by the counts of the
+    blocks before (one row per block)."""
+    v = v.withColumn("_block", F.floor(F.col("item_ord") / F.lit(_RANK_BLOCK)))
+    own = Window.partitionBy("group_ord", "_block").orderBy("item_ord")
+    v = v.withColumn("_rn", F.row_number().over(own))
+    sizes = v.groupBy("group_ord", "_block").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("group_ord", "_block")
+    offsets = sizes.select("group_ord", "_block", (F.sum("_cnt").over(before) - F.col("_cnt")).alias("_off"))
+    return v.join(offsets, ["group_ord", "_block"]).select(
+        (F.col("_off") + F.col("_rn") + F.lit(first_id - 1)).cast("int").alias("token_id"), "term",
+        F.octet_length("term").alias("n_bytes"), "label", "group_ord", "item_ord")
+
+
+def _first_wins(vocab_in: DataFrame) -> DataFrame:
+    v = vocab_in.where(F.octet_length("term") > 1)
+    w = Window.partitionBy("term").orderBy("group_ord", "item_ord")
+    return v.withColumn("_k", F.row_number().over(w)).where(F.col("_k") == 1).drop("_k")
 
 
 def build_vocab(vocab_in: DataFrame, first_id: int) -> DataFrame:
@@ -27,32 +54,26 @@ def build_vocab(vocab_in: DataFrame, first_id: int) -> DataFrame:
 
     Returns ``(token_id, term, n_bytes, label, group_ord, item_ord)``.
     """
-    v = vocab_in.where(F.octet_length("term") > 1)
-    first_wins = Window.partitionBy("term").orderBy("group_ord", "item_ord")
-    v = v.withColumn("_k", F.row_number().over(first_wins)).where(F.col("_k") == 1).drop("_k")
-    # Consecutive ids in list order without a global sort: rank inside each
-    # group (partitioned by group) plus the group's offset, which comes from
-    # the tiny per-group count table.
-    in_group = Window.partitionBy("group_ord").orderBy("item_ord")
-    v = v.withColumn("_rn", F.row_number().over(in_group))
-    sizes = v.groupBy("group_ord").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = sizes.select(
-        "group_ord",
-        (F.sum("_cnt").over(Window.orderBy("group_ord")) - F.col("_cnt")).alias("_off"))
-    v = v.join(F.broadcast(offsets), "group_ord")
-    return v.select(
-        (F.col("_off") + F.col("_rn") + F.lit(first_id - 1)).cast("int").alias("token_id"),
-        "term",
-        F.octet_length("term").alias("n_bytes"),
-        "label", "group_ord", "item_ord",
-    )
-
-
-def vocab_added(vocab: DataFrame, vocab_in: DataFrame) -> DataFrame:
+    return _numbered(_first_wins(vocab_in), first_id)
+
+
+def extend_vocab(vocab: DataFrame, vocab_in: DataFrame) -> DataFrame:
+    """The rows that adding ``vocab_in`` to an existing table brings: entries
+    already present are skipped (anti join on the term), ids go on after the
+    largest one.  Union with ``vocab`` for the new table; ``count()`` is the
+    number added."""
+    top = vocab.agg(F.max("token_id")).first()[0]
+    fresh = _first_wins(vocab_in).join(vocab.select("term"), "term", "left_anti")
+    return _numbered(fresh, 256 if top is None else top + 1)
+
+
+def vocab_added(vocab: DataFrame, vocab_in: DataFrame, total: bool = True) -> DataFrame:
     """Entries offered and added per group, with a grand-total row (rollup)."""
     offered = vocab_in.groupBy("group_ord", "label").agg(F.count(F.lit(1)).alias("offered"))
     added = vocab.groupBy("group_ord", "label").agg(F.count(F.lit(1)).alias("added"))
     per = offered.join(added, ["group_ord", "label"], "left").fillna(0, ["added"])
+    if not total:
+        return per
     return (per.rollup("group_ord", "label")
             .agg(F.sum("offered").alias("offered"), F.sum("added").alias("added"))
             .where(F.col("label").isNotNull() | F.col("group_ord").isNull()))
@@ -73,16 +94,25 @@ class BoltOn:
     entries: tuple  # (term, token_id) in id order
 
     @staticmethod
-    def from_vocab(vocab: DataFrame, rules, max_entries: int = MAX_VOCAB_ENTRIES) -> "BoltOn":
-        n = vocab.count()
-        if n > max_entries:
-            raise ValueError(f"vocabulary of {n} entries exceeds max_entries={max_entries}")
-        rows = vocab.select("term", "token_id").orderBy("token_id").collect()
-        top_rule = max((r.new_id for r in rules), default=255)
-        if rows and rows[0]["token_id"] <= top_rule:
-            raise ValueError("bolt-on ids must start above every rule id")
+    def from_vocab(vocab: DataFrame, rules) -> "BoltOn":
+        """For vocabularies that fit a regex; see ``bolt_on`` for any size."""
+        rows = vocab.select("term", "token_id").orderBy("token_id").limit(REGEX_ENTRIES + 1).collect()
+        if len(rows) > REGEX_ENTRIES:
+            raise ValueError("use bolt_on(): a vocabulary of this size is matched by joins")
+        _check_ids(rows[0]["token_id"] if rows else None, rules)
         return BoltOn(tuple(rules), tuple((r["term"], int(r["token_id"])) for r in rows))
 
+    # The same operations as LargeBoltOn, row by row.
+    def with_counts(self, df: DataFrame, key: Sequence[str], text: str = "text", out: str = "bolt_tokens") -> DataFrame:
+        return df.withColumn(out, self.token_count(text))
+
+    def with_token_string(self, df: DataFrame, key: Sequence[str], text: str = "text", out: str = "token_string") -> DataFrame:
+        return df.withColumn(out, self.token_string(text))
+
+    def matched(self, df: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
+        """``(*key, term)``, one row per match."""
+        return df.select(*key, F.explode(self.matches(text)).alias("term"))
+
     @cached_property
     def pattern(self) -> str:
         return vf.trie_pattern(t for t, _ in self.entries)
@@ -138,3 +168,40 @@ class BoltOn:
 
     def ids(self, text: Column | str) -> Column:
         return token_string_ids(self.token_string(text))
+
+
+@dataclass(frozen=True)
+class LargeBoltOn:
+    """A rule list plus a vocabulary table of any size, matched by joins.
+
+    The vocabulary stays a DataFrame; nothing of it reaches the driver but the
+    distinct term lengths.  ``key`` names columns that identify a text.
+    """
+
+    rules: tuple
+    vocab: DataFrame
+
+    def with_token_string(self, df: DataFrame, key: Sequence[str], text: str = "text", out: str = "token_string") -> DataFrame:
+        keep = [c for c in df.columns if c not in key]
+        return match.encoded(df, self.vocab, self.rules, key, text, keep).withColumnRenamed("token_string", out)
+
+    def with_counts(self, df: DataFrame, key: Sequence[str], text: str = "text", out: str = "bolt_tokens") -> DataFrame:
+        return self.with_token_string(df, key, text, "_ts").withColumn(out, F.char_length("_ts")).drop("_ts")
+
+    def matched(self, df: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
+        """``(*key, term)``, one row per match."""
+        return match.longest_matches(df, self.vocab, key, text).select(*key, "term")
+
+
+def _check_ids(lowest: int | None, rules) -> None:
+    if lowest is not None and lowest <= max((r.new_id for r in rules), default=255):
+        raise ValueError("bolt-on ids must start above every rule id")
+
+
+def bolt_on(vocab: DataFrame, rules, regex_entries: int = REGEX_ENTRIES) -> "BoltOn | LargeBoltOn":
+    """A tokenizer extended by a vocabulary table: by regex up to
+    ``regex_entries``, by joins beyond; the results are the same."""
+    if vocab.count() <= min(regex_entries, REGEX_ENTRIES):
+        return BoltOn.from_vocab(vocab, rules)
+    _check_ids(vocab.agg(F.min("token_id")).first()[0], rules)
+    return LargeBoltOn(tuple(rules), vocab)

@@ -9,6 +9,7 @@ materialised: weights multiply counts and leave first-seen order unchanged.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,53 +23,60 @@ def pretokenize(corpus: DataFrame, text: str = "text",
     return corpus.select(*keep, F.posexplode(words(text)).alias("pos", "word"))
 
 
-# First occurrences (source ordinal, document ordinal, word position) pack
-# into one decimal(38,0): source * 10^30 + (doc + 2^63) * 10^10 + pos.  A
-# Spark string is under 2 GB, so a position has at most 10 digits; a shifted
-# bigint has at most 20; sources must be below 10^8.  Decimal aggregation
-# buffers are fixed-width, so ``min`` stays a hash aggregate -- ``min`` over a
-# struct would sort every exploded word of the corpus.
+# First occurrences (order columns, word position) travel through the corpus
+# aggregation as one packed number, so ``min`` stays a hash aggregate -- ``min``
+# over a struct would sort every exploded word of the corpus.  A column's
+# value is stored relative to its observed minimum, null as 0 (nulls come
+# first), so any bigint works as an ordinal.  The key is a bigint when the
+# observed ranges leave room for the 31 bits of a position, a decimal(38,0)
+# when their digits do, and the plain struct otherwise.
 _KEY = "decimal(38,0)"
-_SOURCE_LIMIT = 10 ** 8
+_POS_BITS = 31
+_POS_DIGITS = 10
 
 
 def _dec(v: int) -> Column:
     return F.lit(str(v)).cast(_KEY)
 
 
-def _pack_first(source: Column, doc: Column, pos: Column) -> Column:
-    s = F.when((source >= 0) & (source < _SOURCE_LIMIT), source).otherwise(
-        F.raise_error(F.lit(f"source ordinal outside [0, {_SOURCE_LIMIT})")))
-    return (s.cast(_KEY) * _dec(10 ** 30) + (doc.cast(_KEY) + _dec(2 ** 63)) * _dec(10 ** 10)
-            + pos.cast(_KEY))
-
+@dataclass(frozen=True)
+class _Field:
+    name: str
+    type: str
+    low: int
+    span: int  # codes 0..span
 
-def _unpack_first(key: Column, names: Sequence[str]) -> Column:
-    source = F.floor(key / _dec(10 ** 30)).cast("int")
-    doc = (F.floor(key / _dec(10 ** 10)) - source.cast(_KEY) * _dec(10 ** 20) - _dec(2 ** 63))
-    pos = key - F.floor(key / _dec(10 ** 10)) * _dec(10 ** 10)
-    return F.struct(source.alias(names[0]), doc.cast("bigint").alias(names[1]),
-                    pos.cast("int").alias("pos"))
+    @property
+    def bits(self) -> int:
+        return max(1, self.span.bit_length())
 
+    @property
+    def digits(self) -> int:
+        # one digit of headroom keeps decimal quotients away from rounding
+        return len(str(self.span)) + 1
 
-def _long_layout(corpus: DataFrame, order: Sequence[str]) -> tuple[int, int, int] | None:
-    """Bit layout for a bigint first-occurrence key, if the data allows one.
+    def code(self, c: Column, kind: str) -> Column:
+        low = F.lit(self.low).cast("bigint") if kind == "bigint" else _dec(self.low)
+        one = F.lit(1).cast("bigint") if kind == "bigint" else _dec(1)
+        return F.coalesce(c.cast(kind) - low + one, F.lit(0).cast(kind))
 
-    One cheap job reads only the two ordinal columns.  Positions take 31
-    bits (a Spark string holds fewer than 2^31 words).  Returns
-    ``(doc_bits, doc_min, pos_bits)`` or None when the key would not fit.
-    """
-    st = corpus.agg(F.min(order[0]).alias("s0"), F.max(order[0]).alias("s1"),
-                    F.min(order[1]).alias("d0"), F.max(order[1]).alias("d1")).first()
-    if st is None or st["s0"] is None or st["s0"] < 0:
-        return None
-    doc_bits = max(1, int(st["d1"] - st["d0"]).bit_length())
-    if max(1, int(st["s1"]).bit_length()) + doc_bits + _POS_BITS > 63:
-        return None
-    return doc_bits, int(st["d0"]), _POS_BITS
+    def decode(self, code: Column, kind: str) -> Column:
+        low = F.lit(self.low).cast("bigint") if kind == "bigint" else _dec(self.low)
+        one = F.lit(1).cast("bigint") if kind == "bigint" else _dec(1)
+        return F.when(code > 0, (code - one + low).cast(self.type))
 
 
-_POS_BITS = 31
+def _observed(df: DataFrame, columns: dict[str, Column]) -> list[_Field]:
+    """Ranges of integer columns from one small job that reads only them."""
+    aggs = [f(c).alias(f"{k}{i}") for i, c in enumerate(columns.values()) for k, f in (("lo", F.min), ("hi", F.max))]
+    st = df.agg(*aggs).first()
+    types = dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes)
+    out = []
+    for i, n in enumerate(columns):
+        lo, hi = st[f"lo{i}"], st[f"hi{i}"]
+        lo, hi = (0, -1) if lo is None else (int(lo), int(hi))
+        out.append(_Field(n, types[n], lo, hi - lo + 1))
+    return out
 
 
 def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
@@ -77,33 +85,44 @@ def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
 
     Returns ``(word, freq bigint, first struct<*order, pos>)``.  The
     aggregation is partial (map-side) then final, so a hot word costs one
-    row per partition in the shuffle.  With the usual ``(source, document)``
-    order the first occurrence travels as one packed key -- a bigint when the
-    observed ordinals leave room, else a decimal(38,0) -- so ``min`` is a hash
-    aggregate; other orders fall back to ``min`` over a struct (sorting).
+    row per partition in the shuffle.  The order columns are any integers,
+    also negative or null (nulls come first).
     """
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     exploded = corpus.select(*order, w.alias("_w"), F.posexplode(words(text)).alias("pos", "word"))
-    if len(order) != 2:
-        return (exploded.groupBy("word")
-                .agg(F.sum("_w").alias("freq"), F.min(F.struct(*order, "pos")).alias("first")))
-    layout = _long_layout(corpus, order)
-    s, d, p = F.col(order[0]), F.col(order[1]), F.col("pos")
-    if layout is None:
-        key = _pack_first(s, d, p)
+    fields = _observed(corpus, {n: F.col(n) for n in order})
+    pos = F.col("pos")
+    if sum(f.bits for f in fields) + _POS_BITS <= 63:
+        key = F.lit(0).cast("bigint")
+        for f in fields:
+            key = F.shiftleft(key, f.bits) + f.code(F.col(f.name), "bigint")
+        key = F.shiftleft(key, _POS_BITS) + pos.cast("bigint")
+        agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
+        rest, parts = F.shiftright("_k", _POS_BITS), []
+        for f in reversed(fields):
+            parts.append(f.decode(rest.bitwiseAND(F.lit((1 << f.bits) - 1)), "bigint").alias(f.name))
+            rest = F.shiftright(rest, f.bits)
+        at = F.col("_k").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).cast("int")
+        return agg.select("word", "freq", F.struct(*reversed(parts), at.alias("pos")).alias("first"))
+    if sum(f.digits for f in fields) + _POS_DIGITS <= 38:
+        key = _dec(0)
+        for f in fields:
+            key = (key * _dec(10 ** f.digits)).cast(_KEY) + f.code(F.col(f.name), _KEY)
+        key = ((key * _dec(10 ** _POS_DIGITS)).cast(_KEY) + pos.cast(_KEY)).cast(_KEY)
         agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
-        return agg.select("word", "freq", _unpack_first(F.col("_k"), order).alias("first"))
-    doc_bits, doc_min, pos_bits = layout
-    key = (F.shiftleft(s.cast("bigint"), doc_bits + pos_bits)
-           + F.shiftleft(d - F.lit(doc_min), pos_bits) + p.cast("bigint"))
-    agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
-    k = F.col("_k")
-    first = F.struct(
-        F.shiftright(k, doc_bits + pos_bits).cast("int").alias(order[0]),
-        (F.shiftright(k, pos_bits).bitwiseAND(F.lit((1 << doc_bits) - 1)) + F.lit(doc_min))
-        .cast("bigint").alias(order[1]),
-        k.bitwiseAND(F.lit((1 << pos_bits) - 1)).cast("int").alias("pos"))
-    return agg.select("word", "freq", first.alias("first"))
+
+        def cut(k: Column, digits: int) -> tuple[Column, Column]:
+            low = (k % _dec(10 ** digits)).cast(_KEY)
+            return ((k - low).cast(_KEY) / _dec(10 ** digits)).cast(_KEY), low
+
+        rest, at = cut(F.col("_k"), _POS_DIGITS)
+        parts = []
+        for f in reversed(fields):
+            rest, code = cut(rest, f.digits)
+            parts.append(f.decode(code, _KEY).alias(f.name))
+        return agg.select("word", "freq", F.struct(*reversed(parts), at.cast("int").alias("pos")).alias("first"))
+    return (exploded.groupBy("word")
+            .agg(F.sum("_w").alias("freq"), F.min(F.struct(*order, "pos")).alias("first")))
 
 
 def word_table(corpus: DataFrame, order: Sequence[str], text: str = "text",
@@ -143,47 +162,66 @@ def rank_words(table: DataFrame, first: str = "first") -> tuple[DataFrame, int,
     return ranked, int(max_len), [path]
 
 
-def first_key(table: DataFrame, first: str = "first") -> tuple[DataFrame, int, int, int, list[str]]:
+@dataclass
+class WordKeys:
+    """A written word table with an order-preserving key per word.
+
+    ``frame`` has ``wkey`` (bigint) when ``shift`` is set: the number of low
+    bits that a position inside the token string takes next to it.  Without
+    ``shift`` nothing fits a bigint and ``first`` itself is the key.
+    """
+
+    frame: DataFrame
+    shift: int | None
+    max_len: int
+    n_words: int
+    paths: list[str]
+    fields: list[_Field] | None  # packed fields, or None for ranks
+
+    def firsts(self, pairs: DataFrame) -> DataFrame:
+        """``pairs(..., first)`` with ``first`` as ``struct<*fields, i>``."""
+        if self.shift is None:
+            return pairs
+        low = F.col("first").bitwiseAND(F.lit((1 << self.shift) - 1)).cast("int").alias("i")
+        rest, cols = F.shiftright("first", self.shift), [c for c in pairs.columns if c != "first"]
+        if self.fields is None:
+            words_first = self.frame.select(F.col("wkey").alias("_wkey"), F.col("first").alias("_first"))
+            names = self.frame.schema["first"].dataType.fieldNames()
+            return pairs.join(words_first, rest == F.col("_wkey")).select(
+                *cols, F.struct(*[F.col(f"_first.{n}").alias(n) for n in names], low).alias("first"))
+        parts = []
+        for f in reversed(self.fields):
+            parts.append(f.decode(rest.bitwiseAND(F.lit((1 << f.bits) - 1)), "bigint").alias(f.name))
+            rest = F.shiftright(rest, f.bits)
+        return pairs.select(*cols, F.struct(*reversed(parts), low).alias("first"))
+
+
+def first_key(table: DataFrame, first: str = "first", write: bool = True) -> WordKeys:
     """An order-preserving ``bigint`` key for each word's first occurrence.
 
-    The word table is written once (it is the expensive input of training).
-    If the maxima of the first-occurrence fields (all non-negative) fit into
-    the bits left next to the position bits, the key is the packed fields;
-    otherwise a distributed dense rank is used (``rank_words``).
-    Returns ``(table with wkey, shift, max_len, n_words, scratch paths)``,
-    where ``shift`` is the number of low bits reserved for a position inside
-    the token string and ``max_len`` the longest token string.
+    The word table is written once (it is the expensive input of training;
+    ``write=False`` says it already is).  If the observed ranges of the
+    first-occurrence fields fit next to the position bits, the key is the
+    packed fields; else a distributed dense rank (``rank_words``); else, for a
+    word too long for either, the struct stays the key.
     """
     from tokenledger.session import materialize
 
-    spark = table.sparkSession
-    fields = table.schema[first].dataType.fieldNames()
-    # Written by every core: AQE would otherwise coalesce the small
-    # distinct-word table into one or two writing tasks.
-    written, path = materialize(table.repartition(max(spark.sparkContext.defaultParallelism, 1)),
-                                "word-table")
-    aggs = [F.max(F.char_length("tok")).alias("_len"), F.count(F.lit(1)).alias("_n")]
-    for f in fields:
-        aggs += [F.min(F.col(f"{first}.{f}")).alias(f"_min_{f}"),
-                 F.max(F.col(f"{first}.{f}")).alias(f"_max_{f}")]
-    st = written.agg(*aggs).first()
-    max_len = int(st["_len"] or 0)
-    n_words = int(st["_n"])
+    paths = []
+    if write:
+        table, path = materialize(table, "word-table")
+        paths.append(path)
+    names = table.schema[first].dataType.fieldNames()
+    st = table.agg(F.max(F.char_length("tok")).alias("len"), F.count(F.lit(1)).alias("n")).first()
+    max_len, n_words = int(st["len"] or 0), int(st["n"])
     shift = max(1, max_len.bit_length())
-    widths = []
-    packable = True
-    for f in fields:
-        lo, hi = st[f"_min_{f}"], st[f"_max_{f}"]
-        if lo is None or lo < 0:
-            packable = packable and lo is None
-            widths.append(1)
-        else:
-            widths.append(max(1, int(hi).bit_length()))
-    if packable and sum(widths) + shift <= 62:
+    fields = _observed(table, {n: F.col(f"{first}.{n}") for n in names})
+    if sum(f.bits for f in fields) + shift <= 62:
         key = F.lit(0).cast("bigint")
-        for f, w in zip(fields, widths):
-            key = F.shiftleft(key, w) + F.col(f"{first}.{f}").cast("bigint")
-        return written.withColumn("wkey", key), shift, max_len, n_words, [path]
-    ranked, max_len2, paths = rank_words(written, first)
-    shift = max(1, int(max_len2).bit_length())
-    return ranked.withColumnRenamed("wrank", "wkey"), shift, max_len2, n_words, [path] + paths
+        for f in fields:
+            key = F.shiftleft(key, f.bits) + f.code(F.col(f"{first}.{f.name}"), "bigint")
+        return WordKeys(table.withColumn("wkey", key), shift, max_len, n_words, paths, fields)
+    if n_words.bit_length() + shift <= 62:
+        ranked, _, more = rank_words(table, first)
+        return WordKeys(ranked.withColumnRenamed("wrank", "wkey"), shift, max_len, n_words, paths + more, None)
+    return WordKeys(table, None, max_len, n_words, paths, None)

@@ -9,7 +9,7 @@ and matching uses a flat longest-first alternation (RE2).
 from __future__ import annotations
 
 from tokenledger.plans import sqlgen as g
-from tokenledger.plans.queries import BASELINE_LANG, DOC_MERGES, DOC_VOLUME, VARIANTS, base_rules
+from tokenledger.plans.queries import BASELINE_LANG, CJK_FROM, CJK_TO, DOC_MERGES, VARIANTS, base_rules
 from tokenledger.sources import fixtures as fx
 from tokenledger.sources.tables import DOCUMENT_MIXES
 
@@ -29,20 +29,6 @@ def _pattern(labels=None) -> str:
     return g.vocab_pattern([t for _, _, t, _ in _vocab_rows(labels)])
 
 
-def _vocab_ids(labels=None) -> list[tuple[str, int]]:
-    """(term, id) as the bolt-on tokenizer assigns them (used for id lookup)."""
-    seen: set[bytes] = set()
-    out, nxt = [], FIRST_VOCAB_ID
-    for _, _, term, _ in _vocab_rows(labels):
-        b = term.encode("utf-8")
-        if b in seen or len(b) <= 1:
-            continue
-        seen.add(b)
-        out.append((term, nxt))
-        nxt += 1
-    return out
-
-
 def _with(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body if ctes else body
 
@@ -63,6 +49,16 @@ FROM (SELECT lang AS source, CASE lang {so} END AS so, CAST(CASE lang {wt} END A
 GROUP BY source, so, weight"""
 
 
+def corpora_union() -> str:
+    return f"""
+SELECT source, CAST(so AS BIGINT) AS source_ord, CAST(weight AS BIGINT) AS weight, CAST(count(*) AS BIGINT) AS texts,
+       CAST(sum(w) AS BIGINT) AS words, CAST(sum(b) AS BIGINT) AS bytes, CAST(weight * sum(w) AS BIGINT) AS weighted_words
+FROM (SELECT 'documents' AS source, 0 AS so, 1 AS weight, len({g.words('text')}) AS w, strlen(text) AS b FROM documents
+      UNION ALL
+      SELECT 'conversations', 1, 2, len({g.words('text')}), strlen(text) FROM conversations) t
+GROUP BY source, so, weight"""
+
+
 def corpus_words() -> str:
     vals = ", ".join(f"({g.q(m)}, {g.q(lang)}, {w})" for m, mix in DOCUMENT_MIXES.items()
                      for lang, w in mix)
@@ -137,15 +133,17 @@ def pair_top() -> str:
 SELECT CAST(row_number() OVER (ORDER BY n DESC, first ASC) - 1 AS BIGINT) AS rank,
        CAST(unicode(substr(pair, 1, 1)) AS BIGINT) AS left_id,
        CAST(unicode(substr(pair, 2, 1)) AS BIGINT) AS right_id, n
-FROM (SELECT * FROM pc ORDER BY n DESC, first ASC LIMIT 10) t"""
+FROM (SELECT * FROM pc WHERE n >= 2 ORDER BY n DESC, first ASC LIMIT 10) t"""
 
 
 def merge_step() -> str:
-    ctes, pairs = g.train_ctes("m", g.documents_corpus(None), 1)
-    return _with(ctes, f"""
+    return _initial_pairs() + """,
+best AS MATERIALIZED (SELECT coalesce(max(pair), '') AS pair
+                      FROM (SELECT pair FROM pc WHERE n >= 2 ORDER BY n DESC, first ASC LIMIT 1) b),
+words AS (SELECT word, freq FROM (""" + g.corpus_words_cte(g.documents_corpus(None)) + f""") y)
 SELECT word, freq, CAST(length(tok) AS BIGINT) AS tokens_before,
-       CAST(length({g.apply_trained('tok', pairs)}) AS BIGINT) AS tokens_after
-FROM m_w0""")
+       CAST(CASE WHEN pair = '' THEN length(tok) ELSE length(replace(tok, pair, {g.chr_id(256)})) END AS BIGINT) AS tokens_after
+FROM (SELECT word, freq, {g.utf8_byte_string('word')} AS tok FROM words) w CROSS JOIN best"""
 
 
 # ----------------------------------------------------------- training (2.6)
@@ -160,11 +158,15 @@ def train_rules() -> str:
 
 
 def rules_top10() -> str:
+    return rule_labels() + " WHERE rank < 10"
+
+
+def rule_labels() -> str:
     ctes, pairs = _doc_training()
     return _with(ctes, f"""
 SELECT rank, {g.token_label('left_id')} AS left_label, {g.token_label('right_id')} AS right_label,
        new_id, n
-FROM ({g.rules_select(pairs)}) r WHERE rank < 10""")
+FROM ({g.rules_select(pairs)}) r""")
 
 
 def train_compression() -> str:
@@ -316,6 +318,24 @@ SELECT label, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(hits * n_bytes) AS BIG
 FROM h JOIN v USING (term) GROUP BY label"""
 
 
+def _cjk(sql: str) -> str:
+    """The same query over documents mapped to the vocabulary's scripts."""
+    mapped = f"cjk AS (SELECT doc_id, lang, translate(text, {g.q(CJK_FROM)}, {g.q(CJK_TO)}) AS text FROM documents)"
+    return f"WITH {mapped}\n{sql.replace('FROM documents', 'FROM cjk')}"
+
+
+def vocab_match_cjk() -> str:
+    return _cjk(vocab_match())
+
+
+def vocab_match_join() -> str:
+    return f"""
+WITH v AS ({g.vocab_table(_vocab_rows(), FIRST_VOCAB_ID)}),
+m AS (SELECT doc_id, unnest({g.vocab_matches('text', _pattern())}) AS term FROM documents)
+SELECT term, token_id, CAST(count(*) AS BIGINT) AS hits, CAST(count(DISTINCT doc_id) AS BIGINT) AS docs
+FROM m JOIN v USING (term) GROUP BY term, token_id"""
+
+
 def _bolt_count(runs_col: str) -> str:
     return f"length({g.bolt_token_string_counting(runs_col, RULES)})"
 
@@ -327,13 +347,33 @@ SELECT doc_id, lang, CAST(length({_enc('text')}) AS BIGINT) AS tokens_before,
 FROM (SELECT doc_id, lang, text, {g.vocab_runs('text', _pattern())} AS runs FROM documents) t"""
 
 
+def bolt_counts_cjk() -> str:
+    return _cjk(bolt_counts())
+
+
+def _bolt_strings(labels=None) -> str:
+    """``(doc_id, lang, t)``: token strings; ids come from the vocabulary table."""
+    t = g.bolt_token_string("runs", "ms", "idmap[{m}]", RULES)
+    return f"""
+SELECT doc_id, lang, {t} AS t
+FROM (SELECT doc_id, lang, idmap, {g.vocab_runs('text', _pattern(labels))} AS runs,
+             {g.vocab_matches('text', _pattern(labels))} AS ms
+      FROM documents CROSS JOIN ({_idmap(labels)}) i) a"""
+
+
+def _idmap(labels=None) -> str:
+    return (f"SELECT map(list(term), list(chr(CAST(token_id AS INTEGER)))) AS idmap "
+            f"FROM ({g.vocab_table(_vocab_rows(labels), FIRST_VOCAB_ID)}) v")
+
+
 def bolt_ids() -> str:
-    t = g.bolt_token_string("runs", "ms", g.id_char_case(_vocab_ids()), RULES)
     return f"""
 SELECT doc_id, CAST(length(t) AS BIGINT) AS tokens, {g.ids_text('t')} AS ids
-FROM (SELECT doc_id, {t} AS t
-      FROM (SELECT doc_id, {g.vocab_runs('text', _pattern())} AS runs,
-                   {g.vocab_matches('text', _pattern())} AS ms FROM documents) a) b"""
+FROM ({_bolt_strings()}) b"""
+
+
+def bolt_ids_cjk() -> str:
+    return _cjk(bolt_ids())
 
 
 def variant_counts() -> str:
@@ -348,6 +388,17 @@ def variant_counts() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def variant_counts_cjk() -> str:
+    return _cjk(variant_counts())
+
+
+def before_after() -> str:
+    return f"""
+WITH {_before_after()}
+SELECT lang, t0 AS before, t1 AS after, {g.div('t0', 'bytes')} AS tpb_before, {g.div('t1', 'bytes')} AS tpb_after
+FROM ba"""
+
+
 def _before_after() -> str:
     return f"""
 ba AS (SELECT lang, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
@@ -375,26 +426,29 @@ def token_cost() -> str:
     return f"""
 WITH {_before_after()},
 c AS (SELECT lang, t0 AS before, t1 AS after,
-             CAST(t0 * {DOC_VOLUME} AS DOUBLE) * {price} AS cost_before,
-             CAST(t1 * {DOC_VOLUME} AS DOUBLE) * {price} AS cost_after FROM ba)
+             CAST(t0 AS DOUBLE) * CAST({fx.SEND_VOLUME} AS DOUBLE) * {price} AS cost_before,
+             CAST(t1 AS DOUBLE) * CAST({fx.SEND_VOLUME} AS DOUBLE) * {price} AS cost_after FROM ba)
 SELECT lang, before, after, cost_before, cost_after,
        CASE WHEN cost_before - cost_after > 0 THEN cost_before - cost_after END AS saved
 FROM c"""
 
 
 def vocab_growth() -> str:
-    ctes, pairs = _doc_training()
-    rules_cte = f"r AS (SELECT count(*) AS n_rules FROM ({g.rules_select(pairs)}) x)"
-    parts = [f"SELECT 'base' AS variant, 0 AS added"]
-    for variant, labels in fx.VOCAB_VARIANTS.items():
-        # ids do not matter here, only how many entries are added
-        parts.append(f"SELECT {g.q(variant)} AS variant, count(*) AS added "
-                     f"FROM ({g.vocab_table(_vocab_rows(labels), 0)}) v")
-    adds = "\nUNION ALL\n".join(parts)
-    return _with(ctes + [rules_cte, f"a AS ({adds})"], """
-SELECT variant, CAST(256 AS BIGINT) AS base, CAST(n_rules AS BIGINT) AS rules, CAST(added AS BIGINT) AS added,
-       CAST(256 + n_rules + added AS BIGINT) AS vocab_size
-FROM a, r""")
+    variants = {"base": None} | fx.VOCAB_VARIANTS
+    parts = []
+    for variant, labels in variants.items():
+        if labels is None:
+            added, strings = "0", f"SELECT {_enc('text')} AS t FROM documents"
+        else:
+            added = f"(SELECT count(*) FROM ({g.vocab_table(_vocab_rows(labels), FIRST_VOCAB_ID)}) v)"
+            strings = _bolt_strings(labels)
+        parts.append(f"""SELECT {g.q(variant)} AS variant, CAST({added} AS BIGINT) AS added,
+       (SELECT CAST(count(DISTINCT c) AS BIGINT)
+        FROM (SELECT unnest(string_split(t, '')) AS c FROM ({strings}) s) u WHERE c <> '') AS used_ids""")
+    return "WITH a AS (" + "\nUNION ALL\n".join(parts) + f""")
+SELECT variant, CAST(256 AS BIGINT) AS base, CAST({len(RULES)} AS BIGINT) AS rules, added,
+       CAST(256 + {len(RULES)} + added AS BIGINT) AS vocab_size, used_ids
+FROM a"""
 
 
 def conversation_tokens() -> str:
@@ -439,6 +493,14 @@ ORACLES = {
     "bolt_reduction": bolt_reduction,
     "token_cost": token_cost,
     "vocab_growth": vocab_growth,
+    "corpora_union": corpora_union,
+    "rule_labels": rule_labels,
+    "vocab_match_cjk": vocab_match_cjk,
+    "vocab_match_join": vocab_match_join,
+    "bolt_counts_cjk": bolt_counts_cjk,
+    "bolt_ids_cjk": bolt_ids_cjk,
+    "variant_counts_cjk": variant_counts_cjk,
+    "before_after": before_after,
     "conversation_tokens": conversation_tokens,
 }
 

@@ -9,23 +9,25 @@ first reference experiment (80 rules from the English-heavy mix, see
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenledger.functions.text import array_size, byte_length, utf8_bytes, word_count, words
+from tokenledger.functions.text import (ASCII_WS_CLASS, ASCII_WS_PATTERN, array_size, byte_length, utf8_bytes,
+                                        word_count, words)
 from tokenledger.functions.vocab import bolt_token_count
-from tokenledger.functions.tokens import (apply_rules, char_to_id, token_count, token_label,
+from tokenledger.functions.tokens import (apply_rules, char_to_id, encode_token_string, token_count, token_label,
                                           token_string_ids)
 from tokenledger.operators import encode as enc
-from tokenledger.operators.pairs import pair_counts, pair_ids, ranked_pairs
+from tokenledger.operators.match import longest_matches
+from tokenledger.operators.pairs import counted_pairs, pair_ids, top_pairs
 from tokenledger.operators.train import Rule, compression, train_bpe
-from tokenledger.operators.vocab import BoltOn, build_vocab, vocab_added
-from tokenledger.operators.words import word_freq, word_table
+from tokenledger.operators.vocab import BoltOn, LargeBoltOn, build_vocab, vocab_added
+from tokenledger.operators.words import WordKeys, first_key, word_freq, word_table
 from tokenledger.plans import reports
+from tokenledger.session import materialize
 from tokenledger.sources import fixtures as fx
 from tokenledger.sources import tables as tb
 from tokenledger.sources.rules import reference_rules
@@ -33,7 +35,6 @@ from tokenledger.sources.rules import reference_rules
 BASE_MIX = "heavy"
 DOC_MERGES = 80
 BASELINE_LANG = "en"
-DOC_VOLUME = 1  # documents are costed once at the reference price per token
 VARIANTS = ["base", "zh", "ja", "fr", "all"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,40 +60,31 @@ def _docs(spark: SparkSession, sf: str, cols=("doc_id", "lang", "text")) -> Data
     return tb.documents(spark, sf, cols)
 
 
-# --------------------------------------------------------------- training memo
-# Training results are small (<= num_merges rules); one run per corpus and
-# data directory is shared by the queries that need it.
-_TRAINED: dict[tuple, list[Rule]] = {}
-_TRAIN_LOCK = threading.Lock()
+# ------------------------------------------------------------------ training
 
-
-def trained_rules(spark: SparkSession, sf: str, mix_name: str | None,
-                  num_merges: int = DOC_MERGES) -> list[Rule]:
-    key = (sf.rstrip("/"), mix_name, num_merges)
-    with _TRAIN_LOCK:
-        if key in _TRAINED:
-            return _TRAINED[key]
+def train_documents(spark: SparkSession, sf: str, mix_name: str | None = None,
+                    num_merges: int = DOC_MERGES) -> tuple[list[Rule], DataFrame]:
+    """Rules learned from the documents (or a mix of them), and the written
+    word table they were learned from."""
     mix = tb.DOCUMENT_MIXES[mix_name] if mix_name else None
-    wt = word_table(tb.documents_corpus(spark, sf, mix), ["source_ord", "doc_ord"])
-    rules = train_bpe(wt, num_merges).rules
-    with _TRAIN_LOCK:
-        _TRAINED.setdefault(key, rules)
-        return _TRAINED[key]
+    words_, _ = materialize(word_table(tb.documents_corpus(spark, sf, mix), ["source_ord", "doc_ord"]), "words")
+    return train_bpe(words_, num_merges, written=True).rules, words_
 
 
-def trained_many(spark: SparkSession, sf: str, mix_names: list[str | None]) -> dict:
+def trained_many(spark: SparkSession, sf: str, mix_names: list[str | None]) -> dict[str | None, list[Rule]]:
     """Train independent mixes concurrently (one driver thread each).
 
     Each training is a chain of small dependent jobs; running the chains side
-    by side lets the scheduler fill idle cores.  Results are memoised.
+    by side lets the scheduler fill idle cores.
     """
     with ThreadPoolExecutor(max_workers=len(mix_names)) as pool:
-        futures = {m: pool.submit(trained_rules, spark, sf, m) for m in mix_names}
-        return {m: f.result() for m, f in futures.items()}
+        futures = {m: pool.submit(train_documents, spark, sf, m) for m in mix_names}
+        return {m: f.result()[0] for m, f in futures.items()}
 
 
-def _doc_word_table(spark: SparkSession, sf: str) -> DataFrame:
-    return word_table(tb.documents_corpus(spark, sf, None), ["source_ord", "doc_ord"])
+def _doc_keys(spark: SparkSession, sf: str) -> WordKeys:
+    """The documents' distinct words, aggregated and written once."""
+    return first_key(word_table(tb.documents_corpus(spark, sf, None), ["source_ord", "doc_ord"]))
 
 
 def _rules_frame(spark: SparkSession, rules: list[Rule]) -> DataFrame:
@@ -114,6 +106,17 @@ def q_corpus_mix(spark: SparkSession, sf: str) -> DataFrame:
                     (F.col("weight") * F.col("words")).alias("weighted_words")))
 
 
+def q_corpora_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and conversations as one weighted corpus, in that order."""
+    corpus = tb.union_corpora([("documents", tb.documents(spark, sf, ("doc_id", "text")), 1),
+                               ("conversations", tb.conversations(spark, sf, ("conv_id", "text")), 2)])
+    per = corpus.select("source", "source_ord", "weight", word_count("text").alias("w"), byte_length("text").alias("b"))
+    return (per.groupBy("source", "source_ord", "weight")
+            .agg(F.count(F.lit(1)).alias("texts"), _long(F.sum("w")).alias("words"), _long(F.sum("b")).alias("bytes"))
+            .select("source", _long("source_ord").alias("source_ord"), "weight", "texts", "words", "bytes",
+                    (F.col("weight") * F.col("words")).alias("weighted_words")))
+
+
 def q_corpus_words(spark: SparkSession, sf: str) -> DataFrame:
     """S3: words (with repeats) and distinct words of every documents mix, in one pass."""
     mixes = spark.createDataFrame(
@@ -137,10 +140,14 @@ def q_pretokenize(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_utf8_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    """UTF-8 byte histogram per language."""
+    """UTF-8 byte histogram per language, from distinct segments (words and
+    runs of white space) weighted by their count."""
     d = _docs(spark, sf, ("lang", "text"))
-    return (d.select("lang", F.explode(utf8_bytes("text")).alias("byte"))
-            .groupBy("lang", "byte").agg(F.count(F.lit(1)).alias("n"))
+    segs = F.concat(F.split("text", ASCII_WS_PATTERN), F.split("text", "[^" + ASCII_WS_CLASS[1:] + "+"))
+    distinct = (d.select("lang", F.explode(segs).alias("seg")).where(F.col("seg") != "")
+                .groupBy("lang", "seg").agg(F.count(F.lit(1)).alias("occ")))
+    return (distinct.select("lang", "occ", F.explode(utf8_bytes("seg")).alias("byte"))
+            .groupBy("lang", "byte").agg(F.sum("occ").alias("n"))
             .select("lang", _long("byte").alias("byte"), "n"))
 
 
@@ -175,13 +182,9 @@ def q_word_freq(spark: SparkSession, sf: str) -> DataFrame:
                      _long("first.pos").alias("first_pos"))
 
 
-def _initial_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return pair_counts(_doc_word_table(spark, sf))
-
-
 def q_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A1: adjacent byte-pair counts over all words, overlaps counted."""
-    pc = _initial_pairs(spark, sf)
+    pc = counted_pairs(_doc_keys(spark, sf))
     left, right = pair_ids("pair")
     return pc.select(_long(left).alias("left_id"), _long(right).alias("right_id"), "n",
                      F.col("first.doc_ord").alias("first_doc"), _long("first.pos").alias("first_pos"),
@@ -189,8 +192,8 @@ def q_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pair_top(spark: SparkSession, sf: str) -> DataFrame:
-    """A3/O2: the ten best pairs, ties by first occurrence."""
-    top = ranked_pairs(_initial_pairs(spark, sf)).limit(10)
+    """The ten best pairs seen at least twice, ties by first occurrence."""
+    top = top_pairs(counted_pairs(_doc_keys(spark, sf)), 10)
     left, right = pair_ids("pair")
     w = Window.orderBy(F.desc("n"), F.asc("first"))
     return top.select(_long(F.row_number().over(w) - 1).alias("rank"),
@@ -199,40 +202,45 @@ def q_pair_top(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_merge_step(spark: SparkSession, sf: str) -> DataFrame:
     """K1: apply the best pair as one merge to every distinct word."""
-    wt = _doc_word_table(spark, sf)
-    best = ranked_pairs(pair_counts(wt)).limit(1).collect()
+    keys = first_key(word_table(tb.documents_corpus(spark, sf, None), ["source_ord", "doc_ord"]))
+    best = top_pairs(counted_pairs(keys), 1).collect()
     rules = []
-    if best and best[0]["n"] >= 2:
+    if best:
         p = best[0]["pair"]
         rules = [Rule(0, char_to_id(p[0]), char_to_id(p[1]), 256, best[0]["n"])]
-    return wt.select("word", "freq", _long(F.char_length("tok")).alias("tokens_before"),
-                     _long(F.char_length(apply_rules("tok", rules))).alias("tokens_after"))
+    return keys.frame.select("word", "freq", _long(F.char_length("tok")).alias("tokens_before"),
+                             _long(F.char_length(apply_rules("tok", rules))).alias("tokens_after"))
 
 
 # ------------------------------------------------------------- training (2.6)
 
 def q_train_rules(spark: SparkSession, sf: str) -> DataFrame:
     """80 merge rules learned from all documents."""
-    return _rules_frame(spark, trained_rules(spark, sf, None))
+    return _rules_frame(spark, train_documents(spark, sf)[0])
 
 
 def q_rules_top10(spark: SparkSession, sf: str) -> DataFrame:
-    """The first ten rules with display labels."""
-    r = _rules_frame(spark, trained_rules(spark, sf, None)).where(F.col("rank") < 10)
+    """O1: the first ten rules with display labels."""
+    return q_rule_labels(spark, sf).where(F.col("rank") < 10)
+
+
+def q_rule_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Every learned rule with display labels."""
+    r = _rules_frame(spark, train_documents(spark, sf)[0])
     return r.select("rank", token_label("left_id").alias("left_label"),
                     token_label("right_id").alias("right_label"), "new_id", "n")
 
 
 def q_train_compression(spark: SparkSession, sf: str) -> DataFrame:
     """A4: corpus tokens before and after training."""
-    rules = trained_rules(spark, sf, None)
-    return compression(_doc_word_table(spark, sf), rules)
+    rules, words_ = train_documents(spark, sf)
+    return compression(words_, rules)
 
 
 def q_train_sequences(spark: SparkSession, sf: str) -> DataFrame:
     """K3: every distinct training word as its final token ids."""
-    rules = trained_rules(spark, sf, None)
-    wt = _doc_word_table(spark, sf).select("word", "freq", apply_rules("tok", rules).alias("t"))
+    rules, words_ = train_documents(spark, sf)
+    wt = words_.select("word", "freq", apply_rules("tok", rules).alias("t"))
     return wt.select("word", "freq", _long(F.char_length("t")).alias("n_tokens"),
                      _ids_text(token_string_ids("t")).alias("ids"))
 
@@ -277,37 +285,48 @@ def q_vs_baseline(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("lang", "tokens_per_byte", "tokens_per_word", "tpb_vs_en", "tpw_vs_en")
 
 
-def _lang_tokens(spark: SparkSession, sf: str, rules) -> DataFrame:
-    return enc.tokens_by_key(_docs(spark, sf, ("lang", "text")), rules, ["lang"])
+def _balanced(spark: SparkSession, sf: str, mixes: list[str]) -> DataFrame:
+    """Tokens per language under several trained tokenizers, in one pass."""
+    return enc.tokens_by_key_many(_docs(spark, sf, ("lang", "text")), trained_many(spark, sf, mixes), ["lang"])
 
 
 def q_gap_reduction(spark: SparkSession, sf: str) -> DataFrame:
     """Gap to English under an English-heavy vs a French-balanced tokenizer."""
-    rules = trained_many(spark, sf, ["en_heavy", "balanced_fr"])
-    heavy = _lang_tokens(spark, sf, rules["en_heavy"])
-    bal = _lang_tokens(spark, sf, rules["balanced_fr"])
-    return reports.gap_reduction(heavy, bal, "tokens_per_byte", baseline=BASELINE_LANG)
+    t = _balanced(spark, sf, ["en_heavy", "balanced_fr"])
+    g = reports.gap_columns(t, "per_byte_en_heavy", "per_byte_balanced_fr", baseline=BASELINE_LANG)
+    return g.where(F.col("lang") != BASELINE_LANG).select(
+        "lang", F.col("per_byte_en_heavy").alias("value_before"), "gap_before",
+        F.col("per_byte_balanced_fr").alias("value_after"), "gap_after", "reduction_pct")
 
 
 def q_gap_compare(spark: SparkSession, sf: str) -> DataFrame:
     """French vs German balancing effect side by side."""
-    rules = trained_many(spark, sf, ["en_heavy", "balanced_fr", "balanced_de"])
-    heavy = _lang_tokens(spark, sf, rules["en_heavy"])
-    rows = []
-    for lang, mix in (("fr", "balanced_fr"), ("de", "balanced_de")):
-        bal = _lang_tokens(spark, sf, rules[mix])
-        g = reports.gap_reduction(heavy, bal, "tokens_per_byte", baseline=BASELINE_LANG)
-        hb = heavy.select("lang", F.col("tokens").alias("heavy_tokens"))
-        bb = bal.select("lang", F.col("tokens").alias("balanced_tokens"))
-        rows.append(g.where(F.col("lang") == lang).join(hb, "lang").join(bb, "lang").select(
-            "lang", _long("heavy_tokens").alias("heavy_tokens"),
-            _long("balanced_tokens").alias("balanced_tokens"),
-            F.col("reduction_pct").alias("gap_reduction_pct")))
-    return rows[0].unionByName(rows[1])
+    t = _balanced(spark, sf, ["en_heavy", "balanced_fr", "balanced_de"])
+    own = lambda c: F.when(F.col("lang") == "fr", F.col(f"{c}_balanced_fr")).otherwise(F.col(f"{c}_balanced_de"))
+    # each language's own balanced tokenizer, with that tokenizer's English
+    t = (t.withColumn("_fr", reports.baseline_of("per_byte_balanced_fr", baseline=BASELINE_LANG))
+         .withColumn("_de", reports.baseline_of("per_byte_balanced_de", baseline=BASELINE_LANG))
+         .withColumn("_en", reports.baseline_of("per_byte_en_heavy", baseline=BASELINE_LANG)))
+    after = F.try_divide(own("per_byte"), F.when(F.col("lang") == "fr", F.col("_fr")).otherwise(F.col("_de")))
+    before = F.try_divide(F.col("per_byte_en_heavy"), F.col("_en"))
+    return t.where(F.col("lang").isin("fr", "de")).select(
+        "lang", _long("tokens_en_heavy").alias("heavy_tokens"), _long(own("tokens")).alias("balanced_tokens"),
+        ((F.lit(1.0) - F.try_divide(after, before)) * F.lit(100.0)).alias("gap_reduction_pct"))
 
 
 # --------------------------------------------------------------- bolt-on (2.6)
 
+# The driver's documents hold Latin text only.  Their letters, mapped one to
+# one to characters of the vocabulary lists, give whole tables of text in the
+# scripts that the vocabularies are made for.
+CJK_FROM = "etaoinshrdlucmfwypvbgkjqxz"
+CJK_TO = "我们他什么可以已经" "あいうえおかきくけ" "アイウエ" "이다는을"
+
+
+def _cjk(df: DataFrame) -> DataFrame:
+    return df.withColumn("text", F.translate("text", CJK_FROM, CJK_TO))
+
+
 def _vocab(spark: SparkSession, labels=None) -> DataFrame:
     return build_vocab(fx.vocab_input(spark, labels), first_vocab_id())
 
@@ -339,7 +358,7 @@ def q_vocab_added(spark: SparkSession, sf: str) -> DataFrame:
     hits = _term_hits(spark, sf, BoltOn.from_vocab(v, base_rules()))
     used = (v.join(hits, "term").groupBy("group_ord", "label")
             .agg(F.count(F.lit(1)).alias("used")))
-    per = (vocab_added(v, vin).where(F.col("group_ord").isNotNull())
+    per = (vocab_added(v, vin, total=False)
            .join(used, ["group_ord", "label"], "left").fillna(0, ["used"]))
     return (per.rollup("group_ord", "label")
             .agg(_long(F.sum("offered")).alias("offered"), _long(F.sum("added")).alias("added"),
@@ -348,45 +367,83 @@ def q_vocab_added(spark: SparkSession, sf: str) -> DataFrame:
             .select(_long("group_ord").alias("group_ord"), "label", "offered", "added", "used"))
 
 
-def q_vocab_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Greedy longest-match of the vocabulary in every document."""
-    bolt = _bolt(spark)
-    m = _docs(spark, sf, ("doc_id", "text")).select("doc_id", bolt.matches("text").alias("m"))
-    return m.select(
+def _match_report(d: DataFrame, bolt: BoltOn) -> DataFrame:
+    return d.select("doc_id", bolt.matches("text").alias("m")).select(
         "doc_id", _long(array_size(F.col("m"))).alias("matches"),
         _long(F.aggregate(F.transform("m", lambda t: F.octet_length(t)), F.lit(0),
                           lambda a, b: a + b)).alias("matched_bytes"),
         _long(array_size(F.array_distinct("m"))).alias("distinct_terms"))
 
 
+def q_vocab_match(spark: SparkSession, sf: str) -> DataFrame:
+    """Greedy longest-match of the vocabulary in every document."""
+    return _match_report(_docs(spark, sf, ("doc_id", "text")), _bolt(spark))
+
+
+def q_vocab_match_cjk(spark: SparkSession, sf: str) -> DataFrame:
+    """K6/J4 on text in the vocabulary's own scripts."""
+    return _match_report(_cjk(_docs(spark, sf, ("doc_id", "text"))), _bolt(spark))
+
+
+def q_vocab_match_join(spark: SparkSession, sf: str) -> DataFrame:
+    """J4 by joins (the path of large vocabularies): matches per term."""
+    hits = longest_matches(_docs(spark, sf, ("doc_id", "text")), _vocab(spark), ["doc_id"])
+    return hits.groupBy("term", _long("token_id").alias("token_id")).agg(
+        F.count(F.lit(1)).alias("hits"), F.count_distinct("doc_id").alias("docs"))
+
+
 def q_vocab_hits_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """K6: matches and matched bytes per vocabulary label."""
     v = _vocab(spark)
     hits = _term_hits(spark, sf, BoltOn.from_vocab(v, base_rules()))
-    j = hits.join(F.broadcast(v.select("term", "label", "n_bytes")), "term")
+    j = hits.join(v.select("term", "label", "n_bytes"), "term")
     return j.groupBy("label").agg(_long(F.sum("hits")).alias("hits"),
                                   _long(F.sum(F.col("hits") * F.col("n_bytes"))).alias("matched_bytes"))
 
 
-def q_bolt_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """K7: tokens per document before and after adding all vocabularies."""
-    bolt = _bolt(spark)
-    d = _docs(spark, sf)
+def _bolt_count_report(d: DataFrame, bolt: BoltOn) -> DataFrame:
     return d.select("doc_id", "lang", _long(token_count("text", base_rules())).alias("tokens_before"),
                     _long(bolt.token_count("text")).alias("tokens_after"))
 
 
+def q_bolt_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """K7: tokens per document before and after adding all vocabularies."""
+    return _bolt_count_report(_docs(spark, sf), _bolt(spark))
+
+
+def q_bolt_counts_cjk(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 on text in the vocabulary's own scripts."""
+    return _bolt_count_report(_cjk(_docs(spark, sf)), _bolt(spark))
+
+
+def _ids_report(d: DataFrame) -> DataFrame:
+    return d.select("doc_id", _long(F.char_length("t")).alias("tokens"),
+                    _ids_text(token_string_ids("t")).alias("ids"))
+
+
 def q_bolt_ids(spark: SparkSession, sf: str) -> DataFrame:
     """K7: token ids with the all-languages bolt-on tokenizer."""
     bolt = _bolt(spark)
-    d = _docs(spark, sf, ("doc_id", "text")).select("doc_id", bolt.token_string("text").alias("t"))
-    return d.select("doc_id", _long(F.char_length("t")).alias("tokens"),
-                    _ids_text(token_string_ids("t")).alias("ids"))
+    return _ids_report(_docs(spark, sf, ("doc_id", "text")).select("doc_id", bolt.token_string("text").alias("t")))
+
+
+def q_bolt_ids_cjk(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 ids on text in the vocabulary's own scripts, by the join path."""
+    d = _cjk(_docs(spark, sf, ("doc_id", "text")))
+    return _ids_report(LargeBoltOn(tuple(base_rules()), _vocab(spark)).with_token_string(d, ["doc_id"], out="t"))
 
 
 def q_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
     """K8: tokens per language for the base tokenizer and each bolt-on variant."""
-    d = _docs(spark, sf, ("lang", "text"))
+    return _variant_report(spark, _docs(spark, sf, ("lang", "text")))
+
+
+def q_variant_counts_cjk(spark: SparkSession, sf: str) -> DataFrame:
+    """K8 on text in the vocabulary's own scripts."""
+    return _variant_report(spark, _cjk(_docs(spark, sf, ("lang", "text"))))
+
+
+def _variant_report(spark: SparkSession, d: DataFrame) -> DataFrame:
     bolts = {variant: _bolt(spark, labels) for variant, labels in fx.VOCAB_VARIANTS.items()}
     # Shared work, computed once per row: the base count (rows where none of
     # a variant's entries can occur) and one count per distinct Latin-only
@@ -409,50 +466,48 @@ def bolt_count_col(pattern: str) -> Column:
     return bolt_token_count("text", pattern, base_rules())
 
 
-def _before_after(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _before_after(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per language: ``before``, ``after`` and their tokens per byte."""
     bolt = _bolt(spark)
     per = _docs(spark, sf, ("lang", "text")).select(
         "lang", byte_length("text").alias("b"), token_count("text", base_rules()).alias("t0"),
         bolt.token_count("text").alias("t1"))
-    agg = per.groupBy("lang").agg(_long(F.sum("b")).alias("bytes"), _long(F.sum("t0")).alias("t0"),
-                                  _long(F.sum("t1")).alias("t1"))
-    before = agg.select("lang", F.col("t0").alias("tokens"),
-                        F.try_divide(F.col("t0").cast("double"), F.col("bytes").cast("double")).alias("tpb"))
-    after = agg.select("lang", F.col("t1").alias("tokens"),
-                       F.try_divide(F.col("t1").cast("double"), F.col("bytes").cast("double")).alias("tpb"))
-    return before, after
+    agg = per.groupBy("lang").agg(_long(F.sum("b")).alias("bytes"), _long(F.sum("t0")).alias("before"),
+                                  _long(F.sum("t1")).alias("after"))
+    density = lambda c: F.try_divide(F.col(c).cast("double"), F.col("bytes").cast("double"))
+    return agg.select("lang", "before", "after", density("before").alias("tpb_before"), density("after").alias("tpb_after"))
+
+
+def q_before_after(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens and densities per language before and after the vocabularies."""
+    return _before_after(spark, sf)
 
 
 def q_bolt_reduction(spark: SparkSession, sf: str) -> DataFrame:
     """Reduction per language; multipliers against English before the change."""
-    before, after = _before_after(spark, sf)
-    return reports.bolt_reduction(before, after, "tokens", density="tpb", baseline=BASELINE_LANG)
+    return reports.reduction_columns(_before_after(spark, sf), "tpb_before", "tpb_after", baseline=BASELINE_LANG)
 
 
 def q_token_cost(spark: SparkSession, sf: str) -> DataFrame:
-    """Cost before and after at the reference price; saved null unless positive."""
-    before, after = _before_after(spark, sf)
-    ba = before.select("lang", F.col("tokens").alias("before")).join(
-        after.select("lang", F.col("tokens").alias("after")), "lang")
-    return reports.token_cost(ba, fx.PRICE_PER_TOKEN, DOC_VOLUME)
+    """Cost before and after at the reference price and volume; saved null unless positive."""
+    return reports.token_cost(_before_after(spark, sf).select("lang", "before", "after"), fx.PRICE_PER_TOKEN, fx.SEND_VOLUME)
 
 
 def q_vocab_growth(spark: SparkSession, sf: str) -> DataFrame:
-    """Vocabulary size = 256 bytes + learned rules + bolt-on entries, per variant."""
-    n_rules = len(trained_rules(spark, sf, None))
-    first = 256 + n_rules
-    frames = []
-    for variant, labels in [("base", [])] + list(fx.VOCAB_VARIANTS.items()):
-        v = build_vocab(fx.vocab_input(spark, labels), first) if labels else None
-        added = v.agg(F.count(F.lit(1)).alias("added")) if v is not None else \
-            spark.createDataFrame([(0,)], "added bigint")
-        frames.append(added.select(F.lit(variant).alias("variant"), F.lit(256).cast("bigint").alias("base"),
-                                   F.lit(n_rules).cast("bigint").alias("rules"),
-                                   _long("added").alias("added")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumn("vocab_size", F.col("base") + F.col("rules") + F.col("added"))
+    """Vocabulary size (256 bytes + rules + bolt-on entries) of each variant,
+    next to the distinct ids that the documents really use."""
+    d = _docs(spark, sf, ("text",))
+    bolts = {"base": None} | {v: _bolt(spark, labels) for v, labels in fx.VOCAB_VARIANTS.items()}
+    sizes = spark.createDataFrame([(v, len(b.entries) if b else 0) for v, b in bolts.items()], "variant string, added bigint")
+    used = lambda b: F.array_distinct(F.split(
+        b.token_string("text") if b else encode_token_string("text", base_rules()), ""))
+    per = d.select(F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), used(b).alias("ids")) for v, b in bolts.items()])).alias("x"))
+    ids = (per.select("x.variant", F.explode("x.ids").alias("id")).where(F.col("id") != "")
+           .groupBy("variant").agg(F.count_distinct("id").alias("used_ids")))
+    n = F.lit(len(base_rules())).cast("bigint")
+    return sizes.join(ids, "variant", "left").select(
+        "variant", F.lit(256).cast("bigint").alias("base"), n.alias("rules"), "added",
+        (F.lit(256) + n + F.col("added")).alias("vocab_size"), F.coalesce("used_ids", F.lit(0)).cast("bigint").alias("used_ids"))
 
 
 def q_conversation_tokens(spark: SparkSession, sf: str) -> DataFrame:
@@ -469,6 +524,7 @@ def q_conversation_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "corpus_mix": q_corpus_mix,
+    "corpora_union": q_corpora_union,
     "corpus_words": q_corpus_words,
     "pretokenize": q_pretokenize,
     "utf8_bytes": q_utf8_bytes,
@@ -480,6 +536,7 @@ QUERIES: dict[str, Query] = {
     "merge_step": q_merge_step,
     "train_rules": q_train_rules,
     "rules_top10": q_rules_top10,
+    "rule_labels": q_rule_labels,
     "train_compression": q_train_compression,
     "train_sequences": q_train_sequences,
     "encode_counts": q_encode_counts,
@@ -492,10 +549,16 @@ QUERIES: dict[str, Query] = {
     "vocab_build": q_vocab_build,
     "vocab_added": q_vocab_added,
     "vocab_match": q_vocab_match,
+    "vocab_match_cjk": q_vocab_match_cjk,
+    "vocab_match_join": q_vocab_match_join,
     "vocab_hits_by_label": q_vocab_hits_by_label,
     "bolt_counts": q_bolt_counts,
+    "bolt_counts_cjk": q_bolt_counts_cjk,
     "bolt_ids": q_bolt_ids,
+    "bolt_ids_cjk": q_bolt_ids_cjk,
     "variant_counts": q_variant_counts,
+    "variant_counts_cjk": q_variant_counts_cjk,
+    "before_after": q_before_after,
     "bolt_reduction": q_bolt_reduction,
     "token_cost": q_token_cost,
     "vocab_growth": q_vocab_growth,

@@ -3,8 +3,7 @@
 Encoding is a stateless column expression, so a stream of documents is
 encoded exactly like a batch.  ``stream_tokens`` adds per-document counts;
 ``stream_tokens_by_key`` keeps running totals per key (stateful aggregation,
-``update``/``complete`` output).  Checkpoints go under the session's
-``spark.checkpoint.dir`` unless a location is given.
+``update``/``complete`` output).
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tokenledger.functions.text import byte_length
 from tokenledger.functions.tokens import token_count
-from tokenledger.session import scratch_path
 
 DOCUMENTS_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -57,8 +55,13 @@ def stream_tokens_by_key(stream: DataFrame, rules, keys: Sequence[str] = ("lang"
 
 def write_available(df: DataFrame, out_path: str, checkpoint: str | None = None,
                     fmt: str = "parquet") -> StreamingQuery:
-    """Process everything available now into files and stop (append mode)."""
-    ckpt = checkpoint or scratch_path(df.sparkSession, "stream-ckpt")
+    """Process everything available now into files and stop (append mode).
+
+    The checkpoint defaults to a folder inside ``out_path`` (readers skip
+    names that start with ``_``): a later run to the same output goes on where
+    the last one stopped, in any session.
+    """
+    ckpt = checkpoint or f"{out_path.rstrip('/')}/_checkpoint"
     return (df.writeStream.format(fmt).option("path", out_path)
             .option("checkpointLocation", ckpt).outputMode("append")
             .trigger(availableNow=True).start())
