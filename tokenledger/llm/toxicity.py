@@ -8,7 +8,7 @@ everything; marks and blanks are gap characters, common digit look-alikes
 stand for their letters, and both ends of a word are characters of their own.
 Landmarks are whole words and word beginnings whose document frequency best
 separates the two labels, none of them much like an earlier one.  A text's
-kernel with a landmark is the largest over its words; the Nystroem map
+kernel with a landmark is the largest over its words (0 below ``FLOOR``); the Nystroem map
 (inverse square root of the landmarks' own kernel matrix) turns these into
 features of a linear SVM with squared hinge loss, whose margin a logistic fit
 on unseen rows turns into a score.
@@ -39,7 +39,9 @@ MIN_DOCS = 3
 MIN_GAIN = 10.0
 DECAY = 0.6
 SPAN = 6
-_CHUNK = 512 << 10
+_CHUNK = 2 << 20
+#: Kernels below this are taken as no likeness.
+FLOOR = 0.3
 _CANDIDATES = 3000
 _ALIKE = 0.8
 _EDGE = "\x02"
@@ -92,32 +94,36 @@ class Landmarks:
                 for i in range(len(c) - b):
                     if c[i] and c[i + a] and c[i + b]:
                         u = int(c[i] * 4096 + c[i + a] * 64 + c[i + b])
-                        weights.setdefault(u, np.zeros(m, np.float32))[t] += DECAY ** (b + 1)
+                        weights.setdefault(u, np.zeros(m))[t] += DECAY ** (b + 1)
         self.row = np.full(1 << 18, -1, dtype=np.int32)
         self.row[list(weights)] = np.arange(len(weights))
-        self.weights = np.array(list(weights.values()), dtype=np.float32).reshape(-1, m)
-        self.scale = _scale(sizes).astype(np.float32)
+        table = np.array(list(weights.values()), dtype=np.float64).reshape(-1, m)
+        # each subsequence stands in few landmarks: rows of (landmark, weight)
+        at, self.mark = np.nonzero(table)
+        self.weight = table[at, self.mark]
+        self.first = np.searchsorted(at, np.arange(len(weights) + 1))
+        self.scale = _scale(sizes)
 
     def kernel(self, codes: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Kernel of each string ``codes[off[i]:off[i + 1]]`` with every landmark,
         in units of the landmark's likeness to itself."""
-        n = len(off) - 1
-        out = np.zeros((n, len(self.words)), dtype=np.float32)
-        size = np.diff(off)
-        owner = np.repeat(np.arange(n), size)
+        n, m = len(off) - 1, len(self.words)
+        owner = np.repeat(np.arange(n), np.diff(off))
         end = off[1:][owner]
         pos = np.arange(len(codes))
+        cells, values = [], []
         for a, b in _GAPS:
             i = pos[pos + b < end]
             x, y, z = codes[i], codes[i + a], codes[i + b]
             row = self.row[np.where((x > 0) & (y > 0) & (z > 0), x * 4096 + y * 64 + z, 0)]
             hit = row >= 0
-            if not hit.any():
-                continue
-            who, row = owner[i[hit]], row[hit]
-            at = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-            out[who[at]] += np.add.reduceat(self.weights[row], at, axis=0) * np.float32(DECAY ** (b + 1))
-        return out / self.scale[None, :]
+            row = row[hit]
+            count = self.first[row + 1] - self.first[row]
+            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[row], count)
+            cells.append(np.repeat(owner[i[hit]], count) * m + self.mark[at])
+            values.append(self.weight[at] * DECAY ** (b + 1))
+        out = np.bincount(np.concatenate(cells), np.concatenate(values), minlength=n * m)
+        return out.reshape(n, m) / self.scale[None, :]
 
     def features(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Largest kernel over a text's words, for each text and landmark."""
@@ -133,8 +139,12 @@ class Landmarks:
         codes = _CODE[low[np.clip(pos, 0, len(low) - 1)]]
         codes[at[:-1]] = codes[at[1:] - 1] = _CODE[ord(_EDGE)]
         k = self.kernel(codes, at)
-        some = np.flatnonzero(np.diff(w))
-        out[some] = np.maximum.reduceat(k[which], w[:-1][some], axis=0)
+        k[k < FLOOR] = 0
+        strong = np.flatnonzero(k.any(axis=1)[which])
+        doc = np.searchsorted(w, strong, side="right") - 1
+        at = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
+        if len(at):
+            out[doc[at]] = np.maximum.reduceat(k[which[strong]], at, axis=0)
         return out
 
 
