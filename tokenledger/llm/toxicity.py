@@ -4,20 +4,24 @@ Strings are a text's words (runs of one-letter words count as one string, so
 spelt-out insults stay whole).  The kernel compares all subsequences of three
 characters that span at most ``SPAN`` characters, weighted ``DECAY`` to the
 power of their span, so gaps and inserted characters cost a little instead of
-everything; marks and blanks are gap characters, common digit look-alikes
-stand for their letters, and both ends of a word are characters of their own.
+everything; marks and blanks inside a string are skipped, common digit
+look-alikes stand for their letters, and both ends of a word are characters of
+their own.
 Landmarks are whole words and word beginnings whose document frequency best
-separates the two labels, none of them much like an earlier one.  A text's
-kernel with a landmark is the largest over its words (0 below ``FLOOR``); the Nystroem map
-(inverse square root of the landmarks' own kernel matrix) turns these into
-features of a linear SVM with squared hinge loss, whose margin a logistic fit
-on unseen rows turns into a score.
+separates the two labels, none of them much like an earlier one.  A
+sentence's kernel with a landmark is the largest over its words (0 below
+``FLOOR``); the Nystroem map (inverse square root of the landmarks' own kernel
+matrix) turns these into features of a linear SVM with squared hinge loss.  It
+is trained on sentences: those of a text with label 0 are labelled 0, of a
+text with label 1 those with a positive margin, at least the one with the
+largest, are labelled 1, chosen anew in each round.  A text takes the largest margin of its sentences, which a
+logistic fit on unseen texts turns into a score.
 
 Learning reads at most about ``MAX_TRAIN_ROWS`` labelled rows (a hash sample
 beyond it; their ids are the only broadcast).  Scoring is a narrow pass over
-every whole text; each distinct word of a chunk is compared once.
+every whole text and sentence; each distinct word of a chunk is compared once.
 
-Defined cases: null or empty texts have no words and get the score of zero
+Defined cases: null or empty texts have no sentences and get the score of zero
 features; null labels are ignored; with no labelled rows every score is 0, and
 with labels of one class it is that class; rows repeat as in the input; other
 columns are not read.
@@ -34,33 +38,52 @@ from tokenledger.llm.common import LOWER, NOT_SPACE, fold, span_hash, spread_row
 
 MAX_TRAIN_ROWS = 20_000
 LANDMARKS = 96
+#: Sentences of a training text that are kept (those most like landmarks).
+SENTENCES = 6
+ROUNDS = 4
 MIN_DOCS = 3
 #: Least log-likelihood ratio of a landmark (chance gives one in 20,000 strings).
 MIN_GAIN = 10.0
 DECAY = 0.6
 SPAN = 6
+#: Words remembered by a worker as like no landmark.
+_KNOWN = 1 << 19
 _CHUNK = 2 << 20
-#: Kernels below this are taken as no likeness.
-FLOOR = 0.3
+#: Normalised kernels below this are taken as no likeness.
+FLOOR = 0.55
 _CANDIDATES = 3000
 _ALIKE = 0.8
 _EDGE = "\x02"
 
 #: Alphabet of the kernel: a-z, look-alikes as letters, other characters by
-#: byte; 0 marks characters that only take up room.
+#: byte; 0 marks characters that are skipped.
 _CODE = np.zeros(256, dtype=np.int64)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[0x80:] = 27 + np.arange(128) % 36
 _CODE[ord(_EDGE)] = 63
 for _a, _b in zip(b"013457@$", b"oieastas"):
     _CODE[_a] = _CODE[_b]
+_STOP = np.zeros(256, dtype=bool)
+_STOP[list(b".!?")] = True
 _GAPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
 
-def _scale(n: np.ndarray) -> np.ndarray:
-    """Self-similarity of ``n`` different characters."""
-    total = sum(np.maximum(n - b, 0) * DECAY ** (2 * (b + 1)) for _, b in _GAPS)
-    return np.maximum(total, DECAY ** 6)
+def _subsequences(codes: np.ndarray, off: np.ndarray):
+    """``(string, subsequence, weight)`` arrays of every weighted triple."""
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    end, pos = off[1:][owner], np.arange(len(codes))
+    for a, b in _GAPS:
+        i = pos[pos + b < end]
+        x, y, z = codes[i], codes[i + a], codes[i + b]
+        yield owner[i], x * 4096 + y * 64 + z, DECAY ** (b + 1)
+
+
+def self_kernel(codes: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Kernel of each string with itself."""
+    parts = [(o * (1 << 18) + u, np.full(len(o), w)) for o, u, w in _subsequences(codes, off)]
+    key, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([w for _, w in parts]), minlength=len(key))
+    return np.bincount(key >> 18, total * total, minlength=len(off) - 1)
 
 
 def units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,76 +108,103 @@ class Landmarks:
     def __init__(self, words: list[str]):
         self.words = words
         m = len(words)
-        weights: dict[int, np.ndarray] = {}
-        sizes = np.zeros(m)
-        for t, word in enumerate(words):
-            c = _codes(word.encode())
-            sizes[t] = len(c)
-            for a, b in _GAPS:
-                for i in range(len(c) - b):
-                    if c[i] and c[i + a] and c[i + b]:
-                        u = int(c[i] * 4096 + c[i + a] * 64 + c[i + b])
-                        weights.setdefault(u, np.zeros(m))[t] += DECAY ** (b + 1)
+        raw = [_codes(w.encode()) for w in words]
+        codes, off = np.concatenate([np.zeros(0, np.int64), *raw]), np.append(0, np.cumsum([len(c) for c in raw])).astype(np.int64)
+        self.norm = np.sqrt(np.maximum(self_kernel(codes, off), 1e-12))
+        parts = list(_subsequences(codes, off))
+        owner, code = np.concatenate([o for o, _, _ in parts]), np.concatenate([u for _, u, _ in parts])
+        key, at = np.unique(code * m + owner, return_inverse=True)
+        self.weight = np.bincount(at, np.concatenate([np.full(len(o), w) for o, _, w in parts]), minlength=len(key))
+        self.mark = key % max(m, 1)  # each subsequence stands in few landmarks
+        seen, first = np.unique(key // max(m, 1), return_index=True)
         self.row = np.full(1 << 18, -1, dtype=np.int32)
-        self.row[list(weights)] = np.arange(len(weights))
-        table = np.array(list(weights.values()), dtype=np.float64).reshape(-1, m)
-        # each subsequence stands in few landmarks: rows of (landmark, weight)
-        at, self.mark = np.nonzero(table)
-        self.weight = table[at, self.mark]
-        self.first = np.searchsorted(at, np.arange(len(weights) + 1))
-        self.scale = _scale(sizes)
+        self.row[seen] = np.arange(len(seen))
+        self.first = np.append(first, len(key))
+        # a word's beginning is compared with landmarks that are beginnings
+        self.windows: dict[int, list[int]] = {}
+        for t, word in enumerate(words):
+            whole = word.endswith(_EDGE)
+            self.windows.setdefault(0 if whole else len(raw[t]) + 1, []).append(t)
+        self.unlike = np.zeros(0, np.uint64)  # hashes of words met that are like no landmark
 
     def kernel(self, codes: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Kernel of each string ``codes[off[i]:off[i + 1]]`` with every landmark,
-        in units of the landmark's likeness to itself."""
+        """Kernel of each string ``codes[off[i]:off[i + 1]]`` with every landmark."""
         n, m = len(off) - 1, len(self.words)
-        owner = np.repeat(np.arange(n), np.diff(off))
-        end = off[1:][owner]
-        pos = np.arange(len(codes))
         cells, values = [], []
-        for a, b in _GAPS:
-            i = pos[pos + b < end]
-            x, y, z = codes[i], codes[i + a], codes[i + b]
-            row = self.row[np.where((x > 0) & (y > 0) & (z > 0), x * 4096 + y * 64 + z, 0)]
+        for owner, code, weight in _subsequences(codes, off):
+            row = self.row[code]
             hit = row >= 0
             row = row[hit]
             count = self.first[row + 1] - self.first[row]
             at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[row], count)
-            cells.append(np.repeat(owner[i[hit]], count) * m + self.mark[at])
-            values.append(self.weight[at] * DECAY ** (b + 1))
-        out = np.bincount(np.concatenate(cells), np.concatenate(values), minlength=n * m)
-        return out.reshape(n, m) / self.scale[None, :]
+            cells.append(np.repeat(owner[hit], count) * m + self.mark[at])
+            values.append(self.weight[at] * weight)
+        return np.bincount(np.concatenate(cells), np.concatenate(values), minlength=n * m).reshape(n, m)
+
+    def likeness(self, codes: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Normalised kernel (cosine) of strings with the landmarks, 0 below
+        ``FLOOR``; beginnings are compared with the string's beginning."""
+        out = np.zeros((len(off) - 1, len(self.words)))
+        # a cosine of FLOOR needs this share of a landmark's own kernel
+        strong = np.flatnonzero((self.kernel(codes, off) >= FLOOR ** 2 * self.norm ** 2).any(axis=1))
+        if not len(strong):
+            return out
+        for window, marks in self.windows.items():
+            size = np.diff(off)[strong]
+            size = np.minimum(size, window) if window else size
+            at = np.append(0, np.cumsum(size))
+            part = codes[np.arange(at[-1]) + np.repeat(off[:-1][strong] - at[:-1], size)]
+            own = np.sqrt(np.maximum(self_kernel(part, at), 1e-12))
+            out[np.ix_(strong, marks)] = (self.kernel(part, at) / own[:, None] / self.norm[None, :])[:, marks]
+        out[out < FLOOR] = 0
+        return out
 
-    def features(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Largest kernel over a text's words, for each text and landmark."""
+    def sentences(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Kernel features (largest over the words) of the sentences that are
+        like any landmark, and the text each stands in, in order."""
         s, e, w = units(data, off)
-        out = np.zeros((len(off) - 1, len(self.words)), dtype=np.float32)
+        m = len(self.words)
         if not len(s):
-            return out
+            return np.zeros((0, m)), np.zeros(0, np.int64)
         low = LOWER[data]
-        _, first, which = np.unique(span_hash(low, s, e), return_index=True, return_inverse=True)
+        h = span_hash(low, s, e)
+        if len(self.unlike):
+            at = np.minimum(np.searchsorted(self.unlike, h), len(self.unlike) - 1)
+            fresh = self.unlike[at] != h
+        else:
+            fresh = np.ones(len(h), dtype=bool)
+        met, first, which = np.unique(h[fresh], return_index=True, return_inverse=True)
+        fresh = np.flatnonzero(fresh)
+        first = fresh[first]
         size = (e - s)[first]
         at = np.append(0, np.cumsum(size + 2))
         pos = np.arange(at[-1]) + np.repeat(s[first] - 1 - at[:-1], size + 2)
         codes = _CODE[low[np.clip(pos, 0, len(low) - 1)]]
         codes[at[:-1]] = codes[at[1:] - 1] = _CODE[ord(_EDGE)]
-        k = self.kernel(codes, at)
-        k[k < FLOOR] = 0
-        strong = np.flatnonzero(k.any(axis=1)[which])
-        doc = np.searchsorted(w, strong, side="right") - 1
-        at = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
-        if len(at):
-            out[doc[at]] = np.maximum.reduceat(k[which[strong]], at, axis=0)
-        return out
+        at = np.append(0, np.cumsum(codes > 0))[at]  # marks and blanks inside a word do not count
+        k = self.likeness(codes[codes > 0], at)
+        # a sentence ends with a stop mark at a word's end, a line or a text
+        new = np.zeros(len(s), dtype=bool)
+        new[w[:-1][w[:-1] < len(s)]] = True
+        lines = np.append(0, np.cumsum(data == 10))[s]
+        new[1:] |= _STOP[data[e[:-1] - 1]] | (lines[1:] != lines[:-1])
+        like = k.any(axis=1)
+        self.unlike = np.sort(np.concatenate([self.unlike[:0 if len(self.unlike) >= _KNOWN else None], met[~like]]))
+        picked = np.flatnonzero(like[which])
+        strong, which = fresh[picked], which[picked]
+        sentence = np.cumsum(new)[strong]
+        cut = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1])) if len(strong) else strong
+        if not len(cut):
+            return np.zeros((0, m)), np.zeros(0, np.int64)
+        return np.maximum.reduceat(k[which], cut, axis=0), np.searchsorted(w, strong[cut], side="right") - 1
 
 
 def _own(words: list[str]) -> np.ndarray:
-    """Kernel matrix of strings with each other, 1 on its diagonal."""
+    """Normalised kernel of strings with each other."""
     raw = [_codes(x.encode()) for x in words]
-    k = Landmarks(words).kernel(np.concatenate(raw), np.append(0, np.cumsum([len(x) for x in raw]))).astype(float)
-    k *= np.array([_scale(np.array([len(x)]))[0] for x in raw])[None, :]
-    d = np.sqrt(np.maximum(np.diag(k), 1e-12))
-    return k / d[:, None] / d[None, :]
+    marks = Landmarks(words)
+    k = marks.kernel(np.concatenate(raw), np.append(0, np.cumsum([len(x) for x in raw])))
+    return k / marks.norm[:, None] / marks.norm[None, :]
 
 
 def _pick(candidates: list[str], most: int) -> list[str]:
@@ -185,9 +235,16 @@ class Model:
     def margin(self, x: np.ndarray) -> np.ndarray:
         return self.z(x) @ self.w
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def texts(self, x: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+        """Largest margin over each text's sentences; one like no landmark
+        (and an empty text) has the margin of zero features."""
+        out = np.full(n, self.w[-1])
+        np.maximum.at(out, doc, self.margin(x))
+        return out
+
+    def probability(self, margin: np.ndarray) -> np.ndarray:
         a, b = self.link
-        return 1 / (1 + np.exp(-np.clip(a * self.margin(x) + b, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
 
 
 def _svm(z: np.ndarray, y: np.ndarray, c: float = 1.0) -> np.ndarray:
@@ -262,26 +319,42 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_fold=Non
     def run(batches):
         for b in batches:
             for at, data, off in text_chunks(b, chunk_bytes=_CHUNK):
-                x = marks.features(data, off)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at.start, len(x)), b.column(1).slice(at.start, len(x)),
-                                                  pa.array([v.tobytes() for v in x], pa.binary())], ["y", "cal", "x"])
+                x, doc = marks.sentences(data, off)
+                for i in range(at.stop - at.start):
+                    own = x[np.searchsorted(doc, i):np.searchsorted(doc, i, side="right")]
+                    own = own[np.argsort(-(own * own).sum(axis=1), kind="stable")[:SENTENCES]].astype(np.float32)
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at.start + i, 1), b.column(1).slice(at.start + i, 1),
+                                                      pa.array([own.tobytes()], pa.binary())], ["y", "cal", "x"])
 
     got = spread_rows(rows).mapInArrow(run, "y int, cal boolean, x binary").collect()
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in got], dtype=float)
+    parts = [np.frombuffer(r["x"], np.float32).reshape(-1, len(chosen)) for r in got]
+    x, doc = np.concatenate(parts).astype(float), np.repeat(np.arange(len(got)), [len(p) for p in parts])
     y = np.array([r["y"] for r in got])
     cal = np.array([r["cal"] for r in got])
     if len(set(y[~cal])) < 2 or len(set(y[cal])) < 2:
         cal[:] = False
     model = Model(marks)
-    model.w = _svm(model.z(x[~cal]), y[~cal])
+    z = model.z(x)
+    learn, value = ~cal[doc], x.max(axis=1, initial=0.0) - _ALIKE
+    for _ in range(ROUNDS):
+        # of a text with label 1 its most telling sentence and those on the
+        # right side (at first: those that hold a landmark), of the others all
+        best = np.full(len(got), -np.inf)
+        np.maximum.at(best, doc, value)
+        use = learn & ((y[doc] == 0) | (value == best[doc]) | (value > 0))
+        if not (y[doc[use]] > 0).any():
+            return float(p)
+        model.w = _svm(np.vstack([z[use], np.eye(1, z.shape[1], z.shape[1] - 1)]), np.append(y[doc[use]], 0))
+        value = z @ model.w
     unseen = cal if cal.any() else ~cal
-    model.link = _logistic(model.margin(x[unseen]), y[unseen])
+    margin = model.texts(x, doc, len(got))
+    model.link = _logistic(margin[unseen], y[unseen])
     return model
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
     """``(doc_id, score, nearest)`` of every row; ``nearest`` is the landmark
-    with the largest kernel."""
+    most like the sentence that decides."""
     src = spread_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text")))
     if not isinstance(model, Model):
         return src.select("doc_id", F.lit(float(model)).alias("score"), F.lit(None).cast("string").alias("nearest"))
@@ -291,9 +364,14 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
         m = shared.value
         for b in batches:
             for rows, data, off in text_chunks(b, chunk_bytes=_CHUNK):
-                x = m.landmarks.features(data, off)
-                near = [m.landmarks.words[k].strip(_EDGE) if v else None for k, v in zip(x.argmax(axis=1), x.max(axis=1) > 0)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(rows.start, len(x)), pa.array(m.score(x.astype(float))),
+                n = rows.stop - rows.start
+                x, doc = m.landmarks.sentences(data, off)
+                margin = m.texts(x, doc, n)
+                near: list[str | None] = [None] * n
+                for i, v, k in zip(doc.tolist(), m.margin(x), x.argmax(axis=1)):
+                    if v == margin[i]:
+                        near[i] = m.landmarks.words[k].strip(_EDGE)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(rows.start, n), pa.array(m.probability(margin)),
                                                   pa.array(near, pa.string())], ["doc_id", "score", "nearest"])
 
     return src.mapInArrow(run, "doc_id bigint, score double, nearest string")
