@@ -20,7 +20,7 @@ from tokenledger.session import materialize, num_partitions
 
 #: Bytes of text handled by numpy at a time in one task (memory only: every
 #: document is processed whole, a longer one forms a chunk of its own).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text",
@@ -125,9 +125,17 @@ def fold(doc_id: Column, k: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % k, F.lit(0))
 
 
+#: Python workers are kept between tasks; these settings make them give freed
+#: memory back instead of holding their peak.
+_WORKER_ENV = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(16 << 20), "MALLOC_TRIM_THRESHOLD_": str(32 << 20),
+               "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def _importable(df: DataFrame) -> None:
     """Let Python workers on this machine import the package from where the
     driver found it (on a cluster it is installed or sent with --py-files)."""
+    for k, v in _WORKER_ENV.items():
+        df.sparkSession.sparkContext.environment.setdefault(k, v)
     root = str(Path(__file__).resolve().parents[2])
     env = df.sparkSession.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):

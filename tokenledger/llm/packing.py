@@ -56,9 +56,8 @@ class Encoder:
         import json
 
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
+        self.path, self._exact = path, None
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         # byte-level BPE: each vocabulary character stands for one byte
@@ -70,6 +69,15 @@ class Encoder:
 
         self.fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def exact(self):
+        """The tokenizer itself, loaded by workers that meet a text for it."""
+        if self._exact is None:
+            from tokenizers import Tokenizer
+
+            self._exact = Tokenizer.from_file(self.path)
+        return self._exact
+
     def __call__(self, text: str) -> list[int]:
         if _COMMON.match(text) and _SPECIAL not in text:
             return self.fast.encode_ordinary(text)
