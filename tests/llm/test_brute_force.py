@@ -183,7 +183,7 @@ def test_op6_stays_native(spark):
     assert "Python" not in text and "Arrow" not in text
 
 
-@pytest.mark.parametrize("op", ["op6_line_dedup", "op8_benchmark_decontamination"])
+@pytest.mark.parametrize("op", list(queries.ORACLE))
 def test_sql(spark, op):
     import duckdb
     con = duckdb.connect()

@@ -21,6 +21,8 @@ comes last; a single row is its own next document; no rows give no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,9 +76,10 @@ def with_likeness(df: DataFrame, one: str, two: str, out: str) -> DataFrame:
     return df.withColumn(out, contained).withColumn(f"{out}_jaccard", jaccard).drop("__t", "__a", "__b", "__i")
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with ``next_<column>`` of the next document
-    by descending doc_id; after the last document comes the first."""
+def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``docs`` (doc_id, text) with the columns that ``derive`` adds, and
+    ``next_<column>`` of the next document by descending doc_id; after the last
+    document comes the first."""
     lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     cells = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
     width = (float(hi) - float(lo) + 1.0) / cells if lo is not None else 1.0
@@ -88,26 +91,30 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     heads = docs.select("__cell", "doc_id").groupBy("__cell").agg(F.max("doc_id").alias("__head"))
     firsts = F.broadcast(heads.withColumnRenamed("__cell", "__hc"))
     head_rows = docs.join(firsts, (F.col("__cell") == F.col("__hc")) & F.col("doc_id").eqNullSafe(F.col("__head")))
-    head_rows = head_rows.groupBy("__cell").agg(F.max(F.struct("text", *[c for c in columns if c != "text"])).alias("__row"))
+    head_rows = derive(head_rows.select(*docs.columns)).groupBy("__cell").agg(F.max(F.struct("text", *[c for c in columns if c != "text"])).alias("__row"))
     around = Window.orderBy(F.col("__cell").desc())
     everyone = Window.partitionBy(F.lit(0))
     follow = heads.select("__cell", F.coalesce(F.lead("__cell").over(around), F.max("__cell").over(everyone)).alias("__to"))
     entry = follow.join(head_rows.withColumnRenamed("__cell", "__to"), "__to").select("__cell", "__row")
-    led = docs.withColumn("__led", F.lead(F.struct(*columns)).over(w))
+    full = derive(docs)
+    led = full.withColumn("__led", F.lead(F.struct(*columns)).over(w))
     out = led.join(entry, "__cell", "left").withColumn("__next", F.coalesce(
         F.col("__led"), F.struct(*[F.col(f"__row.{c}").alias(c) for c in columns])))
-    return out.select(*[c for c in docs.columns if c != "__cell"], *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
+    return out.select(*[c for c in full.columns if c != "__cell"], *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, text, sketch)`` of every row."""
-    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return with_sketch(base, "text", "sketch")
+    return with_sketch(_texts(docs), "text", "sketch")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """The contract of op7: fingerprints of every text and of its edited text."""
-    df = with_next(fingerprints(docs), ["text", "sketch"])
+    df = with_next(_texts(docs), ["text", "sketch"], lambda d: with_sketch(d, "text", "sketch"))
     df = df.withColumn("n_chars", F.length("text").cast("bigint"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     df = df.withColumn("edited", F.concat(F.left("text", F.col("n_chars").cast("int") - cut), F.left("next_text", cut)))

@@ -96,7 +96,7 @@ FROM d LEFT JOIN g ON d.rid = g.rid
 
 #: DuckDB: the contract of op8, by plain 13-word windows.
 OP8_SQL = r"""
-WITH w AS (SELECT doc_id, string_split_regex('', '') AS z, regexp_extract_all(
+WITH w AS (SELECT doc_id, regexp_extract_all(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
@@ -118,4 +118,48 @@ SELECT w.doc_id, coalesce(len(w.ws), 0)::BIGINT AS n_words, coalesce(words.n_hit
 FROM w LEFT JOIN words ON w.doc_id = words.doc_id LEFT JOIN found ON w.doc_id = found.doc_id
 """
 
-ORACLE = {"op6_line_dedup": OP6_SQL, "op8_benchmark_decontamination": OP8_SQL.replace("string_split_regex('', '') AS z, ", "")}
+#: DuckDB: the rule of op2 on every 100-byte window (texts as hexadecimal).
+OP2_SQL = r"""
+WITH h AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS x FROM documents),
+win AS (SELECT doc_id, i, md5_number(substr(x, 2 * i + 1, 200)) AS k
+        FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM h) t),
+hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM win) t WHERE r > 1),
+isle AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+         FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g
+               FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh
+                     FROM hit) t) t GROUP BY doc_id, g),
+gap AS (SELECT isle.doc_id, coalesce(lag(b) OVER (PARTITION BY isle.doc_id ORDER BY a), 0) AS f, a AS t, x
+        FROM isle JOIN h ON h.doc_id = isle.doc_id
+        UNION ALL
+        SELECT h.doc_id, coalesce(e.b, 0) AS f, len(x) // 2 AS t, x
+        FROM h LEFT JOIN (SELECT doc_id, max(b) AS b FROM isle GROUP BY doc_id) e ON e.doc_id = h.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS k FROM gap GROUP BY doc_id),
+cut AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM isle GROUP BY doc_id)
+SELECT h.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(k)) AS kept_sha256
+FROM h JOIN kept ON kept.doc_id = h.doc_id LEFT JOIN cut ON cut.doc_id = h.doc_id
+"""
+
+#: DuckDB: the contract of op10 by counting shared shingles.
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS x
+       FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0) t),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS doc_id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id),
+c AS (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(c.root, w.doc_id)) AS component_id,
+       w.doc_id = least(w.doc_id, coalesce(c.root, w.doc_id)) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id
+"""
+
+ORACLE = {
+    "op2_suffix_array_dedup": OP2_SQL,
+    "op6_line_dedup": OP6_SQL,
+    "op8_benchmark_decontamination": OP8_SQL,
+    "op10_minhash_near_dedup": OP10_SQL,
+}
