@@ -13,7 +13,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenledger.session import materialize, num_partitions
@@ -22,9 +22,12 @@ from tokenledger.session import materialize, num_partitions
 #: document is processed whole, a longer one forms a chunk of its own).
 CHUNK_BYTES = 512 << 10
 
+#: Rows handled at a time (many short texts have per-row arrays).
+CHUNK_ROWS = 4096
+
 
 def text_chunks(batch: pa.RecordBatch, column: str = "text",
-                chunk_bytes: int | None = None) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+                chunk_bytes: int | None = None, chunk_rows: int | None = None) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Yield ``(rows, bytes, offsets)``: ``bytes[offsets[i]:offsets[i + 1]]``
     is the UTF-8 text of row ``rows.start + i``; null reads as empty."""
     limit = chunk_bytes or CHUNK_BYTES
@@ -38,7 +41,7 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text",
     a = 0
     while a < n:
         b = int(np.searchsorted(off, off[a] + limit, side="right")) - 1
-        b = min(n, max(b, a + 1))
+        b = min(n, a + (chunk_rows or CHUNK_ROWS), max(b, a + 1))
         yield slice(a, b), data[off[a]:off[b]], off[a:b + 1] - off[a]
         a = b
 
@@ -130,10 +133,23 @@ def fold(doc_id: Column, k: int) -> Column:
 _WORKER_ENV = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(16 << 20), "MALLOC_TRIM_THRESHOLD_": str(32 << 20),
                "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
+#: Bytes of rows that Spark hands to a Python worker at a time; several copies
+#: of a batch live at once on both sides.  A smaller setting of the session stays.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _bounded_batches(spark: SparkSession) -> None:
+    now = spark.conf.get(_BATCH_SETTING, None)
+    if now is None or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
 
-def _importable(df: DataFrame) -> None:
-    """Let Python workers on this machine import the package from where the
-    driver found it (on a cluster it is installed or sent with --py-files)."""
+def prepare(df: DataFrame) -> None:
+    """Session and worker settings: bounded batches, memory given back, and the
+    package importable from where the driver found it (on a cluster it is
+    installed or sent with --py-files)."""
+    _bounded_batches(df.sparkSession)
     for k, v in _WORKER_ENV.items():
         df.sparkSession.sparkContext.environment.setdefault(k, v)
     root = str(Path(__file__).resolve().parents[2])
@@ -145,7 +161,7 @@ def _importable(df: DataFrame) -> None:
 def spread_rows(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer than half as many splits as the
     session has cores; larger inputs are returned as they are."""
-    _importable(df)
+    prepare(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
     n = num_partitions(df)
     return df.repartition(cores) if n is not None and 2 * n < cores else df
@@ -153,5 +169,5 @@ def spread_rows(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back."""
-    _importable(df)
+    prepare(df)
     return materialize(df, f"llm-{name}")[0]

@@ -154,7 +154,7 @@ class Phrases:
         texts = pa.RecordBatch.from_arrays([pa.array([t for _, t in items], pa.string())], ["text"])
         words: list[list[bytes]] = []
         hashes = []
-        for _, data, off in text_chunks(texts, chunk_bytes=1 << 40):
+        for _, data, off in text_chunks(texts, chunk_bytes=1 << 40, chunk_rows=1 << 40):
             low = LOWER[data]
             s, e, w = word_spans(low, off, ALNUM)
             hashes, raw = span_hash(low, s, e), low.tobytes()

@@ -169,7 +169,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFra
                 sets = []
                 for i in (2, 3):
                     col = pa.RecordBatch.from_arrays([part.column(i)], ["text"])
-                    got = [shingle_hashes(d, o) for _, d, o in text_chunks(col, chunk_bytes=1 << 40)]
+                    got = [shingle_hashes(d, o) for _, d, o in text_chunks(col, chunk_bytes=1 << 40, chunk_rows=1 << 40)]
                     sets.append(got[0])
                 rows = np.concatenate([np.repeat(np.arange(part.num_rows), np.diff(o)) for _, o in sets])
                 h = np.concatenate([x for x, _ in sets])
