@@ -1,11 +1,13 @@
 """Longest-match of a vocabulary of any size, as joins.
 
-Every position of a text offers the substrings that could be an entry (one
-per length in use); an equi-join on the term keeps the entries (Spark
-broadcasts the vocabulary when its size allows, else both sides shuffle by
-term).  Per position the longest entry counts, and a left-to-right scan takes
-non-overlapping ones.  Candidates that overlap form islands (a window over the
-text's own positions), so the scan folds over a few candidates at a time.
+Every position of a text offers its first one and two characters; an
+equi-join with the prefixes of the vocabulary keeps the positions where an
+entry could start and the lengths to try, and a second one on the term keeps
+the entries.  Prefixes and terms are broadcast up to ``BROADCAST_ENTRIES``
+counted rows each, beyond that both sides shuffle.  Per position the longest
+entry counts, and a left-to-right scan takes non-overlapping ones.  Candidates
+that overlap form islands (a window over the text's own positions), so the
+scan folds over a few candidates at a time.
 
 ``key`` names columns that identify a text.
 """
@@ -22,8 +24,8 @@ from tokenledger.functions.tokens import SURROGATE_LO, SURROGATE_SHIFT, apply_ru
 
 BROADCAST_ENTRIES = 200_000
 
-# Characters handled per row while candidates are made.
-_CHUNK = 512
+# Positions of one row while candidates are made.
+_CHUNK = 128
 
 
 def _chars(text: str) -> Column:
@@ -33,25 +35,28 @@ def _chars(text: str) -> Column:
 def longest_matches(texts: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
     """``(*key, pos, term, token_id)``: one row per match, ``pos`` in characters."""
     key = list(key)
-    lengths = sorted(r[0] for r in vocab.select(F.char_length("term")).distinct().collect() if r[0])
-    if not lengths:
-        return texts.select(*key).where(F.lit(False)).selectExpr(
-            *key, "0 as pos", "'' as term", "0 as token_id")
-    most = lengths[-1]
+    n, most = vocab.agg(F.count(F.lit(1)), F.max(F.char_length("term"))).first()
+    if not n:
+        return texts.select(*key).where(F.lit(False)).selectExpr(*key, "0 as pos", "'' as term", "0 as token_id")
+
+    def sized(table: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(table) if rows <= BROADCAST_ENTRIES else table.hint("merge")
+
     terms = vocab.select("term", "token_id")
-    terms = F.broadcast(terms) if vocab.count() <= BROADCAST_ENTRIES else terms.hint("merge")
-    chunks = texts.select(*key, _chars(text).alias("_c")).select(
-        *key, F.size("_c").alias("_n"), F.explode(F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size("_c") - 1, F.lit(0)), F.lit(_CHUNK)),
-            lambda b: F.struct(b.alias("at"), F.slice("_c", b + 1, F.lit(_CHUNK + most - 1)).alias("c")))).alias("_k"))
-    have = F.size("_k.c")
-    cands = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.least(have, F.lit(_CHUNK)) - 1),
-        lambda p: F.transform(
-            F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: p + n <= have),
-            lambda n: F.struct((F.col("_k.at") + p).alias("pos"), F.array_join(F.slice("_k.c", p + 1, n), "").alias("term")))))
-    found = (chunks.where("_n > 0").select(*key, F.explode(cands).alias("_x")).select(*key, "_x.pos", "_x.term")
-             .join(terms, "term"))
+    prefixes = terms.groupBy(F.left("term", F.lit(2)).alias("_p")).agg(F.collect_set(F.char_length("term")).alias("_sizes"))
+    chunks = texts.select(*key, _chars(text).alias("_c")).where(F.size("_c") > 0).select(
+        *key, F.explode(F.transform(
+            F.sequence(F.lit(0), F.size("_c") - 1, F.lit(_CHUNK)),
+            lambda b: F.struct(b.alias("at"), F.least(F.size("_c") - b, F.lit(_CHUNK)).alias("own"),
+                               F.array_join(F.slice("_c", b + 1, F.lit(_CHUNK + most - 1)), "").alias("c")))).alias("_k"))
+    spots = chunks.select(*key, "_k.at", "_k.c", F.explode(F.sequence(F.lit(0), F.col("_k.own") - 1)).alias("_i")).select(
+        *key, (F.col("at") + F.col("_i")).alias("pos"), F.substring(F.col("c"), F.col("_i") + 1, F.lit(most)).alias("_w"))
+    one, two = F.left("_w", F.lit(1)), F.left("_w", F.lit(2))
+    probes = spots.select(*key, "pos", "_w", F.explode(F.array_distinct(F.array(one, two))).alias("_p"))
+    found = (probes.join(sized(prefixes, prefixes.count()), "_p")
+             .select(*key, "pos", "_w", F.explode("_sizes").alias("_n")).where(F.char_length("_w") >= F.col("_n"))
+             .select(*key, "pos", F.left("_w", F.col("_n")).alias("term"))
+             .join(sized(terms, n), "term"))
     size = F.char_length("term")
     by_pos = Window.partitionBy(*key).orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max(F.col("pos") + size).over(by_pos), F.lit(0))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,7 +44,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that is
     always preferred.  Only a local-mode session without any setting (tests)
-    gets a fresh folder of its own.
+    gets a fresh folder of its own, removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/...) before training on a cluster")
     path = tempfile.mkdtemp(prefix="tokenledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 

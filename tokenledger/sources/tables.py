@@ -23,11 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster's cores, but only when the scan
-    yields fewer partitions than that (one big file, one row group, or an
-    input smaller than cores x split size).
+    yields fewer than half as many partitions (one big file, one row group, or
+    an input much smaller than cores x split size).
 
     The encoders spend many passes per byte, so one shuffle that puts every
-    core to work pays off; an input with at least as many splits as cores
+    core to work pays off; an input with at least half as many splits as cores
     (any large one) is returned untouched and never shuffled here.
     """
     try:
@@ -35,7 +35,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
         return df
     n = num_partitions(df)
-    if n is not None and n < target:
+    if n is not None and 2 * n < target:
         return df.repartition(target)
     return df
 
