@@ -117,3 +117,36 @@ def test_repeats_of_odd_rows(odd):
     for d, w in want.items():
         assert tuple(got[d])[1:] == w, d
     assert got[None]["n_removed"] == 0 and got[12]["n_removed"] > 100
+
+
+def test_contamination_blocks_keep_rows_apart(spark, odd, bench):
+    more = spark.createDataFrame([(None, "three four five six", "en", "a", 1), (None, "nothing of the kind", "en", "a", 1),
+                                  (4, "word", "en", "a", 1), (21, "a word, three four five six", "en", "a", 1)], odd.schema)
+    docs = odd.union(more)
+    assert len(decontaminate._blocks(bench, 5)) > 3
+    spans = decontaminate.SCHEMA.names
+    assert rows_of(decontaminate.find_spans(docs, bench, block_bytes=5), *spans) == rows_of(decontaminate.find_spans(docs, bench), *spans)
+    cols = decontaminate.contamination(docs, bench).columns
+    one = rows_of(decontaminate.contamination(docs, bench), *cols)
+    assert len(one) == len(ROWS) + 4
+    assert rows_of(decontaminate.contamination(docs, bench, block_bytes=5), *cols) == one
+
+
+def test_contamination_reads_one_block_at_a_time(spark, odd, bench, monkeypatch):
+    log = []
+    blocks, keep = decontaminate._blocks, decontaminate.written
+    n = len(blocks(bench, 5))
+
+    class Watched:
+        def __len__(self):
+            return n
+
+        def __iter__(self):
+            for b in blocks(bench, 5):
+                log.append("read")
+                yield b
+
+    monkeypatch.setattr(decontaminate, "_blocks", lambda *a: Watched())
+    monkeypatch.setattr(decontaminate, "written", lambda df, name: log.append(name) or keep(df, name))
+    decontaminate.find_spans(odd, bench, block_bytes=5)
+    assert log == ["decontaminate-rows"] + ["read", "decontaminate-spans"] * n

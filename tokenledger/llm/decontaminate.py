@@ -12,16 +12,19 @@ word by word, and the hit words of a document are merged into spans.
 
 The phrases travel to the tasks in blocks of at most ``BLOCK_BYTES`` of
 benchmark text, so a benchmark of any size has a bounded broadcast; documents
-are never shuffled when one block is enough.
+are never shuffled when one block is enough.  With several, the documents are
+written once with a number per row, the hits of one block are written before
+the next block is read, and they meet again by row number.
 
 Defined cases: null or word-less texts have no words and no hits; null items
 and items without words are skipped; items that share an id count once;
-repeated documents each get their row; with several blocks, rows of the same
-doc_id must hold the same text; other columns are not read.
+repeated documents and documents without id each get their row, whatever the
+number of blocks; other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenledger.llm.common import (ALNUM, LOWER, span_hash, spread_rows, text_chunks, word_spans)
+from tokenledger.llm.common import (ALNUM, LOWER, span_hash, spread_rows, text_chunks, word_spans, written)
 
 WINDOW = 13
 SAMPLE = 8
@@ -281,39 +284,58 @@ class _Shard:
         return out
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]]:
-    """The benchmark in blocks of bounded size, one read to the driver at a time."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where(
-        "i is not null and t is not null").distinct()
-    size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    k = max(1, -(-size // block_bytes))
-    return [[(r["i"], r["t"]) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(k)) == b).collect()] for b in range(k)]
+class _Blocks:
+    """The benchmark in blocks of bounded size; each is read to the driver
+    when the iteration comes to it."""
 
+    def __init__(self, benchmark: DataFrame, block_bytes: int):
+        self.rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where(
+            "i is not null and t is not null").distinct()
+        size = self.rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+        self.n = max(1, -(-size // block_bytes))
 
-def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(doc_id, n_words, word_spans, byte_spans, items)`` per document: hit
-    spans ``[from, to)`` in words and in UTF-8 bytes, and the items found."""
-    src = spread_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    parts = []
-    for block in _blocks(benchmark, block_bytes):
-        shared = src.sparkSession.sparkContext.broadcast(Phrases(block, window))
+    def __len__(self) -> int:
+        return self.n
+
+    def __iter__(self) -> Iterator[list[tuple[str, str]]]:
+        for b in range(self.n):
+            yield [(r["i"], r["t"]) for r in self.rows.where(F.pmod(F.xxhash64("i"), F.lit(self.n)) == b).collect()]
+
+
+def _blocks(benchmark: DataFrame, block_bytes: int) -> _Blocks:
+    return _Blocks(benchmark, block_bytes)
+
+
+def _search(src: DataFrame, shared) -> DataFrame:
+    """Spans of the broadcast phrases in every row of ``src`` (an id, text)."""
+    def run(batches):
+        shard = _Shard(shared.value)
+        for b in batches:
+            for rows, data, off in text_chunks(b):
+                shard.add(b.column(0).slice(rows.start, rows.stop - rows.start).to_pylist(), data, off)
+                if shard.words >= SHARD_WORDS or len(shard.ids) >= SHARD_ROWS:
+                    yield shard.flush()
+        if shard.ids:
+            yield shard.flush()
+
+    return src.mapInArrow(run, SCHEMA)
 
-        def run(batches, shared=shared):
-            shard = _Shard(shared.value)
-            for b in batches:
-                for rows, data, off in text_chunks(b):
-                    shard.add(b.column(0).slice(rows.start, rows.stop - rows.start).to_pylist(), data, off)
-                    if shard.words >= SHARD_WORDS or len(shard.ids) >= SHARD_ROWS:
-                        yield shard.flush()
-            if shard.ids:
-                yield shard.flush()
-
-        parts.append(src.mapInArrow(run, SCHEMA))
-    if len(parts) == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with a number per row, ``__row``."""
+    return written(spread_rows(docs).withColumn("__row", F.monotonically_increasing_id()), "decontaminate-rows")
+
+
+def _merged_spans(rows: DataFrame, blocks: _Blocks, window: int) -> DataFrame:
+    """The columns of ``find_spans`` by ``__row``: each block's hits are written
+    before the next block is read, then merged row by row."""
+    src, every = rows.select("__row", "text"), None
+    for block in blocks:
+        shared = src.sparkSession.sparkContext.broadcast(Phrases(block, window))
+        found = _search(src, shared)  # the first block's rows also bring n_words of rows without hits
+        found = written(found if every is None else found.where(F.size("items") > 0), "decontaminate-spans")
+        shared.destroy()
+        every = found if every is None else every.union(found)
 
     def join_spans(name: str):
         merged = F.aggregate(F.array_sort(F.flatten(F.collect_list(name))), F.array().cast("array<array<bigint>>"),
@@ -323,14 +345,26 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
                              .otherwise(F.concat(acc, F.array(x))))
         return merged.alias(name)
 
-    return every.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), join_spans("word_spans"), join_spans("byte_spans"),
-                                       F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return every.groupBy(F.col("doc_id").alias("__row")).agg(
+        F.max("n_words").alias("n_words"), join_spans("word_spans"), join_spans("byte_spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
+def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``(doc_id, n_words, word_spans, byte_spans, items)`` per document: hit
+    spans ``[from, to)`` in words and in UTF-8 bytes, and the items found."""
+    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    blocks = _blocks(benchmark, block_bytes)
+    if len(blocks) == 1:
+        return _search(spread_rows(src), src.sparkSession.sparkContext.broadcast(Phrases(next(iter(blocks)), window)))
+    rows = _numbered(src)
+    return rows.select("__row", "doc_id").join(_merged_spans(rows, blocks, window), "__row").select(SCHEMA.names)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The contract's digest of ``find_spans`` per document."""
     hit = F.aggregate("word_spans", F.lit(0).cast("bigint"), lambda a, x: a + x[1] - x[0])
-    return find_spans(docs, benchmark).select(
+    return find_spans(docs, benchmark, block_bytes=block_bytes).select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
