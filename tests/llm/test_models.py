@@ -116,3 +116,17 @@ def test_stage_decisions(spark):
     assert [r["doc_id"] for r in corpus_pipeline.benchmark_stage(spark, df.where("doc_id < 3"), SF0001).collect()] == [2]
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, df, SF0001).collect()) == [1, 2]
     assert neardup.WORDS == 5 and decontaminate.WINDOW == 13 and linededup.MIN_PAGES > 1
+
+
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_benchmark_stage_decides_per_row(spark, blocks):
+    docs, bench = table(spark, SF0001, "documents"), table(spark, SF0001, "benchmark")
+    bad, clean = bench.first()["text"], "some words of no benchmark item at all"
+    rows = [(None, bad, "en", "s", 0), (None, clean, "en", "s", 1), (7, bad, "en", "s", 2), (7, clean, "en", "s", 3),
+            (7, None, "en", "s", 4), (8, clean, None, None, None), (8, clean, None, None, None)]
+    size = bench.agg(F.sum(F.octet_length("text"))).first()[0]
+    limit = decontaminate.BLOCK_BYTES if blocks == 1 else size // blocks
+    assert (len(decontaminate._blocks(bench, limit)) > 1) == (blocks > 1)
+    out = decontaminate.keep_clean(spark.createDataFrame(rows, docs.schema), bench, block_bytes=limit)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted((r for r in rows if r[1] != bad), key=repr)

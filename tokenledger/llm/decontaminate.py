@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,7 @@ WINDOW = 13
 SAMPLE = 8
 SHARD_WORDS = 1 << 19
 SHARD_ROWS = 1 << 14
+SHARD_BYTES = 32 << 20
 BLOCK_BYTES = 16 << 20
 
 SCHEMA = T.StructType([
@@ -361,19 +362,58 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
     return rows.select("__row", "doc_id").join(_merged_spans(rows, blocks, window), "__row").select(SCHEMA.names)
 
 
+def _is_contaminated(n_hit, n_words):
+    """The contract's rule, on columns or on numbers."""
+    return (n_hit > 0) & (n_hit * 20 >= n_words)
+
+
+def _n_hit() -> Column:
+    return F.aggregate("word_spans", F.lit(0).cast("bigint"), lambda a, x: a + x[1] - x[0])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The contract's digest of ``find_spans`` per document."""
-    hit = F.aggregate("word_spans", F.lit(0).cast("bigint"), lambda a, x: a + x[1] - x[0])
     return find_spans(docs, benchmark, block_bytes=block_bytes).select(
-        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        "doc_id", "n_words", _n_hit().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
+        "contaminated", _is_contaminated(F.col("n_hit"), F.col("n_words")))
+
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without its contaminated rows.  Every row is judged by its own
+    text, whether its doc_id is null, repeated or neither."""
+    blocks = _blocks(benchmark, block_bytes)
+    if len(blocks) > 1:
+        rows = _numbered(docs)
+        bad = _merged_spans(rows, blocks, WINDOW).where(_is_contaminated(_n_hit(), F.col("n_words"))).select("__row")
+        return rows.join(bad, "__row", "left_anti").select(docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(Phrases(next(iter(blocks))))
+
+    def run(batches):
+        shard, held, size = _Shard(shared.value), [], 0
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without its contaminated documents."""
-    bad = contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("bigint") == F.col("__bad"), "left_anti")
+        def clean():
+            found = shard.flush()
+            n_hit = np.array([sum(b - a for a, b in spans) for spans in found.column("word_spans").to_pylist()], np.int64)
+            ok, at = ~_is_contaminated(n_hit, found.column("n_words").to_numpy()), 0
+            for part in held:
+                yield part.filter(pa.array(ok[at:at + len(part)]))
+                at += len(part)
+
+        for b in batches:
+            texts = pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("text"))], ["text"])
+            for rows, data, off in text_chunks(texts):
+                n = rows.stop - rows.start
+                shard.add([None] * n, data, off)
+                held.append(b.slice(rows.start, n))
+                size += len(data)
+                if shard.words >= SHARD_WORDS or len(shard.ids) >= SHARD_ROWS or size >= SHARD_BYTES:
+                    yield from clean()
+                    held, size = [], 0
+        if held:
+            yield from clean()
+
+    return spread_rows(docs).mapInArrow(run, docs.schema)
 
 
 def remove_spans(text: str, byte_spans: list[list[int]]) -> str:
