@@ -1,5 +1,8 @@
 """Held-out accuracy of the trained operators, and the pipeline."""
 
+import collections
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -130,3 +133,77 @@ def test_benchmark_stage_decides_per_row(spark, blocks):
     out = decontaminate.keep_clean(spark.createDataFrame(rows, docs.schema), bench, block_bytes=limit)
     assert out.columns == docs.columns
     assert sorted(map(tuple, out.collect()), key=repr) == sorted((r for r in rows if r[1] != bad), key=repr)
+
+
+def plain_lines(rows):
+    """Stage 2 on ``(doc_id, text, lang, source, n_chars)``."""
+    trim = lambda x: x.strip(" \t\r")
+    pages, on = collections.Counter(r[3] for r in rows), collections.Counter()
+    for _, text, _, source, _ in rows:
+        on.update((source, x) for x in {trim(x) for x in text.split("\n")} if x)
+    gone = {k for k, n in on.items() if pages[k[0]] >= linededup.MIN_PAGES and n >= linededup.MIN_HITS
+            and n > linededup.RATIO * pages[k[0]]}
+    out = []
+    for d, text, lang, source, n in rows:
+        lines = text.split("\n")
+        kept = [x for x in lines if (source, trim(x)) not in gone]
+        new = "\n".join(kept)
+        out.append((d, new, lang, source, len(new) if len(kept) < len(lines) else n))
+    return out
+
+
+def ascii_lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def plain_keep_one(rows):
+    """Stage 3: components of pairs with Jaccard of at least 0.75; the least id stays."""
+    sets = {}
+    for d, text, *_ in rows:
+        w = re.findall("[^\x20\x09-\x0D]+", ascii_lower(text))
+        sets[d] = {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+    root = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            i = len(sets[a] & sets[b])
+            if a < b and i and 100 * i >= 75 * len(sets[a] | sets[b]) and root[a] != root[b]:
+                lo, hi = sorted((root[a], root[b]))
+                root = {d: lo if r == hi else r for d, r in root.items()}
+    return [r for r in rows if root[r[0]] == r[0]]
+
+
+def plain_keep_clean(rows, items):
+    """Stage 4: documents with a twentieth of their words in benchmark windows go."""
+    split = lambda t: re.findall("[0-9a-z\x80-\U0010FFFF]+", ascii_lower(t))
+    found = {tuple(w[i:i + 13]) for w in map(split, items) if w for i in range(max(len(w) - 12, 1))}
+    out = []
+    for r in rows:
+        w = split(r[1])
+        hit = {k for m in {len(p) for p in found} for i in range(len(w) - m + 1) if tuple(w[i:i + m]) in found for k in range(i, i + m)}
+        if not hit or 20 * len(hit) < len(w):
+            out.append(r)
+    return out
+
+
+def test_stages_equal_plain_python(spark):
+    import corpus_pipeline
+    docs, bench = table(spark, SF0001, "documents"), table(spark, SF0001, "benchmark")
+    items = [r["text"] for r in bench.collect()]
+    rng = np.random.default_rng(3)
+    words = lambda n: " ".join(f"w{k}" for k in rng.integers(0, 10 ** 6, n))
+    body = words(200)
+    texts = [f"  Menu of the host\t\n{words(40)}\n" + ("seen often\n" if i < 5 else "") + ("seen twice" if i < 2 else "") for i in range(30)]
+    texts += [body, body + " and a tail", body[:len(body) // 2], words(30) + " " + items[0], items[1], words(2000) + " " + items[2]]
+    planted = [(10 ** 6 + i, t, "en", "planted", len(t)) for i, t in enumerate(texts)]
+    df = corpus_pipeline.quality_stage(spark, docs, SF0001).select(*docs.columns)
+    rows = [tuple(r) for r in df.collect()] + planted
+    assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    df = spark.createDataFrame(rows, docs.schema)
+    plain = {"line_dedup": plain_lines, "minhash_near_dedup": plain_keep_one,
+             "benchmark_decontamination": lambda x: plain_keep_clean(x, items)}
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        want = plain[name](rows)
+        df = spark.createDataFrame(stage(spark, df, SF0001).collect(), docs.schema)
+        assert sorted(map(tuple, df.collect())) == sorted(want), name
+        assert set(want) != set(rows), name  # the stage had something to do
+        rows = want
