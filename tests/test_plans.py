@@ -59,3 +59,25 @@ def test_spread_only_when_the_scan_is_narrow(spark):
     assert tb.spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
     assert tb.spread(wide) is wide
+
+
+def test_spread_deals_out_a_file_of_one_row_group(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "one.parquet")
+    pq.write_table(pa.table({"x": list(range(20_000)), "t": ["row " * 20 + str(i) for i in range(20_000)]}), path, row_group_size=20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        one = spark.read.parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        assert cores <= one.rdd.getNumPartitions() < tb._WIDE * cores  # many splits, one of them with all rows
+        dealt = tb.spread(one)
+        per = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert len(per) == cores and max(per) <= 2 * 20_000 / cores
+        monkeypatch.setattr(tb, "_WIDE", 1)  # a wide scan is not looked into
+        assert tb.spread(one) is one
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -21,31 +21,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Scans with at least this many splits per core are never looked into.
+_WIDE = 16
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster's cores, but only when the scan
-    yields fewer than half as many partitions (one big file, one row group, or
-    an input much smaller than cores x split size).
-
-    The encoders spend many passes per byte, so one shuffle that puts every
-    core to work pays off; an input with at least half as many splits as cores
-    (any large one) is returned untouched and never shuffled here.
+    itself would leave cores idle: its largest split holds more than twice a
+    core's share of the rows.
+
+    A Parquet file is cut into byte ranges, but a row group is read by one of
+    them, so the number of splits says little about a narrow scan.  The rows of
+    each split are counted from the file footers (no column is read), one number
+    per split and at most ``_WIDE`` splits per core.  A wider scan, which is any
+    large input, is returned untouched.
     """
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
         return df
     n = num_partitions(df)
-    if n is not None and 2 * n < target:
-        return df.repartition(target)
-    return df
+    if n is None or n >= _WIDE * target:
+        return df
+    rows = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    return df.repartition(target) if max(rows, default=0) * target > 2 * sum(rows) else df
 
 
 def documents(spark: SparkSession, sf_dir: str, cols: Sequence[str] = ("doc_id", "lang", "text"),
               langs: Sequence[str] | None = None) -> DataFrame:
-    df = table(spark, sf_dir, "documents").select(*cols)
+    df = table(spark, sf_dir, "documents")
     if langs is not None:
         df = df.where(F.col("lang").isin(list(langs)))
-    return spread(df)
+    return spread(df.select(*cols))
 
 
 def conversations(spark: SparkSession, sf_dir: str,
