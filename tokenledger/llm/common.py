@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenledger.session import materialize, num_partitions
+from tokenledger.session import materialize
+from tokenledger.sources.tables import spread
 
 #: Bytes of text handled by numpy at a time in one task (memory only: every
 #: document is processed whole, a longer one forms a chunk of its own).
@@ -159,12 +160,9 @@ def prepare(df: DataFrame) -> None:
 
 
 def spread_rows(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer than half as many splits as the
-    session has cores; larger inputs are returned as they are."""
+    """``df`` with its rows dealt out if its scan would leave cores idle."""
     prepare(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = num_partitions(df)
-    return df.repartition(cores) if n is not None and 2 * n < cores else df
+    return spread(df)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
