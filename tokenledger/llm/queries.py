@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenledger.llm import (decontaminate, fingerprint, langid, linededup, neardup, packing, quality, repeats,
-                             tokencount, toxicity)
+from tokenledger.llm import (bpe, decontaminate, fingerprint, langid, linededup, neardup, negatives, packing, quality,
+                             repeats, search, tokencount, toxicity)
 from tokenledger.sources.tables import table
 
 
@@ -56,6 +56,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,6 +85,9 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_ranked_lexical_search": op11_ranked_lexical_search,
+    "op12_bpe_round_trip": op12_bpe_round_trip,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
 
@@ -157,9 +172,48 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesc
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id
 """
 
+#: DuckDB: the contract of op11 by joins on terms.
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS ws FROM documents),
+q AS (SELECT iid, item_id, unnest(list_distinct(ws)) AS term FROM (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM benchmark) t),
+g AS (SELECT count(*)::BIGINT AS docs, sum(len(ws))::BIGINT AS total FROM d WHERE len(ws) > 0),
+tf AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(ws) AS term FROM d) t
+       WHERE term IN (SELECT term FROM q) GROUP BY rid, term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, g GROUP BY term, docs),
+m AS (SELECT rid, doc_id, (100 - 90 + ((90 * len(ws)::BIGINT * docs) // total))::BIGINT AS m FROM d, g WHERE len(ws) > 0),
+s AS (SELECT iid, item_id, doc_id, m.rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN tf ON q.term = tf.term JOIN w ON w.term = q.term JOIN m ON m.rid = tf.rid GROUP BY iid, item_id, doc_id, m.rid),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+#: DuckDB: the contract of op13 by all inner products.
+OP13_SQL = r"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id::BIGINT AS vec_id,
+                  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, a.rid AS aid, b.vec_id AS vec_id, b.rid AS rid, a.label = b.label AS same,
+             list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0),
+pos AS (SELECT * FROM (SELECT anchor_id, aid, vec_id AS positive_id, rid AS pid, score AS positive_score,
+                              row_number() OVER (PARTITION BY aid ORDER BY score DESC, vec_id) AS k FROM p WHERE same) t WHERE k <= 5),
+neg AS (SELECT pos.anchor_id, positive_id, p.vec_id AS negative_id, positive_score, p.score AS negative_score,
+               row_number() OVER (PARTITION BY pos.aid, pid ORDER BY p.score DESC, p.vec_id) AS rank
+        FROM pos JOIN p ON p.aid = pos.aid AND NOT p.same
+        WHERE 50 * positive_score <= 100 * p.score AND 100 * p.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
 ORACLE = {
     "op2_suffix_array_dedup": OP2_SQL,
     "op6_line_dedup": OP6_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_minhash_near_dedup": OP10_SQL,
+    "op11_ranked_lexical_search": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
