@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 from tokenledger.llm.common import spread_rows
 
 #: Characters of text whose distinct words share one index.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 #: Words whose ids a worker remembers between chunks.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 #: Letters, digits, spaces and signs on whose kinds the tokenizer's pre-tokenizer and ``regex``
 #: agree (tested for every one); texts with others are cut by the tokenizer's own pre-tokenizer.
@@ -85,13 +85,14 @@ class PairIndex:
             regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.byte_ids = np.array([vocab[chars[b]] for b in range(256)], dtype=np.int64)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        #: (left, right, merged) by rank, and the rank of a pair as left << 32 | right
+        #: (left, right, merged) by rank; ranks of pairs by left and by right symbol
         self.merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]
-        self.rank: dict[int, int] = {}
+        self.after: dict[int, dict[int, int]] = {}
+        self.before: dict[int, dict[int, int]] = {}
         for r, (a, b, _) in enumerate(self.merges):
-            self.rank.setdefault(a << 32 | b, r)
-        left, right = np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)
-        self.byte_rank = np.array([self.rank.get(k, -1) for k in (left << 32 | right).tolist()]).reshape(256, 256)
+            if self.after.setdefault(a, {}).setdefault(b, r) == r:
+                self.before.setdefault(b, {})[a] = r
+        self.byte_rank = np.array([[self.after.get(a, {}).get(b, -1) for b in self.byte_ids.tolist()] for a in self.byte_ids.tolist()])
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.own = Tokenizer.from_file(path).pre_tokenizer
         back = {c: b for b, c in chars.items()}
@@ -126,42 +127,36 @@ class PairIndex:
         active, cut = np.unique(ranks, return_index=True)
         index = {int(r): p.tolist() for r, p in zip(active, np.split(at, cut[1:]))} if len(at) else {}
         symbol, nxt, prv = self.byte_ids[data].tolist(), after.tolist(), before.tolist()
-        heap, rank, merges = list(index), self.rank, self.merges
+        heap, none = list(index), {}
         heapq.heapify(heap)
         while heap:
             r = heapq.heappop(heap)
-            a, b, new = merges[r]
+            a, b, new = self.merges[r]
+            follows, leads = self.after.get(new, none).get, self.before.get(new, none).get
             spots = index.pop(r)
             if a == b:  # overlapping occurrences: from the left
                 spots.sort()
-            up = new << 32
             for p in spots:
-                if symbol[p] != a:
-                    continue
                 q = nxt[p]
-                if q < 0 or symbol[q] != b:
+                if symbol[p] != a or q < 0 or symbol[q] != b:
                     continue
                 symbol[p], symbol[q] = new, -1
                 nxt[p] = k = nxt[q]
                 if k >= 0:
                     prv[k] = p
-                    s = rank.get(up | symbol[k])
+                    s = follows(symbol[k])
                     if s is not None:
                         if s in index:
                             index[s].append(p)
-                        elif s == r:
-                            spots.append(p)
                         else:
                             index[s] = [p]
                             heapq.heappush(heap, s)
                 k = prv[p]
                 if k >= 0:
-                    s = rank.get(symbol[k] << 32 | new)
+                    s = leads(symbol[k])
                     if s is not None:
                         if s in index:
                             index[s].append(k)
-                        elif s == r:
-                            spots.append(k)
                         else:
                             index[s] = [k]
                             heapq.heappush(heap, s)
@@ -185,7 +180,7 @@ class PairIndex:
             known.clear()
         if not known:
             known.update((t, np.uint32(i).astype("<u4").tobytes()) for t, i in self.added.items())
-        fresh = [w for w in set().union(*cut) if w not in known]
+        fresh = list(set().union(*cut).difference(known))
         if fresh:
             known.update(zip(fresh, self.merged(fresh)))
         return [b"".join(map(known.__getitem__, words)) for words in cut]
