@@ -20,13 +20,17 @@ from pyspark.sql import functions as F
 
 from tokenledger.functions.text import (ASCII_WHITESPACE_CODEPOINTS, ASCII_WS_PATTERN,
                                         byte_length, word_count)
-from tokenledger.functions.tokens import (encode_ids, token_count, token_string_ids,
+from tokenledger.functions.tokens import (NESTED_REPLACE_LIMIT, encode_ids, token_count, token_string_ids,
                                           encode_token_string, validate_rules)
+from tokenledger.operators.queue_encode import encode_counts_queued, encode_ids_queued, encoded_queued
 
 
 def encode_counts(df: DataFrame, rules, text: str = "text",
                   keep: Sequence[str] = ()) -> DataFrame:
-    """Per row: ``(*keep, n_bytes, tokens, tokens_per_byte)``."""
+    """Per row: ``(*keep, n_bytes, tokens, tokens_per_byte)``; long rule lists
+    by a priority queue (``operators.queue_encode``)."""
+    if len(rules) > NESTED_REPLACE_LIMIT:
+        return encode_counts_queued(df, rules, text, keep)
     return (df.select(*keep, byte_length(text).alias("n_bytes"),
                       token_count(text, rules).alias("tokens"))
             .withColumn("tokens_per_byte", F.try_divide(F.col("tokens").cast("double"),
@@ -36,6 +40,8 @@ def encode_counts(df: DataFrame, rules, text: str = "text",
 def encode_with_ids(df: DataFrame, rules, text: str = "text",
                     keep: Sequence[str] = ()) -> DataFrame:
     """Per row: ``(*keep, ids array<int>, tokens)`` from one encode pass."""
+    if len(rules) > NESTED_REPLACE_LIMIT:
+        return encode_ids_queued(df, rules, text, keep)
     enc = df.select(*keep, encode_token_string(text, rules).alias("_tok"))
     return enc.select(*keep, token_string_ids("_tok").alias("ids"),
                       F.char_length("_tok").alias("tokens"))
@@ -43,8 +49,11 @@ def encode_with_ids(df: DataFrame, rules, text: str = "text",
 
 def tokens_by_key(df: DataFrame, rules, keys: Sequence[str], text: str = "text") -> DataFrame:
     """Token totals and densities per key (tokens per byte, char and word)."""
-    per = df.select(*keys, byte_length(text).alias("b"), F.char_length(text).alias("c"),
-                    word_count(text).alias("w"), token_count(text, rules).alias("t"))
+    sizes = {"b": byte_length(text), "c": F.char_length(text), "w": word_count(text)}
+    if len(rules) > NESTED_REPLACE_LIMIT:
+        per = encoded_queued(df, rules, text, keys, sizes).withColumn("t", F.char_length("_tok"))
+    else:
+        per = df.select(*keys, *[c.alias(n) for n, c in sizes.items()], token_count(text, rules).alias("t"))
     agg = per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("docs"), F.sum("b").alias("bytes"), F.sum("c").alias("chars"),
         F.sum("w").alias("words"), F.sum("t").alias("tokens"))
@@ -90,8 +99,11 @@ def tokens_by_key_dedup(df: DataFrame, rules, keys: Sequence[str],
         F.sum("w").alias("words"), F.sum("ws").alias("ws_tokens"))
     segs = (per_doc.select(*keys, F.explode("segs").alias("seg")).where(F.col("seg") != "")
             .groupBy(*keys, "seg").agg(F.count(F.lit(1)).alias("occ")))
-    seg_tokens = (segs.select(*keys, (F.col("occ") * token_count("seg", rules)).alias("t"))
-                  .groupBy(*keys).agg(F.sum("t").alias("seg_tokens")))
+    if len(rules) > NESTED_REPLACE_LIMIT:
+        counted = encoded_queued(segs, rules, "seg", [*keys, "occ"]).select(*keys, (F.col("occ") * F.char_length("_tok")).alias("t"))
+    else:
+        counted = segs.select(*keys, (F.col("occ") * token_count("seg", rules)).alias("t"))
+    seg_tokens = counted.groupBy(*keys).agg(F.sum("t").alias("seg_tokens"))
     out = (doc_agg.join(seg_tokens, list(keys), "left")
            .select(*keys, "docs", "bytes", "chars", "words",
                    (F.col("ws_tokens") + F.coalesce(F.col("seg_tokens"), F.lit(0))).alias("tokens")))

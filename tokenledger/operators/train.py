@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from tokenledger.functions.tokens import apply_rules, char_to_id
 from tokenledger.operators.pairs import pair_counts, top_pairs
+from tokenledger.operators.train_index import Step, train_indexed
 from tokenledger.operators.words import first_key
 from tokenledger.session import drop_scratch, ensure_checkpoint_dir, materialize, num_partitions
 
@@ -66,6 +67,7 @@ class TrainResult:
     batches: list[int] = field(default_factory=list)
     step_seconds: list[float] = field(default_factory=list)
     setup_seconds: float = 0.0
+    indexed: list[Step] = field(default_factory=list)  # steps made from the index
 
     @property
     def next_id(self) -> int:
@@ -130,6 +132,9 @@ def select_batch(ranked: list[Candidate], remaining: int, complete: bool) -> lis
 # Target size of a training partition (distinct words).
 WORDS_PER_PARTITION = 20_000
 
+# Rules learned by counting all words; later ones come from an index.
+INDEX_FROM = 128
+
 # Pending-rule chains are padded to a multiple of this, so steps reuse a few
 # compiled code shapes instead of compiling a new one every job.
 CHAIN_BUCKET = 4
@@ -141,13 +146,15 @@ def _padded(n: int) -> int:
 
 def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
               batched: bool = True, fetch: int = 64, checkpoint_every: int = 8,
-              min_count: int = 2, written: bool = False) -> TrainResult:
+              min_count: int = 2, written: bool = False, index_from: int = INDEX_FROM) -> TrainResult:
     """Learn up to ``num_merges`` rules from a word table ``(tok, freq, first)``.
 
     Stops early when no pair occurs ``min_count`` times.  ``batched=False``
     runs exactly one merge per job (the reference procedure, used to test
     the batching).  ``written`` says the table is already a written one (the
-    caller keeps it), so it is not written again.
+    caller keeps it), so it is not written again.  Beyond ``index_from`` rules
+    only touched words are counted (``operators.train_index``); the rules are
+    the same.
     """
     spark = words.sparkSession
     result = TrainResult(rules=[], first_id=first_id)
@@ -176,8 +183,9 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     pending: list[Rule] = []
     since_ckpt = 0
     next_id = first_id
+    recounted = num_merges if not batched or shift is None else min(num_merges, index_from)
     try:
-        while len(result.rules) < num_merges:
+        while len(result.rules) < recounted:
             t_step = time.perf_counter()
             cur = base if not pending else base.select(
                 apply_rules("tok", pending, _padded(len(pending))).alias("tok"), "freq", "first",
@@ -190,7 +198,7 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
             ranked = [Candidate(char_to_id(r["pair"][0]), char_to_id(r["pair"][1]), int(r["n"]))
                       for r in top]
             if batched:
-                batch = select_batch(ranked, num_merges - len(result.rules),
+                batch = select_batch(ranked, recounted - len(result.rules),
                                      complete=len(top) < k_fetch)
             else:
                 batch = ranked[:1]
@@ -201,7 +209,7 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                 next_id += 1
             result.batches.append(len(batch))
             since_ckpt += 1
-            if (len(result.rules) < num_merges and checkpoint_every > 0
+            if (len(result.rules) < recounted and checkpoint_every > 0
                     and since_ckpt >= checkpoint_every):
                 nxt = base.select(apply_rules("tok", pending, _padded(len(pending))).alias("tok"),
                                   "freq", "first")
@@ -218,6 +226,10 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                 pending = []
                 since_ckpt = 0
             result.step_seconds.append(round(time.perf_counter() - t_step, 3))
+        if recounted == len(result.rules) < num_merges:
+            now = base if not pending else base.select(apply_rules("tok", pending).alias("tok"), "freq", "first")
+            result.indexed = train_indexed(now.select("tok", "freq", "first"), shift, max_len, result, num_merges,
+                                           min_count=min_count)
     finally:
         base.unpersist()
         for p in scratch:
@@ -233,3 +245,22 @@ def compression(words: DataFrame, rules: list[Rule]) -> DataFrame:
                   F.sum(F.col("freq") * F.col("a")).alias("tokens_after"))
     return agg.withColumn("ratio", F.try_divide(F.col("tokens_after").cast("double"),
                                                 F.col("tokens_before").cast("double")))
+
+
+def frequent_word_rules(words: DataFrame, k: int, first_id: int = 256) -> list[Rule]:
+    """Rules that spell the ``k`` most frequent words (ties by the word) from
+    left to right, a cheap way to a long rule list: one aggregation, and ``k``
+    words reach the driver.  Words that begin alike share the rules of their
+    beginning; ``n`` is the frequency of the word that brought a rule."""
+    top = (words.where(F.char_length("tok") >= 2).select("tok", "freq")
+           .orderBy(F.desc("freq"), F.asc("tok")).limit(k).collect())
+    ids: dict[str, int] = {}
+    rules: list[Rule] = []
+    for r in top:
+        tok = r["tok"]
+        for i in range(2, len(tok) + 1):
+            if tok[:i] not in ids:
+                left = ids[tok[:i - 1]] if i > 2 else char_to_id(tok[0])
+                ids[tok[:i]] = first_id + len(rules)
+                rules.append(Rule(len(rules), left, char_to_id(tok[i - 1]), ids[tok[:i]], int(r["freq"])))
+    return rules

@@ -9,7 +9,7 @@ and matching uses a flat longest-first alternation (RE2).
 from __future__ import annotations
 
 from tokenledger.plans import sqlgen as g
-from tokenledger.plans.queries import BASELINE_LANG, CJK_FROM, CJK_TO, DOC_MERGES, VARIANTS, base_rules
+from tokenledger.plans.queries import BASELINE_LANG, CJK_FROM, CJK_TO, DOC_MERGES, SPELLED_WORDS, VARIANTS, base_rules
 from tokenledger.sources import fixtures as fx
 from tokenledger.sources.tables import DOCUMENT_MIXES
 
@@ -187,6 +187,22 @@ FROM (SELECT word, freq, {g.apply_trained('tok', pairs)} AS t FROM t_w0) s""")
 
 # ------------------------------------------------------------- encode (2.6)
 
+def encode_word_rules() -> str:
+    return f"""
+WITH w AS (SELECT {g.utf8_byte_string('word')} AS tok, freq FROM ({g.corpus_words_cte(g.documents_corpus(None))}) z),
+top AS (SELECT * FROM (SELECT tok, row_number() OVER (ORDER BY freq DESC, tok) AS r FROM w WHERE length(tok) >= 2) t
+        WHERE r <= {SPELLED_WORDS}),
+starts AS (SELECT p, row_number() OVER (ORDER BY min(r), length(p)) - 1 AS k
+           FROM (SELECT substr(tok, 1, i) AS p, r FROM (SELECT tok, r, unnest(range(2, length(tok) + 1)) AS i FROM top) t) t GROUP BY p),
+rules AS (SELECT list((CASE WHEN length(a.p) = 2 THEN substr(a.p, 1, 1) ELSE chr(CAST(256 + b.k AS INTEGER)) END)
+                      || substr(a.p, length(a.p), 1) || chr(CAST(256 + a.k AS INTEGER)) ORDER BY a.k) AS rules, count(*) AS n
+          FROM starts a LEFT JOIN starts b ON b.p = substr(a.p, 1, length(a.p) - 1) AND length(a.p) > 2)
+SELECT doc_id, lang, CAST(n AS BIGINT) AS n_rules,
+       CAST(length(list_reduce(list_concat([{g.utf8_byte_string('text')}], rules),
+                               lambda t, r: replace(t, substr(r, 1, 2), substr(r, 3, 1)))) AS BIGINT) AS tokens
+FROM documents, rules"""
+
+
 def encode_counts() -> str:
     return f"""
 SELECT doc_id, lang, n_bytes, tokens, {g.div('tokens', 'n_bytes')} AS tokens_per_byte
@@ -473,10 +489,13 @@ ORACLES = {
     "pair_top": pair_top,
     "merge_step": merge_step,
     "train_rules": train_rules,
+    "train_rules_indexed": train_rules,
     "rules_top10": rules_top10,
     "train_compression": train_compression,
     "train_sequences": train_sequences,
     "encode_counts": encode_counts,
+    "encode_queue": encode_counts,
+    "encode_word_rules": encode_word_rules,
     "encode_ids": encode_ids,
     "tokens_by_lang": tokens_by_lang,
     "encode_dedup": encode_dedup,

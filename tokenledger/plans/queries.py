@@ -23,7 +23,8 @@ from tokenledger.functions.tokens import (apply_rules, char_to_id, encode_token_
 from tokenledger.operators import encode as enc
 from tokenledger.operators.match import longest_matches
 from tokenledger.operators.pairs import counted_pairs, pair_ids, top_pairs
-from tokenledger.operators.train import Rule, compression, train_bpe
+from tokenledger.operators.queue_encode import encode_counts_queued
+from tokenledger.operators.train import Rule, compression, frequent_word_rules, train_bpe
 from tokenledger.operators.vocab import BoltOn, LargeBoltOn, build_vocab, vocab_added
 from tokenledger.operators.words import WordKeys, first_key, word_freq, word_table
 from tokenledger.plans import reports
@@ -34,6 +35,10 @@ from tokenledger.sources.rules import reference_rules
 
 BASE_MIX = "heavy"
 DOC_MERGES = 80
+#: Of these, learned by counting all words in ``train_rules_indexed``.
+RECOUNTED = 64
+#: Words spelled by the rules of ``encode_word_rules`` (about three rules each).
+SPELLED_WORDS = 1000
 BASELINE_LANG = "en"
 VARIANTS = ["base", "zh", "ja", "fr", "all"]
 
@@ -219,6 +224,12 @@ def q_train_rules(spark: SparkSession, sf: str) -> DataFrame:
     return _rules_frame(spark, train_documents(spark, sf)[0])
 
 
+def q_train_rules_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """K2/A1: the same 80 rules, the last ones from the inverted index."""
+    words_, _ = materialize(word_table(tb.documents_corpus(spark, sf, None), ["source_ord", "doc_ord"]), "words")
+    return _rules_frame(spark, train_bpe(words_, DOC_MERGES, written=True, index_from=RECOUNTED).rules)
+
+
 def q_rules_top10(spark: SparkSession, sf: str) -> DataFrame:
     """O1: the first ten rules with display labels."""
     return q_rule_labels(spark, sf).where(F.col("rank") < 10)
@@ -260,6 +271,20 @@ def q_encode_ids(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", _long("tokens").alias("tokens"), _ids_text(F.col("ids")).alias("ids"))
 
 
+def q_encode_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: the counts of ``encode_counts`` by the priority queue."""
+    out = encode_counts_queued(_docs(spark, sf), base_rules(), keep=["doc_id", "lang"])
+    return out.select("doc_id", "lang", _long("n_bytes").alias("n_bytes"), _long("tokens").alias("tokens"), "tokens_per_byte")
+
+
+def q_encode_word_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """K4 with thousands of rules: those that spell the documents' most frequent words."""
+    words_, _ = materialize(word_table(tb.documents_corpus(spark, sf, None), ["source_ord", "doc_ord"]), "words")
+    rules = frequent_word_rules(words_, SPELLED_WORDS)
+    out = enc.encode_counts(_docs(spark, sf), rules, keep=["doc_id", "lang"])
+    return out.select("doc_id", "lang", F.lit(len(rules)).cast("bigint").alias("n_rules"), _long("tokens").alias("tokens"))
+
+
 def _by_lang(df: DataFrame) -> DataFrame:
     return df.select("lang", "docs", _long("bytes").alias("bytes"), _long("chars").alias("chars"),
                      _long("words").alias("words"), _long("tokens").alias("tokens"),
@@ -535,12 +560,15 @@ QUERIES: dict[str, Query] = {
     "pair_top": q_pair_top,
     "merge_step": q_merge_step,
     "train_rules": q_train_rules,
+    "train_rules_indexed": q_train_rules_indexed,
     "rules_top10": q_rules_top10,
     "rule_labels": q_rule_labels,
     "train_compression": q_train_compression,
     "train_sequences": q_train_sequences,
     "encode_counts": q_encode_counts,
     "encode_ids": q_encode_ids,
+    "encode_queue": q_encode_queue,
+    "encode_word_rules": q_encode_word_rules,
     "tokens_by_lang": q_tokens_by_lang,
     "encode_dedup": q_encode_dedup,
     "vs_baseline": q_vs_baseline,

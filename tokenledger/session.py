@@ -93,6 +93,16 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def workers_import_package(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package from where the
+    driver found it (on a cluster it is installed or sent with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, *known) if x)
+
+
 def num_partitions(df) -> int | None:
     """Partition count of a DataFrame's plan, or None where the RDD view is
     not available (e.g. a Spark Connect session)."""
