@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from tokenledger.functions.text import (ASCII_WS_CLASS, ASCII_WS_PATTERN, array_size, byte_length, utf8_bytes,
                                         word_count, words)
-from tokenledger.functions.vocab import bolt_token_count
 from tokenledger.functions.tokens import (apply_rules, char_to_id, encode_token_string, token_count, token_label,
                                           token_string_ids)
 from tokenledger.operators import encode as enc
 from tokenledger.operators.match import longest_matches
 from tokenledger.operators.pairs import counted_pairs, pair_ids, top_pairs
 from tokenledger.operators.queue_encode import encode_counts_queued
+from tokenledger.operators.scan import VariantScan, scan_of
 from tokenledger.operators.train import Rule, compression, frequent_word_rules, train_bpe
 from tokenledger.operators.vocab import BoltOn, LargeBoltOn, build_vocab, vocab_added
 from tokenledger.operators.words import WordKeys, first_key, word_freq, word_table
@@ -426,19 +426,23 @@ def q_vocab_hits_by_label(spark: SparkSession, sf: str) -> DataFrame:
                                   _long(F.sum(F.col("hits") * F.col("n_bytes"))).alias("matched_bytes"))
 
 
-def _bolt_count_report(d: DataFrame, bolt: BoltOn) -> DataFrame:
-    return d.select("doc_id", "lang", _long(token_count("text", base_rules())).alias("tokens_before"),
-                    _long(bolt.token_count("text")).alias("tokens_after"))
+def _scan(spark: SparkSession) -> VariantScan:
+    return scan_of(_vocab(spark), base_rules())
+
+
+def _bolt_count_report(spark: SparkSession, d: DataFrame) -> DataFrame:
+    return _scan(spark).counts(d, base="tokens_before").select(
+        "doc_id", "lang", "tokens_before", F.col("bolt_tokens").alias("tokens_after"))
 
 
 def q_bolt_counts(spark: SparkSession, sf: str) -> DataFrame:
     """K7: tokens per document before and after adding all vocabularies."""
-    return _bolt_count_report(_docs(spark, sf), _bolt(spark))
+    return _bolt_count_report(spark, _docs(spark, sf))
 
 
 def q_bolt_counts_cjk(spark: SparkSession, sf: str) -> DataFrame:
     """K7 on text in the vocabulary's own scripts."""
-    return _bolt_count_report(_cjk(_docs(spark, sf)), _bolt(spark))
+    return _bolt_count_report(spark, _cjk(_docs(spark, sf)))
 
 
 def _ids_report(d: DataFrame) -> DataFrame:
@@ -448,8 +452,7 @@ def _ids_report(d: DataFrame) -> DataFrame:
 
 def q_bolt_ids(spark: SparkSession, sf: str) -> DataFrame:
     """K7: token ids with the all-languages bolt-on tokenizer."""
-    bolt = _bolt(spark)
-    return _ids_report(_docs(spark, sf, ("doc_id", "text")).select("doc_id", bolt.token_string("text").alias("t")))
+    return _ids_report(_scan(spark).with_token_string(_docs(spark, sf, ("doc_id", "text")), out="t"))
 
 
 def q_bolt_ids_cjk(spark: SparkSession, sf: str) -> DataFrame:
@@ -468,29 +471,17 @@ def q_variant_counts_cjk(spark: SparkSession, sf: str) -> DataFrame:
     return _variant_report(spark, _cjk(_docs(spark, sf, ("lang", "text"))))
 
 
+def _variants(spark: SparkSession) -> VariantScan:
+    return VariantScan(tuple(base_rules()), {v: _bolt(spark, labels).entries for v, labels in fx.VOCAB_VARIANTS.items()})
+
+
 def _variant_report(spark: SparkSession, d: DataFrame) -> DataFrame:
-    bolts = {variant: _bolt(spark, labels) for variant, labels in fx.VOCAB_VARIANTS.items()}
-    # Shared work, computed once per row: the base count (rows where none of
-    # a variant's entries can occur) and one count per distinct Latin-only
-    # pattern (variants with the same Latin entries agree on Latin rows).
-    latin = {b.latin_pattern for b in bolts.values() if b.latin_pattern}
-    latin_cols = {p: f"_latin{i}" for i, p in enumerate(sorted(latin))}
-    shared = d.select("lang", "text", _long(token_count("text", base_rules())).alias("base"),
-                      *[bolt_count_col(p).alias(c) for p, c in latin_cols.items()])
-    cols = [F.col("base")]
-    for variant, b in bolts.items():
-        lc = F.col(latin_cols[b.latin_pattern]) if b.latin_pattern else None
-        cols.append(_long(b.token_count("text", F.col("base"), lc)).alias(variant))
-    per = shared.select("lang", *cols).groupBy("lang").agg(*[F.sum(v).alias(v) for v in VARIANTS])
+    per = _variants(spark).counts(d).groupBy("lang").agg(*[F.sum(v).alias(v) for v in VARIANTS])
     stack = ", ".join(f"'{v}', `{v}`" for v in VARIANTS)
     return per.selectExpr("lang", f"stack({len(VARIANTS)}, {stack}) as (variant, tokens)").select(
         "variant", "lang", _long("tokens").alias("tokens"))
 
 
-def bolt_count_col(pattern: str) -> Column:
-    return bolt_token_count("text", pattern, base_rules())
-
-
 def _before_after(spark: SparkSession, sf: str) -> DataFrame:
     """One row per language: ``before``, ``after`` and their tokens per byte."""
     bolt = _bolt(spark)

@@ -45,6 +45,14 @@ def stream_tokens(stream: DataFrame, rules, text: str = "text",
     return stream.select(*cols)
 
 
+def stream_bolt_tokens(stream: DataFrame, scan, text: str = "text", keep: Sequence[str] = ("doc_id", "lang")) -> DataFrame:
+    """Per-document ``(*keep, base, *variants)`` with vocabularies of any size
+    that an automaton holds (``operators.scan.VariantScan``).  The pass is
+    stateless: a file sink and its checkpoint make a restart write each
+    document once."""
+    return scan.counts(stream.select(*keep, text), text).drop(text)
+
+
 def stream_tokens_by_key(stream: DataFrame, rules, keys: Sequence[str] = ("lang",),
                          text: str = "text") -> DataFrame:
     """Running token totals per key (stateful aggregation)."""
