@@ -86,6 +86,51 @@ def test_large_vocabularies_match_the_checker(spark, n, monkeypatch):
     assert counts == {k: None if v is None else len(v) for k, v in got.items()}
 
 
+def test_repeated_and_null_keys_stay_apart(spark):
+    """Rows that share a key, or have none, are texts of their own."""
+    rules = reference_rules("heavy")
+    vocab = build_vocab(fx.vocab_input(spark), 336)
+    rows = [(1, "我们 the data"), (1, "je suis plus grand que lui, mais il est dans la commerce"), (1, None), (None, "する"), (None, ""),
+            (None, "comme 我们"), (2, ""), (2, "comme")]
+    t = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_row", F.lit("own")).drop("_row")
+    small, large = BoltOn.from_vocab(vocab, rules), LargeBoltOn(tuple(rules), vocab)
+    tokens = lambda b: sorted(map(repr, b.with_token_string(t, ["doc_id"]).select("doc_id", "token_string").collect()))
+    assert tokens(small) == tokens(large) and len(tokens(large)) == len(rows)
+    counts = lambda b: sorted(map(repr, b.with_counts(t, ["doc_id"], out="n").select("doc_id", "n").collect()))
+    assert counts(small) == counts(large)
+    terms = lambda b: sorted(map(repr, b.matched(t, ["doc_id"]).collect()))
+    assert terms(small) == terms(large) and len(terms(large)) > 8
+
+
+@pytest.mark.parametrize("n", [437, 20_000])
+def test_few_rows_besides_the_real_candidates(spark, n):
+    """Positions are filtered in the row: what is exploded is nearly what stands there."""
+    vocab = build_vocab(fx.vocab_input(spark), 336) if n == 437 else vocab_frame(spark, generated(n))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).select("doc_id", "text")
+    t = docs.unionByName(texts(spark, 20))
+    rows = match.numbered(t, ["doc_id"], "text")
+    terms = vocab.select("term", "token_id")
+    spots = match.candidates(rows, terms, vocab.count())
+    made, real = spots.count(), spots.join(terms, "term").count()
+    chars = t.agg(F.sum(F.char_length("text"))).first()[0]
+    want = 0
+    known = {r["term"] for r in terms.collect()}
+    longest = max(map(len, known))
+    for r in t.where("text is not null").collect():
+        s = r["text"]
+        want += sum(s[i:i + k] in known for i in range(len(s)) for k in range(1, min(longest, len(s) - i) + 1))
+    assert real == want > 0
+    assert made <= 1.1 * real + 0.002 * chars
+
+
+def test_bloom_filter_misses_nothing(spark):
+    values = spark.range(3000).select(F.concat(F.lit("é"), F.col("id").cast("string")).alias("v"))
+    test = match.bloom(values, "v", 3000)
+    assert values.where(~test(F.xxhash64("v"))).count() == 0
+    other = spark.range(3000, 43000).select(F.concat(F.lit("é"), F.col("id").cast("string")).alias("v"))
+    assert other.where(test(F.xxhash64("v"))).count() < 0.02 * 40_000
+
+
 def test_bolt_on_picks_the_path(spark):
     vocab = build_vocab(fx.vocab_input(spark), 336)
     assert isinstance(bolt_on(vocab, reference_rules("heavy")), BoltOn)

@@ -1,76 +1,126 @@
 """Longest-match of a vocabulary of any size, as joins.
 
-Every position of a text offers its first one and two characters; an
-equi-join with the prefixes of the vocabulary keeps the positions where an
-entry could start and the lengths to try, and a second one on the term keeps
-the entries.  Prefixes and terms are broadcast up to ``BROADCAST_ENTRIES``
-counted rows each, beyond that both sides shuffle.  Per position the longest
-entry counts, and a left-to-right scan takes non-overlapping ones.  Candidates
-that overlap form islands (a window over the text's own positions), so the
-scan folds over a few candidates at a time.
-
-``key`` names columns that identify a text.
+A text tests its own positions first: two Bloom filters of the vocabulary (of
+the entries' first two characters, and of whole entries) are literals of the
+plan, and only places where an entry very likely stands become rows.  An
+equi-join on the term then keeps the real ones.  Terms are broadcast up to
+``BROADCAST_ENTRIES`` counted rows, beyond that both sides shuffle.  Per position
+the longest entry counts, and a left-to-right scan takes non-overlapping ones.
+Candidates that overlap form islands (a window over the text's own positions),
+so the scan folds over a few candidates at a time.
+
+Texts are numbered in a written table and matched by that number, so ``key``
+columns may repeat, be null, or be of any type; they only come back with the
+result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenledger.functions.text import utf8_byte_string
-from tokenledger.functions.tokens import SURROGATE_LO, SURROGATE_SHIFT, apply_rules
+from tokenledger.functions.tokens import NESTED_REPLACE_LIMIT, SURROGATE_LO, SURROGATE_SHIFT, apply_rules
+from tokenledger.operators.queue_encode import with_rules
+from tokenledger.session import materialize
 
 BROADCAST_ENTRIES = 200_000
 
-# Positions of one row while candidates are made.
-_CHUNK = 128
+# Bits of a filter per entry (two are set: 0.4 % of other strings pass), and its
+# largest size, 1 MB; a vocabulary far beyond that is left to the join.
+_BITS = 32
+_MOST_BITS = 1 << 23
+_WORD = 32
 
 
 def _chars(text: str) -> Column:
     return F.filter(F.split(F.col(text), ""), lambda c: c != F.lit(""))
 
 
-def longest_matches(texts: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
-    """``(*key, pos, term, token_id)``: one row per match, ``pos`` in characters."""
-    key = list(key)
-    n, most = vocab.agg(F.count(F.lit(1)), F.max(F.char_length("term"))).first()
+def bloom(values: DataFrame, column: str, n: int) -> Callable[[Column], Column]:
+    """A test of ``xxhash64`` values, true for all ``n`` strings of a column and
+    few others."""
+    m = min(_MOST_BITS, max(1024, 1 << (_BITS * n - 1).bit_length()))
+
+    def places(h: Column) -> tuple[Column, Column]:
+        return h.bitwiseAND(F.lit(m - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(m - 1))
+
+    words = [0] * (m // _WORD)
+    bits = values.select(F.explode(F.array(*places(F.xxhash64(column)))).alias("p"))
+    for r in bits.groupBy(F.shiftright("p", 5).alias("w")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(31)).cast("int"))).alias(
+                "b")).collect():
+        words[r["w"]] = r["b"]
+    table = F.expr("array(" + ",".join(f"{w}L" for w in words) + ")")
+
+    def test(h: Column) -> Column:
+        hit = [F.getbit(F.element_at(table, (F.shiftright(p, 5) + 1).cast("int")), p.bitwiseAND(F.lit(31)).cast("int")) == 1
+               for p in places(h)]
+        return hit[0] & hit[1]
+
+    return test
+
+
+def numbered(texts: DataFrame, key: Sequence[str], text: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(_row, *key, *keep, _t)`` with a number of its own for each row, written once."""
+    cols = list(dict.fromkeys([*key, *keep]))
+    return materialize(texts.select(F.monotonically_increasing_id().alias("_row"), *cols, F.col(text).alias("_t")), "numbered")[0]
+
+
+def candidates(texts: DataFrame, terms: DataFrame, n: int) -> DataFrame:
+    """``(_row, pos, term)`` of ``texts(_row, _t)``: every place where an entry
+    stands, and few others."""
+    sizes = sorted(r[0] for r in terms.select(F.char_length("term")).distinct().collect())
+    heads = terms.select(F.left("term", F.lit(2)).alias("h")).distinct()
+    starts, stands = bloom(heads, "h", heads.count()), bloom(terms, "term", n)
+    at = lambda i: F.get("_c", i)
+
+    # three arrays, each element with what the next one needs (a lambda has no common subexpressions):
+    # the hash of every place's first characters, the window from places that pass, the windows' beginnings
+    places = F.transform(F.sequence(F.lit(0), F.size("_c") - 1), lambda i: F.struct(
+        i.alias("pos"), F.xxhash64(F.concat(at(i), F.coalesce(at(i + 1), F.lit("")))).alias("h")))
+    passes = (lambda s: starts(s["h"]) | starts(F.xxhash64(at(s["pos"])))) if sizes[0] == 1 else (lambda s: starts(s["h"]))
+    windows = F.transform(F.filter(places, passes), lambda s: F.struct(
+        s["pos"].alias("pos"), F.array_join(F.slice("_c", s["pos"] + 1, sizes[-1]), "").alias("w")))
+    lengths = F.array(*map(F.lit, sizes))
+    spots = F.flatten(F.transform(windows, lambda s: F.filter(
+        F.transform(F.filter(lengths, lambda k: k <= F.char_length(s["w"])), lambda k: F.struct(
+            s["pos"].alias("pos"), F.left(s["w"], k).alias("term"), F.xxhash64(F.left(s["w"], k)).alias("h"))),
+        lambda e: stands(e["h"]))))
+    return texts.select("_row", _chars("_t").alias("_c")).where(F.size("_c") > 0).select(
+        "_row", F.explode(spots).alias("_s")).select("_row", "_s.pos", "_s.term")
+
+
+def _matches(texts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(_row, pos, term, token_id)`` of ``texts(_row, _t)``."""
+    n = vocab.count()
     if not n:
-        return texts.select(*key).where(F.lit(False)).selectExpr(*key, "0 as pos", "'' as term", "0 as token_id")
-
-    def sized(table: DataFrame, rows: int) -> DataFrame:
-        return F.broadcast(table) if rows <= BROADCAST_ENTRIES else table.hint("merge")
-
+        return texts.where(F.lit(False)).selectExpr("_row", "0 as pos", "'' as term", "0 as token_id")
     terms = vocab.select("term", "token_id")
-    prefixes = terms.groupBy(F.left("term", F.lit(2)).alias("_p")).agg(F.collect_set(F.char_length("term")).alias("_sizes"))
-    chunks = texts.select(*key, _chars(text).alias("_c")).where(F.size("_c") > 0).select(
-        *key, F.explode(F.transform(
-            F.sequence(F.lit(0), F.size("_c") - 1, F.lit(_CHUNK)),
-            lambda b: F.struct(b.alias("at"), F.least(F.size("_c") - b, F.lit(_CHUNK)).alias("own"),
-                               F.array_join(F.slice("_c", b + 1, F.lit(_CHUNK + most - 1)), "").alias("c")))).alias("_k"))
-    spots = chunks.select(*key, "_k.at", "_k.c", F.explode(F.sequence(F.lit(0), F.col("_k.own") - 1)).alias("_i")).select(
-        *key, (F.col("at") + F.col("_i")).alias("pos"), F.substring(F.col("c"), F.col("_i") + 1, F.lit(most)).alias("_w"))
-    one, two = F.left("_w", F.lit(1)), F.left("_w", F.lit(2))
-    probes = spots.select(*key, "pos", "_w", F.explode(F.array_distinct(F.array(one, two))).alias("_p"))
-    found = (probes.join(sized(prefixes, prefixes.count()), "_p")
-             .select(*key, "pos", "_w", F.explode("_sizes").alias("_n")).where(F.char_length("_w") >= F.col("_n"))
-             .select(*key, "pos", F.left("_w", F.col("_n")).alias("term"))
-             .join(sized(terms, n), "term"))
+    sized = F.broadcast(terms) if n <= BROADCAST_ENTRIES else terms.hint("merge")
+    found = candidates(texts, terms, n).join(sized, "term").select("_row", "pos", "term", "token_id")
     size = F.char_length("term")
-    by_pos = Window.partitionBy(*key).orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
+    by_pos = Window.partitionBy("_row").orderBy("pos").rangeBetween(Window.unboundedPreceding, -1)
     reach = F.coalesce(F.max(F.col("pos") + size).over(by_pos), F.lit(0))
-    in_order = Window.partitionBy(*key).orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    in_order = Window.partitionBy("_row").orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     island = F.max(F.when(F.col("_reach") <= F.col("pos"), F.col("pos"))).over(in_order)
     isles = found.withColumn("_reach", reach).withColumn("_isle", island)
-    got = isles.groupBy(*key, "_isle").agg(F.sort_array(F.collect_list(F.struct(
+    got = isles.groupBy("_row", "_isle").agg(F.sort_array(F.collect_list(F.struct(
         F.col("pos"), (-size).alias("size"), F.col("term"), F.col("token_id")))).alias("_m"))
     empty = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<pos:int,term:string,token_id:int>>").alias("picks"))
     fold = F.aggregate("_m", empty, lambda a, m: F.when(m["pos"] < a["end"], a).otherwise(F.struct(
         (m["pos"] - m["size"]).alias("end"),
         F.concat(a["picks"], F.array(F.struct(m["pos"].alias("pos"), m["term"].alias("term"),
                                               m["token_id"].cast("int").alias("token_id")))).alias("picks"))))
-    return got.select(*key, F.explode(fold["picks"]).alias("_p")).select(*key, "_p.pos", "_p.term", "_p.token_id")
+    return got.select("_row", F.explode(fold["picks"]).alias("_p")).select("_row", "_p.pos", "_p.term", "_p.token_id")
+
+
+def longest_matches(texts: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
+    """``(*key, pos, term, token_id)``: one row per match, ``pos`` in characters."""
+    rows = numbered(texts, key, text)
+    return rows.select("_row", *key).join(_matches(rows, vocab), "_row").select(*key, "pos", "term", "token_id")
 
 
 def id_char(token_id: Column) -> Column:
@@ -83,13 +133,11 @@ def encoded(texts: DataFrame, vocab: DataFrame, rules, key: Sequence[str], text:
             keep: Sequence[str] = ()) -> DataFrame:
     """``(*key, *keep, token_string)``: bolt-on encoding with a vocabulary of
     any size.  Matches are gathered per text and joined back to it."""
-    key = list(key)
-    picks = longest_matches(texts, vocab, key, text).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(
+    rows = numbered(texts, key, text, keep)
+    rest = [c for c in rows.columns if c not in ("_row", "_t")]
+    picks = _matches(rows, vocab).groupBy("_row").agg(F.sort_array(F.collect_list(F.struct(
         "pos", F.char_length("term").alias("size"), id_char(F.col("token_id")).alias("id")))).alias("_m"))
-    marked = texts.select(*key, *[c for c in keep if c not in key], F.col(text).alias("_t")).join(
-        picks.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)], "_m"),
-        _same(key), "left").drop(*[f"_k{i}" for i in range(len(key))])
-    marked = marked.withColumn("_c", F.when(F.col("_m").isNotNull(), _chars("_t")))
+    marked = rows.join(picks, "_row", "left").withColumn("_c", F.when(F.col("_m").isNotNull(), _chars("_t")))
     starts = F.transform("_m", lambda m: m["pos"])
     ends = F.transform("_m", lambda m: m["pos"] + m["size"])
     run = lambda a, b: utf8_byte_string(F.array_join(F.slice("_c", a + 1, b - a), ""))
@@ -97,12 +145,6 @@ def encoded(texts: DataFrame, vocab: DataFrame, rules, key: Sequence[str], text:
     body = F.array_join(F.zip_with(heads, F.transform("_m", lambda m: m["id"]),
                                    lambda r, i: F.concat(r, F.coalesce(i, F.lit("")))), "")
     tok = F.when(F.col("_m").isNull(), utf8_byte_string("_t")).otherwise(body)
-    rest = [c for c in marked.columns if c not in ("_t", "_m", "_c")]
+    if len(rules) > NESTED_REPLACE_LIMIT:
+        return with_rules(marked.select(*rest, tok.alias("token_string")), rules, "token_string")
     return marked.select(*rest, tok.alias("_s")).select(*rest, apply_rules("_s", rules).alias("token_string"))
-
-
-def _same(key: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for i, c in enumerate(key):
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    return cond

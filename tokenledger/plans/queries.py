@@ -472,7 +472,9 @@ def q_variant_counts_cjk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _variants(spark: SparkSession) -> VariantScan:
-    return VariantScan(tuple(base_rules()), {v: _bolt(spark, labels).entries for v, labels in fx.VOCAB_VARIANTS.items()})
+    with ThreadPoolExecutor(len(fx.VOCAB_VARIANTS)) as pool:  # small independent jobs
+        made = {v: pool.submit(_bolt, spark, labels) for v, labels in fx.VOCAB_VARIANTS.items()}
+        return VariantScan(tuple(base_rules()), {v: f.result().entries for v, f in made.items()})
 
 
 def _variant_report(spark: SparkSession, d: DataFrame) -> DataFrame:
