@@ -95,3 +95,21 @@ def test_large_vocabulary_on_a_stream(spark, tmp_path):
         es.write_available(stream, str(tmp_path / "out")).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("doc_id", "bolt_tokens")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, scan.with_counts(t).select("doc_id", "bolt_tokens").collect()))
+
+
+def test_used_ids_by_bitmaps(spark):
+    """Distinct ids over many tasks, also beyond one bitmap, equal a plain count."""
+    far = (("the", 40_000), ("我们", 70_000), ("data", 70_001))
+    scan = sc.VariantScan(tuple(rules()), {"far": far, "none": (), "one": (("the", 400),)})
+    t = texts(spark).union(spark.createDataFrame([(None, "the data"), (1, "我们 the")], "doc_id bigint, text string")).repartition(5)
+    want = {"base": set(), "far": set(), "none": set(), "one": set()}
+    plain = sc.Scanner(list(scan.variants.values()), rules())
+    for r in t.where("text <> ''").collect():
+        for name, s in zip(want, plain.token_strings(r["text"])):
+            want[name].update(s)
+        assert plain.token_strings(r["text"])[1:] == [plain.token_string(r["text"], v) for v in range(3)]
+    out = scan.used_ids(t)
+    assert {r["variant"]: r["used_ids"] for r in out.collect()} == {k: len(v) for k, v in want.items()}
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert scan.used_ids(t.limit(0)).collect() == [] and scan.used_ids(t.where("text is null")).collect() == []
+    assert "Generate" not in Q.QUERIES["vocab_growth"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()

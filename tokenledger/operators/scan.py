@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenledger.functions.tokens import id_to_char
+from tokenledger.functions.tokens import char_to_id, id_to_char
 from tokenledger.functions.vocab import BARRIER, BARRIER_BYTES
 from tokenledger.operators.queue_encode import MergeQueue
 from tokenledger.session import workers_import_package
@@ -33,6 +33,9 @@ from tokenledger.session import workers_import_package
 #: Entries of all variants together that one automaton may hold (about 100 MB a worker).
 SCAN_ENTRIES = 200_000
 
+#: Ids of one bitmap, the size that Spark's bitmap functions use.
+BITMAP_BITS = 32_768
+
 Entries = Sequence[tuple[str, int]]
 
 
@@ -114,10 +117,33 @@ class Scanner:
         runs, ids = self._runs(text, picks), self.ids[variant]
         return self.queue("".join([x for r, (_, i) in zip(runs, picks) for x in (latin(r), ids[i])]) + latin(runs[-1]))
 
+    def token_strings(self, text: str) -> list[str]:
+        """The token string without a vocabulary and with each variant's."""
+        base, found = self.queue(latin(text)), self.found(text)
+        done: dict[tuple, str] = {(): base}
+        out = [base]
+        for v in range(self.n):
+            picks = self.pick(found, v) if found else ()
+            ids = tuple((start, self.ids[v][i]) for start, i in picks)  # an entry's id depends on the variant
+            if ids not in done:
+                runs = self._runs(text, picks)
+                done[ids] = self.queue("".join([x for r, (_, c) in zip(runs, ids) for x in (latin(r), c)]) + latin(runs[-1]))
+            out.append(done[ids])
+        return out
+
     def matches(self, text: str, variant: int = 0) -> list[str]:
         return [self.terms[i] for _, i in self.pick(self.found(text), variant)]
 
 
+def _bitmaps(ids) -> list[tuple[int, bytes]]:
+    """``(part, bits)``: id ``part * BITMAP_BITS + k`` is bit ``k`` of its part."""
+    parts: dict[int, bytearray] = {}
+    for i in ids:
+        part, k = divmod(i, BITMAP_BITS)
+        parts.setdefault(part, bytearray(BITMAP_BITS // 8))[k // 8] |= 1 << k % 8
+    return [(p, bytes(b)) for p, b in sorted(parts.items())]
+
+
 _built: dict[str, Scanner] = {}
 
 
@@ -170,6 +196,32 @@ class VariantScan:
         out = [T.StructField(n, T.LongType()) for n in (base, *self.variants)]
         return self._column(df, text, out, lambda scan, t: scan.counts(t))
 
+    def used_ids(self, df: DataFrame, text: str = "text", base: str = "base") -> DataFrame:
+        """``(variant, used_ids)``: how many different token ids the texts use
+        without a vocabulary (``base``) and with each variant's.  Every task
+        marks the ids it meets in bitmaps of ``BITMAP_BITS`` ids; their union is
+        a native bitmap aggregate, so no id becomes a row."""
+        spark = df.sparkSession
+        workers_import_package(spark)
+        shared = spark.sparkContext.broadcast(([list(e) for e in self.variants.values()], self.rules))
+        key, names = self._key, [base, *self.variants]
+
+        def run(batches):
+            scan, used = _scanner(key, shared), [set() for _ in names]
+            for b in batches:
+                for t in b.column(0).to_pylist():
+                    for s, tokens in zip(used, scan.token_strings(t) if t else ()):
+                        s.update(tokens)
+            rows = [(n, *x) for n, s in zip(names, used) for x in _bitmaps(map(char_to_id, s))]
+            if rows:
+                variant, part, bits = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(variant, pa.string()), pa.array(part, pa.int64()), pa.array(bits, pa.binary())],
+                                                 names=["variant", "part", "bits"])
+
+        marked = df.select(text).mapInArrow(run, "variant string, part bigint, bits binary")
+        return marked.groupBy("variant", "part").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n")).groupBy("variant").agg(
+            F.sum("n").alias("used_ids"))
+
     # The operations of BoltOn and LargeBoltOn, for the first variant; ``key`` is not needed.
     def with_counts(self, df: DataFrame, key: Sequence[str] = (), text: str = "text", out: str = "bolt_tokens") -> DataFrame:
         return self._column(df, text, [T.StructField(out, T.LongType())], lambda scan, t: (scan.counts(t)[1],))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tokenledger.functions.text import (ASCII_WS_CLASS, ASCII_WS_PATTERN, array_size, byte_length, utf8_bytes,
                                         word_count, words)
-from tokenledger.functions.tokens import (apply_rules, char_to_id, encode_token_string, token_count, token_label,
+from tokenledger.functions.tokens import (apply_rules, char_to_id, token_count, token_label,
                                           token_string_ids)
 from tokenledger.operators import encode as enc
 from tokenledger.operators.match import longest_matches
@@ -514,14 +514,9 @@ def q_token_cost(spark: SparkSession, sf: str) -> DataFrame:
 def q_vocab_growth(spark: SparkSession, sf: str) -> DataFrame:
     """Vocabulary size (256 bytes + rules + bolt-on entries) of each variant,
     next to the distinct ids that the documents really use."""
-    d = _docs(spark, sf, ("text",))
-    bolts = {"base": None} | {v: _bolt(spark, labels) for v, labels in fx.VOCAB_VARIANTS.items()}
-    sizes = spark.createDataFrame([(v, len(b.entries) if b else 0) for v, b in bolts.items()], "variant string, added bigint")
-    used = lambda b: F.array_distinct(F.split(
-        b.token_string("text") if b else encode_token_string("text", base_rules()), ""))
-    per = d.select(F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), used(b).alias("ids")) for v, b in bolts.items()])).alias("x"))
-    ids = (per.select("x.variant", F.explode("x.ids").alias("id")).where(F.col("id") != "")
-           .groupBy("variant").agg(F.count_distinct("id").alias("used_ids")))
+    scan = _variants(spark)
+    sizes = spark.createDataFrame([("base", 0), *((v, len(e)) for v, e in scan.variants.items())], "variant string, added bigint")
+    ids = scan.used_ids(_docs(spark, sf, ("text",)))
     n = F.lit(len(base_rules())).cast("bigint")
     return sizes.join(ids, "variant", "left").select(
         "variant", F.lit(256).cast("bigint").alias("base"), n.alias("rules"), "added",
