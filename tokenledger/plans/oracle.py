@@ -495,6 +495,7 @@ ORACLES = {
     "train_sequences": train_sequences,
     "encode_counts": encode_counts,
     "encode_queue": encode_counts,
+    "sql_tokens": encode_counts,
     "encode_word_rules": encode_word_rules,
     "encode_ids": encode_ids,
     "tokens_by_lang": tokens_by_lang,

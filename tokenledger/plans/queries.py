@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tokenledger import sql
 from tokenledger.functions.text import (ASCII_WS_CLASS, ASCII_WS_PATTERN, array_size, byte_length, utf8_bytes,
                                         word_count, words)
 from tokenledger.functions.tokens import (apply_rules, char_to_id, token_count, token_label,
@@ -277,6 +278,16 @@ def q_encode_queue(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "lang", _long("n_bytes").alias("n_bytes"), _long("tokens").alias("tokens"), "tokens_per_byte")
 
 
+def q_sql_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """2.7: the counts of ``encode_counts`` by a query that calls SQL functions."""
+    sql.register_rules(spark, base_rules())
+    _docs(spark, sf).createOrReplaceTempView("tokenledger_documents")
+    return spark.sql("""
+        SELECT doc_id, lang, CAST(octet_length(text) AS BIGINT) AS n_bytes, bpe_tokens(text) AS tokens,
+               try_divide(CAST(bpe_tokens(text) AS DOUBLE), CAST(octet_length(text) AS DOUBLE)) AS tokens_per_byte
+        FROM tokenledger_documents""")
+
+
 def q_encode_word_rules(spark: SparkSession, sf: str) -> DataFrame:
     """K4 with thousands of rules: those that spell the documents' most frequent words."""
     words_, _ = materialize(word_table(tb.documents_corpus(spark, sf, None), ["source_ord", "doc_ord"]), "words")
@@ -557,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "encode_ids": q_encode_ids,
     "encode_queue": q_encode_queue,
     "encode_word_rules": q_encode_word_rules,
+    "sql_tokens": q_sql_tokens,
     "tokens_by_lang": q_tokens_by_lang,
     "encode_dedup": q_encode_dedup,
     "vs_baseline": q_vs_baseline,
