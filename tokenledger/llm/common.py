@@ -165,6 +165,17 @@ def spread_rows(df: DataFrame) -> DataFrame:
     return spread(df)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back."""
     prepare(df)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenledger.llm.common import (ALNUM, LOWER, span_hash, spread_rows, text_chunks, word_spans, written)
+from tokenledger.llm.common import (ALNUM, LOWER, free_names, span_hash, spread_rows, text_chunks, word_spans, written)
 
 WINDOW = 13
 SAMPLE = 8
@@ -384,9 +384,10 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
     text, whether its doc_id is null, repeated or neither."""
     blocks = _blocks(benchmark, block_bytes)
     if len(blocks) > 1:
-        rows = _numbered(docs)
+        own = free_names(docs, "__given_row")[0]  # a column of the caller's that has this name
+        rows = _numbered(docs.withColumnRenamed("__row", own))
         bad = _merged_spans(rows, blocks, WINDOW).where(_is_contaminated(_n_hit(), F.col("n_words"))).select("__row")
-        return rows.join(bad, "__row", "left_anti").select(docs.columns)
+        return rows.join(bad, "__row", "left_anti").drop("__row").withColumnRenamed(own, "__row").select(docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(Phrases(next(iter(blocks))))
 
     def run(batches):

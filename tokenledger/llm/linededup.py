@@ -21,9 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenledger.llm.common import written
+from tokenledger.llm.common import free_names, written
 
-RATIO = 0.1
+#: Of a host's pages; a line on more of them goes.
+RATIO = 0.015
 MIN_PAGES = 10
 MIN_HITS = 3
 _SALT = 16
@@ -63,17 +64,21 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, min_hits: int = MIN_HITS) -> DataFrame:
     """``docs`` with ``text`` cleaned and two more columns, ``__lines`` (its
-    lines before) and ``__dropped`` (lines removed)."""
+    lines before) and ``__dropped`` (lines removed), which replace input columns
+    of these names."""
+    site, found, salt, other, every, kept = free_names(docs, "__host", "__found", "__salt", "__other", "__all", "__kept")
     table = written(boilerplate(docs, host, text, ratio, min_pages, min_hits), "lines")
-    table = table.select(F.col("host").alias("__host"), F.col("lines").alias("__found"),
-                         F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1))).alias("__salt"))
-    spread = docs.withColumn("__salt", F.pmod(F.hash(text), F.lit(_SALT)))
-    joined = spread.join(table, (F.col(host).cast("string") == F.col("__host")) & (spread["__salt"] == table["__salt"]), "left")
-    lines = F.split(F.col(text), "\n")
-    kept = F.when(F.col("__found").isNull(), F.col("__all")).otherwise(
-        F.filter("__all", lambda x: ~F.array_contains(F.col("__found"), _key(_trim(x)))))
-    out = joined.drop(table["__salt"]).withColumn("__all", lines).withColumn("__kept", kept)
-    rest = [F.col(c) for c in docs.columns if c != text]
-    return out.select(*rest, F.array_join("__kept", "\n").alias(text),
-                      F.coalesce(F.size("__all"), F.lit(0)).cast("bigint").alias("__lines"),
-                      F.coalesce(F.size("__all") - F.size("__kept"), F.lit(0)).cast("bigint").alias("__dropped"))
+    table = table.select(F.col("host").alias(site), F.col("lines").alias(found),
+                         F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1))).alias(other))
+    spread = docs.withColumn(salt, F.pmod(F.hash(text), F.lit(_SALT)))
+    joined = spread.join(table, (F.col(host).cast("string") == F.col(site)) & (F.col(salt) == F.col(other)), "left")
+    # the page's keys meet the host's in one hash lookup; only its own hits are searched per line
+    hits = F.array_intersect(F.transform(every, lambda x: _key(_trim(x))), found)
+    out = joined.withColumn(every, F.split(F.col(text), "\n")).withColumn(found, hits)
+    keep = F.when(F.coalesce(F.size(found), F.lit(0)) <= 0, F.col(every)).otherwise(
+        F.filter(every, lambda x: ~F.array_contains(F.col(found), _key(_trim(x)))))
+    out = out.withColumn(kept, keep)
+    rest = [F.col(c) for c in docs.columns if c not in (text, "__lines", "__dropped")]
+    return out.select(*rest, F.array_join(kept, "\n").alias(text),
+                      F.coalesce(F.size(every), F.lit(0)).cast("bigint").alias("__lines"),
+                      F.coalesce(F.size(every) - F.size(kept), F.lit(0)).cast("bigint").alias("__dropped"))

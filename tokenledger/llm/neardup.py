@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from tokenledger.llm.common import (LOWER, NOT_SPACE, mix64, span_hash, spread_rows, text_chunks, word_spans, written)
+from tokenledger.llm.common import (LOWER, NOT_SPACE, free_names, mix64, span_hash, spread_rows, text_chunks, word_spans, written)
 
 WORDS = 5
 BANDS, BAND_ROWS = 32, 4
@@ -328,5 +328,6 @@ def keep_one(docs: DataFrame, similarity: float = 0.75) -> DataFrame:
     """One document of each near-duplicate group (the smallest doc_id), with
     the input's own columns.  Rows that repeat a kept doc_id are one document
     and stay as they are."""
-    gone = near_duplicates(docs, similarity).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col("__gone"), "left_anti")
+    name = free_names(docs, "__gone")[0]
+    gone = near_duplicates(docs, similarity).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("bigint") == F.col(name), "left_anti")

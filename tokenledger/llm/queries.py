@@ -100,7 +100,7 @@ t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM l),
 pages AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
 f AS (SELECT source, k, count(DISTINCT rid) AS n FROM t WHERE k <> '' AND source IS NOT NULL GROUP BY source, k),
 b AS (SELECT f.source, f.k FROM f JOIN pages p ON f.source = p.source
-      WHERE p.pages >= 10 AND f.n >= 3 AND f.n > CAST(0.1 AS DOUBLE) * p.pages),
+      WHERE p.pages >= 10 AND f.n >= 3 AND f.n > CAST(0.015 AS DOUBLE) * p.pages),
 x AS (SELECT t.*, b.k IS NOT NULL AS gone FROM t LEFT JOIN b ON t.source = b.source AND t.k = b.k),
 g AS (SELECT rid, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text FROM x GROUP BY rid)
