@@ -500,6 +500,7 @@ ORACLES = {
     "encode_ids": encode_ids,
     "tokens_by_lang": tokens_by_lang,
     "encode_dedup": encode_dedup,
+    "encode_stored": encode_dedup,
     "vs_baseline": vs_baseline,
     "gap_reduction": gap_reduction,
     "gap_compare": gap_compare,

@@ -25,11 +25,12 @@ from tokenledger.operators.match import longest_matches
 from tokenledger.operators.pairs import counted_pairs, pair_ids, top_pairs
 from tokenledger.operators.queue_encode import encode_counts_queued
 from tokenledger.operators.scan import VariantScan, scan_of
+from tokenledger.operators.segment_store import SegmentStore
 from tokenledger.operators.train import Rule, compression, frequent_word_rules, train_bpe
 from tokenledger.operators.vocab import BoltOn, LargeBoltOn, build_vocab, vocab_added
 from tokenledger.operators.words import WordKeys, first_key, word_freq, word_table
 from tokenledger.plans import reports
-from tokenledger.session import materialize
+from tokenledger.session import materialize, scratch_path
 from tokenledger.sources import fixtures as fx
 from tokenledger.sources import tables as tb
 from tokenledger.sources.rules import reference_rules
@@ -313,6 +314,12 @@ def q_encode_dedup(spark: SparkSession, sf: str) -> DataFrame:
                                             ["lang"]))
 
 
+def q_encode_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The same totals from a store of segment counts that this run fills."""
+    store = SegmentStore(spark, scratch_path(spark, "store"), base_rules())
+    return _by_lang(store.tokens_by_key(_docs(spark, sf, ("lang", "text")), ["lang"])[0])
+
+
 def q_vs_baseline(spark: SparkSession, sf: str) -> DataFrame:
     """Densities relative to English."""
     t = enc.tokens_by_key(_docs(spark, sf, ("lang", "text")), base_rules(), ["lang"])
@@ -571,6 +578,7 @@ QUERIES: dict[str, Query] = {
     "sql_tokens": q_sql_tokens,
     "tokens_by_lang": q_tokens_by_lang,
     "encode_dedup": q_encode_dedup,
+    "encode_stored": q_encode_stored,
     "vs_baseline": q_vs_baseline,
     "gap_reduction": q_gap_reduction,
     "gap_compare": q_gap_compare,
