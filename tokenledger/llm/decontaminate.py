@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenledger.llm.common import (ALNUM, LOWER, free_names, span_hash, spread_rows, text_chunks, word_spans, written)
+from tokenledger.llm.common import (ALNUM, LOWER, free_names, giving_back, span_hash, spread_rows, text_chunks, word_spans, written)
 
 WINDOW = 13
 SAMPLE = 8
@@ -319,7 +319,7 @@ def _search(src: DataFrame, shared) -> DataFrame:
         if shard.ids:
             yield shard.flush()
 
-    return src.mapInArrow(run, SCHEMA)
+    return src.mapInArrow(giving_back(run), SCHEMA)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -414,7 +414,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
         if held:
             yield from clean()
 
-    return spread_rows(docs).mapInArrow(run, docs.schema)
+    return spread_rows(docs).mapInArrow(giving_back(run), docs.schema)
 
 
 def remove_spans(text: str, byte_spans: list[list[int]]) -> str:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-from tokenledger.llm.common import (LOWER, NOT_SPACE, free_names, mix64, span_hash, spread_rows, text_chunks, word_spans, written)
+from tokenledger.llm.common import (LOWER, NOT_SPACE, free_names, giving_back, mix64, span_hash, spread_rows, text_chunks, word_spans, written)
 
 WORDS = 5
 BANDS, BAND_ROWS = 32, 4
@@ -137,7 +137,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ["doc_id", "n", "k1", "k2", "bands", "sketch"])
 
     src = spread_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    return src.mapInArrow(run, "doc_id bigint, n bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch binary")
+    return src.mapInArrow(giving_back(run), "doc_id bigint, n bigint, k1 bigint, k2 bigint, bands array<bigint>, sketch binary")
 
 
 def _screened(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def _screened(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
     one = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
     two = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(giving_back(run), "a bigint, b bigint")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:

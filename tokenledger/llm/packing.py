@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenledger.llm.common import spread_rows, written
+from tokenledger.llm.common import giving_back, spread_rows, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -115,7 +115,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | No
                     ["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
 
     src = spread_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    return src.mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint")
+    return src.mapInArrow(giving_back(run), "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint")
 
 
 def plan_slots(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenledger.llm.common import (LOWER, NOT_SPACE, fold, segment_sum, span_hash, spread_rows, text_chunks,
+from tokenledger.llm.common import (LOWER, NOT_SPACE, fold, giving_back, segment_sum, span_hash, spread_rows, text_chunks,
                                     word_spans, written)
 
 #: The classifier is fitted on at most about this many labelled rows (a hash
@@ -108,7 +108,7 @@ def features(docs: DataFrame) -> DataFrame:
                                                  ["doc_id", "stats"])
 
     src = spread_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    return src.mapInArrow(run, "doc_id bigint, stats array<float>")
+    return src.mapInArrow(giving_back(run), "doc_id bigint, stats array<float>")
 
 
 class Model:
@@ -236,7 +236,7 @@ def score(stats: DataFrame, model: Model | float) -> DataFrame:
                 part = b.slice(at, 4096)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(_stack(part, 1)))], ["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id bigint, score double")
+    return stats.mapInArrow(giving_back(run), "doc_id bigint, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
@@ -263,4 +263,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", thr
                 ok = model.score(statistics(data, off)) >= threshold
                 yield b.slice(rows.start, rows.stop - rows.start).filter(pa.array(ok))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
