@@ -139,6 +139,27 @@ def test_op3_encoder_on_other_scripts():
         assert enc(s) == enc.exact.encode(s, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("rows", [packing.BROADCAST_ROWS, 0])
+def test_op3_one_length_in_many_tasks(spark, monkeypatch, rows):
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", rows)  # 0: the small tables are joined by shuffle
+    docs = spark.range(900).repartition(7).selectExpr("id % 50 AS doc_id", "if(id % 3 = 0, 'one', repeat('a word ', int(id))) AS text")
+    got = packing.pack(docs).collect()
+    want = packing.token_pieces(docs).collect()
+    key = lambda r: (r["doc_id"], r["piece"], r["length"], r["ids_crc32"])
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for slots in by.values():
+        at = 0
+        for off, n in sorted(slots):
+            assert off == at
+            at += n
+        assert at <= packing.CAPACITY
+    plan = packing.plan_slots(collections.Counter(r["length"] for r in want))
+    assert len(by) == max(first + hi - lo for _, lo, hi, first, _ in plan)
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_op3_plan_equals_piecewise_best_fit(seed):
     rng = random.Random(seed)
@@ -152,6 +173,11 @@ def test_op3_plan_equals_piecewise_best_fit(seed):
             assert lo + k not in taken[length]
             taken[length].add(lo + k)
     assert {n: len(v) for n, v in taken.items()} == dict(hist)
+    split, width = packing.bucketed(plan, hist)
+    assert len(split) <= 3 * len(plan) + len(hist)
+    for length, n in hist.items():
+        for rank in range(n):
+            assert sum(x == length and k == rank // width[length] and lo <= rank < hi for x, k, lo, hi, _, _ in split) == 1
     for slots in bins.values():
         at = 0
         for off, n in sorted(slots):

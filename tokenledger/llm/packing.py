@@ -7,11 +7,13 @@
    Bins with the same room form ranges of sequence numbers, so the plan is a
    short list of ``(length, ranks, sequences, offset)`` whatever the number of
    documents.
-3. Every piece gets its rank among the pieces of its length and takes the slot
-   planned for it by a join on length and rank.  Ranks are counted per
-   (length, salt) with as many salts as keep a group near ``GROUP`` pieces, and
-   shifted by the groups before, so a length that holds a third of all pieces
-   is ranked by many tasks.
+3. Every piece takes the slot planned for its rank among the pieces of its
+   length.  A writing task numbers its own pieces of each length as it cuts
+   them, and the counts of (length, task) shift these numbers: no piece is
+   sorted or grouped, whatever share of all pieces one length holds.  Slots are
+   joined on the length and a bucket of ranks, so a piece meets a few ranges of
+   its length only.  Both small tables are broadcast up to ``BROADCAST_ROWS``
+   counted rows and joined by shuffle beyond.
 
 Defined cases: a null or empty text is the piece of the end token alone; equal
 rows (repeated doc_id and text) take one slot each; an empty table gives no
@@ -23,11 +25,12 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, insort
-from collections import deque
+from collections import Counter, deque
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,7 +39,8 @@ from tokenledger.llm.common import giving_back, spread_rows, written
 
 CAPACITY = 2048
 END_ID = 0
-GROUP = 50_000
+#: Rows of a few numbers that a broadcast table may have.
+BROADCAST_ROWS = 200_000
 #: Texts of these characters only take the fast encoder with the same
 #: vocabulary; special-token strings and other scripts go to the tokenizer itself.
 _COMMON = re.compile(r"[\t\n\r -~¡-ɏ‐-‧‰-⁞]*\Z")
@@ -91,12 +95,15 @@ def encoder(path: str) -> Encoder:
 
 
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
-    """``(doc_id, piece, start, length, ids, ids_crc32)``: the token ids of
-    each text, ended by ``END_ID``, cut from the back into full sequences."""
+    """``(doc_id, piece, start, length, ids, ids_crc32, task, own)``: the token
+    ids of each text, ended by ``END_ID``, cut from the back into full
+    sequences.  ``own`` numbers the pieces of a length within the ``task`` that
+    cut them, from 0: it holds in the written table, not between two runs."""
     path = vocabulary or default_vocabulary()
 
     def run(batches):
-        encode = encoder(path)
+        encode, task = encoder(path), TaskContext.get().partitionId()
+        met = np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
@@ -107,15 +114,18 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | No
                     cuts = [0, *range(first, len(ids) + 1, capacity)]
                     for k, (x, y) in enumerate(zip(cuts, cuts[1:])):
                         raw = ids[x:y].tobytes()
-                        out.append((doc, k, x, y - x, ids[x:y].astype(np.int32), zlib.crc32(raw)))
+                        out.append((doc, k, x, y - x, ids[x:y].astype(np.int32), zlib.crc32(raw), int(met[y - x])))
+                        met[y - x] += 1
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                    pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.list_(pa.int32())), pa.array(cols[5], pa.int64())],
-                    ["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
+                    pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.list_(pa.int32())), pa.array(cols[5], pa.int64()),
+                    pa.array([task] * len(out), pa.int32()), pa.array(cols[6], pa.int64())],
+                    ["doc_id", "piece", "start", "length", "ids", "ids_crc32", "task", "own"])
 
     src = spread_rows(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    return src.mapInArrow(giving_back(run), "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, ids_crc32 bigint")
+    return src.mapInArrow(giving_back(run), "doc_id bigint, piece int, start bigint, length bigint, ids array<int>, "
+                                            "ids_crc32 bigint, task int, own bigint")
 
 
 def plan_slots(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -159,27 +169,35 @@ def plan_slots(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     return plan
 
 
+def bucketed(plan: list[tuple[int, int, int, int, int]], histogram: dict[int, int]) -> tuple[list[tuple], dict[int, int]]:
+    """The plan's ranges once for every bucket of ranks they touch, and the
+    width of a length's buckets: as many buckets as the length has ranges, so at
+    most about three times the rows of the plan."""
+    ranges = Counter(r[0] for r in plan)
+    width = {length: max(1, -(-histogram[length] // n)) for length, n in ranges.items()}
+    return [(length, k, lo, hi, first, offset) for length, lo, hi, first, offset in plan
+            for k in range(lo // width[length], (hi - 1) // width[length] + 1)], width
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None) -> DataFrame:
     """``token_pieces`` with ``sequence_id`` and ``offset`` of each piece."""
     spark = docs.sparkSession
     pieces = written(token_pieces(docs, capacity, vocabulary), "pieces")
-    histogram = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = plan_slots(histogram, capacity)
-    salts = [1] * (capacity + 1)
-    for length, n in histogram.items():
-        salts[length] = -(-n // GROUP)
-    k = F.element_at(F.lit(salts), F.col("length").cast("int") + 1)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), k))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    shift = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select(
-        "length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(shift, ["length", "salt"]).withColumn(
-        "rank", F.col("own") + F.col("shift"))
-    # bounded by the plan's own length: a few ranges for each of at most `capacity` lengths
-    slots = spark.createDataFrame(plan or [(0, 0, 0, 0, 0)], "length bigint, lo bigint, hi bigint, first bigint, offset bigint")
-    if len(plan) <= 200_000:
+    counts = written(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "piece-counts")
+    histogram = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    plan, width = bucketed(plan_slots(histogram, capacity), histogram)
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    if counts.count() <= BROADCAST_ROWS:
+        shift = F.broadcast(shift)
+    # at most `capacity` numbers
+    widths = F.lit([width.get(x, 1) for x in range(capacity + 1)])
+    ranked = pieces.join(shift, ["length", "task"]).withColumn("rank", F.col("own") + F.col("shift")).withColumn(
+        "bucket", F.floor(F.col("rank") / F.element_at(widths, F.col("length").cast("int") + 1)).cast("bigint"))
+    slots = spark.createDataFrame(plan or [(0, 0, 0, 0, 0, 0)],
+                                  "length bigint, bucket bigint, lo bigint, hi bigint, first bigint, offset bigint")
+    if len(plan) <= BROADCAST_ROWS:
         slots = F.broadcast(slots)
-    return ranked.join(slots, "length").where("rank >= lo and rank < hi").select(
+    return ranked.join(slots, ["length", "bucket"]).where("rank >= lo and rank < hi").select(
         "doc_id", "piece", "start", "length", "ids", "ids_crc32",
         (F.col("first") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset")
