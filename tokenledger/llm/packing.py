@@ -194,8 +194,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = Non
     widths = F.lit([width.get(x, 1) for x in range(capacity + 1)])
     ranked = pieces.join(shift, ["length", "task"]).withColumn("rank", F.col("own") + F.col("shift")).withColumn(
         "bucket", F.floor(F.col("rank") / F.element_at(widths, F.col("length").cast("int") + 1)).cast("bigint"))
-    slots = spark.createDataFrame(plan or [(0, 0, 0, 0, 0, 0)],
-                                  "length bigint, bucket bigint, lo bigint, hi bigint, first bigint, offset bigint")
+    # as an Arrow table the plan needs no Python workers of its own
+    names = ["length", "bucket", "lo", "hi", "first", "offset"]
+    cols = np.array(plan or [(0, 0, 0, 0, 0, 0)], dtype=np.int64).T
+    slots = spark.createDataFrame(pa.table([pa.array(c) for c in cols], names))
     if len(plan) <= BROADCAST_ROWS:
         slots = F.broadcast(slots)
     return ranked.join(slots, ["length", "bucket"]).where("rank >= lo and rank < hi").select(

@@ -17,12 +17,14 @@ other columns of the input are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenledger.llm.common import (LOWER, NOT_SPACE, fold, giving_back, segment_sum, span_hash, spread_rows, text_chunks,
+from tokenledger.llm.common import (LOWER, NOT_SPACE, fold, giving_back, prepare, segment_sum, span_hash, spread_rows, text_chunks,
                                     word_spans, written)
 
 #: The classifier is fitted on at most about this many labelled rows (a hash
@@ -154,12 +156,9 @@ def _stack(batch: pa.RecordBatch, i: int = 0) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1).astype(np.float64)
 
 
-def fit(stats: DataFrame, labels: DataFrame, label: str, train_fold=None, max_rows: int = MAX_TRAIN_ROWS) -> Model | float:
-    """Fit on labelled rows; a constant when there is nothing to learn.
-
-    ``train_fold``: boolean column on ``doc_id`` naming the rows to learn from.
-    One fifth of them (by hash) calibrates, the rest fits the ridge.
-    """
+def training_labels(labels: DataFrame, label: str, train_fold=None, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame | float:
+    """``(doc_id, y)`` of at most about ``max_rows`` rows to learn from; a
+    constant when there is nothing to learn."""
     lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("double").alias("y")).where(
         F.col("doc_id").isNotNull() & F.col("y").isNotNull())
     if train_fold is not None:
@@ -172,7 +171,22 @@ def fit(stats: DataFrame, labels: DataFrame, label: str, train_fold=None, max_ro
     part = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
     if total[0] > max_rows:
         lab = lab.where(part < int(1_000_000 * max_rows / total[0]))
-    rows = written(stats.join(lab, "doc_id").select(
+    return lab
+
+
+def fit(stats: DataFrame, labels: DataFrame, label: str, train_fold=None, max_rows: int = MAX_TRAIN_ROWS) -> Model | float:
+    """Fit on labelled rows; a constant when there is nothing to learn.
+
+    ``train_fold``: boolean column on ``doc_id`` naming the rows to learn from.
+    One fifth of them (by hash) calibrates, the rest fits the ridge.
+    """
+    lab = training_labels(labels, label, train_fold, max_rows)
+    return fit_rows(stats.join(lab, "doc_id")) if isinstance(lab, DataFrame) else lab
+
+
+def fit_rows(known: DataFrame) -> Model | float:
+    """Fit on ``(doc_id, stats, y)``."""
+    rows = written(known.select(
         "stats", "y", (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(5)) == 0).alias("cal")).repartition(_FIT_PARTITIONS), "quality-train")
     width = len(statistics(np.zeros(0, np.uint8), np.zeros(2, np.int64))[0])
 
@@ -249,18 +263,25 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", t
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose predicted quality is 1, with their own columns."""
-    stats = written(features(docs), "quality-stats")
-    model = fit(stats, labels, label, fold(F.col("doc_id"), 5) != 0)
+    """The documents whose predicted quality is 1, with their own columns.
+
+    Only labelled rows get statistics for the fit; every row is then judged
+    where it stands, and only its text and the verdict pass through Python."""
+    prepare(docs)
+    model = lab = training_labels(labels, label, fold(F.col("doc_id"), 5) != 0)
+    if isinstance(lab, DataFrame):
+        # at most about MAX_TRAIN_ROWS ids, however often a label repeats: a proven bound
+        known = docs.join(F.broadcast(lab.select(F.col("doc_id").alias("__id")).distinct()),
+                          F.col("doc_id").cast("bigint") == F.col("__id"), "left_semi")
+        model = fit_rows(features(known).join(lab, "doc_id"))
     if not isinstance(model, Model):
         return docs if float(model) >= threshold else docs.where(F.lit(False))
 
-    def run(batches):
-        for b in batches:
-            at = b.schema.get_field_index("text")
-            texts = pa.RecordBatch.from_arrays([b.column(at)], ["text"])
-            for rows, data, off in text_chunks(texts):
-                ok = model.score(statistics(data, off)) >= threshold
-                yield b.slice(rows.start, rows.stop - rows.start).filter(pa.array(ok))
+    @F.arrow_udf("boolean")
+    def good(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            ok = [model.score(statistics(data, off)) >= threshold
+                  for _, data, off in text_chunks(pa.RecordBatch.from_arrays([texts], ["text"]))]
+            yield pa.array(np.concatenate([np.zeros(0, dtype=bool), *ok]))
 
-    return docs.mapInArrow(giving_back(run), docs.schema)
+    return docs.where(good(F.col("text").cast("string")))
