@@ -1,6 +1,7 @@
 """Held-out accuracy of the trained operators, and the pipeline."""
 
 import collections
+import math
 import re
 
 import numpy as np
@@ -36,6 +37,58 @@ def test_op4_mixtures_recover_shares():
     assert abs(pi[0] - 0.7) < 0.05 and pi[1] == 0 and abs(pi[2] - 0.3) < 0.05
 
 
+def _mixed_texts(languages, texts):
+    """Cells, word and text offsets of texts whose words are drawn from the languages named with their numbers."""
+    rng = np.random.default_rng(5)
+    table_ = np.log(rng.dirichlet(np.ones(langid.CELLS) * 0.02, languages).T + 1e-9).astype(np.float32)
+    cells, at, w = [], [0], [0]
+    for text in texts:
+        for lang, n in text:
+            p = np.exp(table_[:, lang].astype(float))
+            for _ in range(n):
+                cells.append(rng.choice(langid.CELLS, 6, p=p / p.sum()))
+                at.append(at[-1] + 6)
+        w.append(len(at) - 1)
+    return np.concatenate(cells), np.array(at), np.array(w), table_
+
+
+def test_op4_sets_have_no_fixed_size():
+    texts = [[(0, 30)], [(k, 40) for k in range(5)], [], [(k, 60) for k in range(7)], [(2, 20), (4, 20)]]
+    pi = langid.mixtures(*_mixed_texts(8, texts))
+    for row, text in zip(pi, texts):
+        total = sum(n for _, n in text)
+        assert {k for k, x in enumerate(row) if x > 0} == {lang for lang, _ in text}
+        assert all(abs(row[lang] - n / total) < 0.05 for lang, n in text)
+
+
+def test_op4_mixtures_equal_plain_python():
+    texts = [[(k % 4, 12), ((k + 1) % 4, 3 * (k % 3)), ((k + 2) % 4, k)] for k in range(10)]
+    cells, at, w, table_ = _mixed_texts(4, texts)
+    got = langid.mixtures(cells, at, w, table_)
+    for i in range(len(texts)):
+        like = []
+        for j in range(w[i], w[i + 1]):
+            ll = [sum(float(table_[c, k]) for c in cells[at[j]:at[j + 1]]) for k in range(4)]
+            like.append([max(math.exp(x - max(ll)), langid.FLOOR) for x in ll])
+
+        def em(pi, rounds):
+            for _ in range(rounds):
+                new = [0.0] * 4
+                for x in like:
+                    norm = sum(a * b for a, b in zip(x, pi))
+                    new = [t + a * b / norm for t, a, b in zip(new, x, pi)]
+                pi = [t / len(like) for t in new]
+            return pi, sum(math.log(sum(a * b for a, b in zip(x, pi))) for x in like)
+
+        share, _ = em([0.25] * 4, langid.ROUNDS)
+        order, sets = sorted(range(4), key=lambda k: -share[k]), []
+        for m in range(1, 5):
+            start = [max(share[k], 1e-3) if k in order[:m] else 0.0 for k in range(4)]
+            pi, fit = em([x / sum(start) for x in start], 0 if m == 1 else langid.ROUNDS // 2)
+            sets.append((fit - langid.PENALTY * (m - 1) * math.log(len(like) + 1), -m, pi))
+        assert np.allclose(got[i], max(sets)[2], atol=1e-6)
+
+
 def test_op9_held_out_accuracy(spark):
     docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
     got = quality.quality_scores(docs, labels).join(labels, "doc_id").where("held_out")

@@ -5,10 +5,12 @@ row per (language, trigram cell) they have seen, summed by a grouped
 aggregate over all rows to learn from; the table of at most ``CELLS`` numbers
 per language is all that travels.  A document is a mixture of languages:
 expectation-maximisation estimates the proportions from the likelihood of each
-word under every language, the candidate sets are the 1, 2, ... ``MAX_SET``
-languages with the largest proportions, and the set with the best likelihood
-less a penalty per extra language is kept.  The prediction is the language
-with the largest proportion in that set, which is also the score.
+word under every language, the candidate sets are the 1, 2, 3, ... languages
+with the largest proportions, grown until ``PATIENCE`` larger sets in a row bring
+no gain, and the set with the best likelihood less a penalty per extra language
+is kept, whatever its size.  The prediction is the language with the largest
+proportion in that set, which is also the score.  More than ``MAX_LANGUAGES``
+languages to learn are an error: the table of a language takes 256 KB.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 with nothing to learn from every text is ``und``; rows with a null lang are
@@ -21,14 +23,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenledger.llm.common import LOWER, fold, mix64, segment_sum, spread_rows, text_chunks, word_spans
+from tokenledger.llm.common import LOWER, fold, mix64, segment_sum, spread_rows, text_chunks, word_spans, written
 
 CELLS = 1 << 16
 MAX_LANGUAGES = 512
-MAX_SET = 3
+PATIENCE = 2
 ROUNDS = 8
 PENALTY = 3.0
 SMOOTH = 0.2
@@ -79,14 +82,14 @@ def learn(docs: DataFrame, keep: Column, text: str = "text", lang: str = "lang")
     rows = docs.where(keep & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     table = spread_rows(rows).mapInArrow(run, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    packed = table.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(packed) > MAX_LANGUAGES:
+    table = written(table, "language-counts")
+    names = [r["lang"] for r in table.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
+    if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    names = [r["lang"] for r in packed]
+    got = table.toArrow()  # at most CELLS rows of numbers a language
     counts = np.full((CELLS, max(len(names), 1)), SMOOTH)
-    for k, r in enumerate(packed):
-        got = np.array([(c["cell"], c["n"]) for c in r["cells"]], dtype=np.int64).reshape(-1, 2)
-        counts[got[:, 0], k] += got[:, 1]
+    column = pc.index_in(got["lang"], pa.array(names, pa.string())).to_numpy()
+    counts[got["cell"].to_numpy(), column] += got["n"].to_numpy()
     return names, np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
@@ -94,33 +97,41 @@ def mixtures(cell: np.ndarray, at: np.ndarray, w: np.ndarray, table: np.ndarray)
     """Proportions (rows x languages) of the language set kept for each row;
     zero rows for rows without words."""
     size = np.diff(w)
-    rows = np.repeat(np.arange(len(size)), size)
     k = table.shape[1]
     ll = segment_sum(table[cell].astype(np.float64), at)
     top = ll.max(axis=1, initial=-np.inf, keepdims=True) if len(ll) else ll
     like = np.maximum(np.exp(ll - top), FLOOR) if len(ll) else ll
     n = np.maximum(size, 1)[:, None]
 
-    def em(pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    def em(pi: np.ndarray, rounds: int, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions and log-likelihoods of the texts ``docs`` from the start ``pi``."""
+        own = np.repeat(np.arange(len(docs)), size[docs])
+        ends = np.append(0, np.cumsum(size[docs]))
+        mine = like if len(docs) == len(size) else like[np.repeat(w[:-1][docs] - ends[:-1], size[docs]) + np.arange(ends[-1])]
         for _ in range(rounds):
-            r = like * pi[rows]
+            r = mine * pi[own]
             r /= r.sum(axis=1, keepdims=True)
-            pi = segment_sum(r, w) / n
-        return pi, segment_sum(np.log((like * pi[rows]).sum(axis=1)), w)
+            pi = segment_sum(r, ends) / n[docs]
+        return pi, segment_sum(np.log((mine * pi[own]).sum(axis=1)), ends)
 
-    share, _ = em(np.full((len(size), k), 1.0 / k), ROUNDS)
+    live = np.arange(len(size))
+    share, _ = em(np.full((len(size), k), 1.0 / k), ROUNDS, live)
     order = np.argsort(-share, axis=1, kind="stable")
-    best = np.full(len(size), -np.inf)
+    best, since = np.full(len(size), -np.inf), np.zeros(len(size), dtype=np.int64)
     out = np.zeros((len(size), k))
-    for m in range(1, min(MAX_SET, k) + 1):
-        inside = np.zeros((len(size), k))
-        np.put_along_axis(inside, order[:, :m], 1.0, axis=1)
-        start = np.maximum(share, 1e-3) * inside
+    for m in range(1, k + 1):
+        inside = np.zeros((len(live), k))
+        np.put_along_axis(inside, order[live, :m], 1.0, axis=1)
+        start = np.maximum(share[live], 1e-3) * inside
         start /= start.sum(axis=1, keepdims=True)
-        pi, fit = em(start, 0 if m == 1 else ROUNDS // 2)
-        value = fit - PENALTY * (m - 1) * np.log(n[:, 0] + 1)
-        better = value > best
-        best[better], out[better] = value[better], pi[better]
+        pi, fit = em(start, 0 if m == 1 else ROUNDS // 2, live)
+        value = fit - PENALTY * (m - 1) * np.log(n[live, 0] + 1)
+        better = value > best[live]
+        best[live[better]], out[live[better]] = value[better], pi[better]
+        since[live] = np.where(better, 0, since[live] + 1)
+        live = live[since[live] < PATIENCE]
+        if not len(live):
+            break
     out[size == 0] = 0
     return out
 
