@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tokenledger.llm import (common, decontaminate, fingerprint, linededup, neardup, packing, queries, repeats, tokencount)
 from tokenledger.sources.tables import table
@@ -367,3 +368,18 @@ def test_hash_of_a_span_ignores_its_place():
     data = np.frombuffer(b"abc xabc  abd", np.uint8)
     h = common.span_hash(data, np.array([0, 5, 10, 0]), np.array([3, 8, 13, 2]))
     assert h[0] == h[1] and len(set(h.tolist())) == 3
+
+
+def test_op7_far_ids_do_not_crowd_a_range(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "ROWS_PER_BUCKET", 10)
+    ids = [*range(300), 1 << 62, -(1 << 62), *range(10**9, 10**9 + 40)]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(None, "none")], "doc_id bigint, text string")
+    borders = fingerprint._borders(docs)
+    cells = docs.select("doc_id", fingerprint._cell(borders).alias("cell"))
+    assert cells.groupBy("cell").count().agg(F.max("count")).first()[0] <= 20
+    for r in cells.collect():
+        assert r["cell"] == (-1 if r["doc_id"] is None else sum(b <= r["doc_id"] for b in borders))
+    want = sorted(ids, reverse=True) + [None]
+    follow = dict(zip(want, want[1:] + want[:1]))
+    for r in fingerprint.with_next(docs, ["doc_id", "text"]).collect():
+        assert r["next_doc_id"] == follow[r["doc_id"]]

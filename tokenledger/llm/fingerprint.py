@@ -8,7 +8,8 @@ complete; their union below it is the sketch of the merged document.  Only
 DataFrame functions are used.
 
 The next document (descending doc_id) is found without a global sort: ids are
-cut into at most ``MAX_BUCKETS`` ranges, each range is ordered on its own, and
+cut into at most ``MAX_BUCKETS`` ranges of about as many rows each, whatever the
+gaps between ids (rows of one id stay together), each range is ordered on its own, and
 the last row of a range takes the first row of the next non-empty range from a
 table with one row per range.
 
@@ -21,6 +22,7 @@ comes last; a single row is its own next document; no rows give no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -76,15 +78,36 @@ def with_likeness(df: DataFrame, one: str, two: str, out: str) -> DataFrame:
     return df.withColumn(out, contained).withColumn(f"{out}_jaccard", jaccard).drop("__t", "__a", "__b", "__i")
 
 
+def _borders(docs: DataFrame) -> list[int]:
+    """Ascending ids that cut the rows into ranges of about ``ROWS_PER_BUCKET``
+    rows: approximate quantiles, at most ``MAX_BUCKETS`` numbers."""
+    n = docs.agg(F.count("doc_id")).first()[0]
+    cells = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
+    if cells == 1:
+        return []
+    return sorted(set(docs.agg(F.percentile_approx("doc_id", [k / cells for k in range(1, cells)],
+                                                   max(10_000, 4 * cells))).first()[0]))
+
+
+def _cell(borders: list[int]) -> Column:
+    """Number of borders up to the id, -1 for a null id; looked up in two steps,
+    a row of about ``sqrt`` of the borders each."""
+    step = max(1, math.isqrt(len(borders)))
+    rows = [borders[k:k + step] for k in range(0, len(borders), step)] or [[]]
+
+    def up_to(numbers: Column) -> Column:
+        return F.size(F.filter(numbers, lambda b: b <= F.col("doc_id")))
+
+    at = up_to(F.lit([r[0] for r in rows[1:]]).cast("array<bigint>"))
+    own = up_to(F.element_at(F.lit(rows).cast("array<array<bigint>>"), at + 1))
+    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at * step + own).cast("bigint")
+
+
 def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``docs`` (doc_id, text) with the columns that ``derive`` adds, and
     ``next_<column>`` of the next document by descending doc_id; after the last
     document comes the first."""
-    lo, hi, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    cells = max(1, min(MAX_BUCKETS, -(-n // ROWS_PER_BUCKET)))
-    width = (float(hi) - float(lo) + 1.0) / cells if lo is not None else 1.0
-    cell = F.floor((F.col("doc_id").cast("double") - F.lit(float(lo or 0))) / F.lit(width)).cast("bigint")
-    docs = docs.withColumn("__cell", F.coalesce(cell, F.lit(-1).cast("bigint")))
+    docs = docs.withColumn("__cell", _cell(_borders(docs)))
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()]
     w = Window.partitionBy("__cell").orderBy(*order)
     # at most MAX_BUCKETS + 1 rows of two numbers: a proven bound
