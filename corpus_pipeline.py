@@ -16,12 +16,14 @@ from tokenledger.sources.tables import table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose predicted quality is low go."""
+    """Documents whose predicted quality is low go.  Every row is judged by its own
+    text (null: empty), repeated rows alike; with no labels to learn from all stay."""
     return quality.keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; ``n_chars`` follows a changed text."""
+    """Boilerplate lines of a source go; ``n_chars`` follows a changed text.  A null
+    text stays null, a document without a source is left as it is."""
     out = linededup.drop_boilerplate(docs)
     cols = [F.when(F.col("__dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col(c)).alias(c)
             if c == "n_chars" else F.col(c) for c in docs.columns]
@@ -29,17 +31,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
+    """One document of each near-duplicate group stays.  Texts without words and
+    rows with a null doc_id stay; rows that repeat a kept doc_id stay."""
     return neardup.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by benchmark passages go."""
+    """Documents contaminated by benchmark passages go, each row by its own text;
+    null and empty texts stay, and an empty benchmark drops nothing."""
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the remaining documents with their place in a sequence."""
+    """Token pieces of the remaining documents with their place in a sequence; a
+    null or empty text is its end token alone, equal rows take a place each."""
     return packing.pack(docs)
 
 
