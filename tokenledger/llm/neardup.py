@@ -49,6 +49,8 @@ SCREEN = 0.53
 #: Rows, and shingles in all, of a block of stage 3.
 BLOCK = 1000
 BLOCK_SHINGLES = 1 << 20
+#: Tasks that an arena's rows are dealt to while blocks are cut.
+SALTS = 16
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _MUL = mix64(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix64(np.arange(1001, SAMPLES + 1001, dtype=np.uint64))
@@ -215,7 +217,7 @@ def _labels(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 def _arenas(buckets: DataFrame, comps: DataFrame, sizes: DataFrame) -> DataFrame:
     """What is left to compare, as rows ``(arena, block, part, node, comp,
-    probe)``: the members of mixed buckets outside the bucket's largest
+    probe, blocks, parts)``: the members of mixed buckets outside the bucket's largest
     component (probes) meet that component and each other."""
     lab = _labels(buckets, comps)
     mixed = lab.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
@@ -233,12 +235,15 @@ def _arenas(buckets: DataFrame, comps: DataFrame, sizes: DataFrame) -> DataFrame
         return rows.groupBy("arena").agg(F.greatest(F.ceil(need), F.lit(1)).cast("int").alias(name))
 
     shape = written(count(every, "blocks").join(count(probes, "parts"), "arena"), "shape")
-    deal = lambda seed, k: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(k)).cast("int")
+    deal = lambda seed, k: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(k) if isinstance(k, str) else k).cast("int")
     upto = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    one = every.join(shape, "arena").select("arena", deal(1, "blocks").alias("block"), upto("parts").alias("part"),
-                                            "node", "comp", F.lit(False).alias("probe"))
-    two = probes.join(shape, "arena").select("arena", upto("blocks").alias("block"), deal(2, "parts").alias("part"),
-                                             "node", "comp", F.lit(True).alias("probe"))
+    # an arena's rows meet its shape in SALTS tasks, whatever their number
+    salted = shape.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    shaped = lambda rows: rows.withColumn("salt", deal(3, F.lit(SALTS))).join(salted, ["arena", "salt"])
+    one = shaped(every).select("arena", deal(1, "blocks").alias("block"), upto("parts").alias("part"),
+                               "node", "comp", F.lit(False).alias("probe"), "blocks", "parts")
+    two = shaped(probes).select("arena", upto("blocks").alias("block"), deal(2, "parts").alias("part"),
+                                "node", "comp", F.lit(True).alias("probe"), "blocks", "parts")
     return written(one.unionByName(two), "arenas")
 
 
@@ -290,8 +295,7 @@ def _rest(arenas: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     # small arenas share tasks of about BLOCK / 2 rows
     bins = max(1, arenas.count() // (BLOCK // 2))
     small = F.when((F.col("blocks") == 1) & (F.col("parts") == 1), F.pmod(F.xxhash64("arena"), F.lit(bins))).otherwise(F.col("arena"))
-    counted = arenas.groupBy("arena").agg((F.max("block") + 1).alias("blocks"), (F.max("part") + 1).alias("parts"))
-    rows = arenas.join(counted, "arena").withColumn("bin", small).withColumn("alone", (F.col("blocks") > 1) | (F.col("parts") > 1))
+    rows = arenas.withColumn("bin", small).withColumn("alone", (F.col("blocks") > 1) | (F.col("parts") > 1))
     return rows.join(texts, "node").select("bin", "alone", "block", "part", "arena", "node", "comp", "probe", "text").groupBy(
         "bin", "alone", "block", "part").applyInArrow(run, "a bigint, b bigint")
 
