@@ -12,6 +12,16 @@ list (count desc, first occurrence asc) we take several merges per job when
 one-by-one training would provably pick exactly those, in that order (see
 ``select_batch`` for the argument).
 
+Fragments
+---------
+A pair that occurs less often than the last rule to be learned is never merged,
+and neither is any pair that a merge makes out of it (it occurs no more often).
+So after one count of all words they are cut between the tokens of every pair
+below a floor, and the steps work on the distinct fragments with their summed
+frequencies (``cut_words``).  Every pair at or above the floor keeps its exact
+count and first occurrence; when no pair reaches the floor any more, the words
+are counted and cut again with a lower one.
+
 Fault tolerance: the working set is cached between steps and reliably
 checkpointed (``spark.checkpoint.dir``) every few steps, so a lost executor
 recomputes at most a few ``replace`` projections.
@@ -19,9 +29,11 @@ recomputes at most a few ``replace`` projections.
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +44,7 @@ from tokenledger.functions.tokens import apply_rules, char_to_id
 from tokenledger.operators.pairs import pair_counts, top_pairs
 from tokenledger.operators.train_index import Step, train_indexed
 from tokenledger.operators.words import first_key
-from tokenledger.session import drop_scratch, ensure_checkpoint_dir, materialize, num_partitions
+from tokenledger.session import bounded_workers, drop_scratch, ensure_checkpoint_dir, materialize, num_partitions
 
 RULES_SCHEMA = T.StructType([
     T.StructField("rank", T.IntegerType(), False),
@@ -86,7 +98,8 @@ def select_batch(ranked: list[Candidate], remaining: int, complete: bool) -> lis
     """Longest exact batch from the head of a ranked candidate list.
 
     ``complete`` says the list holds every candidate with enough count
-    (nothing unknown ranks above the minimum count).
+    (nothing unknown ranks above the minimum count, or the floor below which
+    words are cut: no listed pair is below it).
 
     Merging ``(a, b)`` only consumes a token that sits next to its partner,
     so it can destroy occurrences of ``(b, y)`` and ``(x, a)`` (the shared
@@ -140,10 +153,52 @@ INDEX_FROM = 128
 CHAIN_BUCKET = 4
 
 
+# Pairs kept uncut for each rule that is still to be learned, and besides.
+KEPT_PAIRS = 1.5
+MORE_KEPT = 16
+
+
 def _padded(n: int) -> int:
     return -(-n // CHAIN_BUCKET) * CHAIN_BUCKET
 
 
+def kept_pairs(ranked: list, k: int, min_count: int) -> tuple[set[str], int]:
+    """``(pairs, floor)`` from the ``k`` best pairs: all pairs with at least
+    ``floor`` occurrences.  Ties at the end of a full list are not all known."""
+    if len(ranked) < k:
+        return {r["pair"] for r in ranked}, min_count
+    floor = int(ranked[-1]["n"]) + 1
+    return {r["pair"] for r in ranked if r["n"] >= floor}, floor
+
+
+def cut_words(words: DataFrame, kept: set[str], shift: int) -> DataFrame:
+    """The distinct fragments, of two tokens or more, of words ``(tok, freq,
+    first)`` cut between the tokens of every pair that is not in ``kept``:
+    ``(tok, freq, first, blen)``, where ``first`` is the first occurrence of the
+    fragment, ``word key << shift | position``."""
+    rights: dict[str, set[str]] = {}
+    for a, b in kept:
+        rights.setdefault(a, set()).add(b)
+    one_of = lambda cs: "[" + "".join(re.escape(c) for c in sorted(cs)) + "]"
+    pattern = "(?:" + "|".join(f"{re.escape(a)}(?={one_of(bs)})" for a, bs in sorted(rights.items())) + ")+."
+
+    def run(batches):
+        found = re.compile(pattern, re.DOTALL).finditer
+        for b in batches:
+            toks, freqs, firsts = [], [], []
+            for tok, freq, first in zip(*(b.column(i).to_pylist() for i in range(3))):
+                for m in found(tok):
+                    toks.append(m[0])
+                    freqs.append(freq)
+                    firsts.append((first << shift) + m.start())
+            yield pa.RecordBatch.from_arrays([pa.array(toks, pa.string()), pa.array(freqs, pa.int64()), pa.array(firsts, pa.int64())],
+                                             names=["tok", "freq", "first"])
+
+    bounded_workers(words.sparkSession)
+    cut = words.select("tok", F.col("freq").cast("bigint"), "first").mapInArrow(run, "tok string, freq bigint, first bigint")
+    return cut.groupBy("tok").agg(F.sum("freq").alias("freq"), F.min("first").alias("first")).withColumn("blen", F.char_length("tok"))
+
+
 def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
               batched: bool = True, fetch: int = 64, checkpoint_every: int = 8,
               min_count: int = 2, written: bool = False, index_from: int = INDEX_FROM) -> TrainResult:
@@ -165,7 +220,8 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
 
     t_setup = time.perf_counter()
     keys = first_key(words.select("tok", "freq", "first").where(F.char_length("tok") >= 2), write=not written)
-    scratch, shift, max_len = keys.paths, keys.shift, keys.max_len
+    shift, max_len = keys.shift, keys.max_len
+    scratch: list[str] = []
     first = F.col("first") if shift is None else F.col("wkey")
     # The table's files give as many partitions as its size asks for; a table
     # with fewer is dealt out to one per WORDS_PER_PARTITION words.  The set
@@ -175,6 +231,7 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     current = num_partitions(base)
     if current is not None and current < parts:
         base = base.repartition(parts)
+    whole = base
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     result.setup_seconds = time.perf_counter() - t_setup
     # Each step reads the last written working set and re-applies the rules
@@ -184,22 +241,46 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
     since_ckpt = 0
     next_id = first_id
     recounted = num_merges if not batched or shift is None else min(num_merges, index_from)
+    # Pairs below the floor are cut or not all listed; ``cut`` says the working
+    # set is made of fragments, whose keys already hold a position.
+    floor, cut, cuttable, k_asked = min_count, False, batched and shift is not None, k_fetch
     try:
         while len(result.rules) < recounted:
             t_step = time.perf_counter()
             cur = base if not pending else base.select(
                 apply_rules("tok", pending, _padded(len(pending))).alias("tok"), "freq", "first",
                 "blen")
-            top = top_pairs(pair_counts(cur, shift=shift, max_len=max_len, route_len="blen"),
-                            k_fetch, min_count).collect()
+            counts = pair_counts(cur, shift=0 if cut else shift, max_len=max_len, route_len="blen")
+            if cuttable and (not cut or since_ckpt >= checkpoint_every > 0):
+                k_asked = max(2, int(KEPT_PAIRS * (recounted - len(result.rules))) + MORE_KEPT)
+                top = top_pairs(counts, k_asked, floor if cut else min_count).collect()
+                kept, least = kept_pairs(top, k_asked, floor if cut else min_count)
+                if not kept:  # nothing but ties: the working set stays as it is
+                    cuttable, floor = cut, floor if cut else min_count
+                else:
+                    result.jobs += 1
+                    floor = least
+                    pieces, p = materialize(cut_words(cur, kept, 0 if cut else shift), "train-fragments")
+                    base.unpersist()
+                    for old in scratch:
+                        drop_scratch(spark, old)
+                    scratch, base = [p], pieces.persist(StorageLevel.MEMORY_AND_DISK)
+                    cut, pending, since_ckpt = True, [], 0
+            else:
+                k_asked = k_fetch
+                top = top_pairs(counts, k_asked, floor).collect()
             result.jobs += 1
+            if not top and cut and floor > min_count:
+                base.unpersist()
+                base, pending, cut = whole, list(result.rules), False
+                continue
             if not top:
                 break
             ranked = [Candidate(char_to_id(r["pair"][0]), char_to_id(r["pair"][1]), int(r["n"]))
                       for r in top]
             if batched:
                 batch = select_batch(ranked, recounted - len(result.rules),
-                                     complete=len(top) < k_fetch)
+                                     complete=len(top) < k_asked)
             else:
                 batch = ranked[:1]
             for c in batch:
@@ -209,7 +290,7 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                 next_id += 1
             result.batches.append(len(batch))
             since_ckpt += 1
-            if (len(result.rules) < recounted and checkpoint_every > 0
+            if (not cut and len(result.rules) < recounted and checkpoint_every > 0
                     and since_ckpt >= checkpoint_every):
                 nxt = base.select(apply_rules("tok", pending, _padded(len(pending))).alias("tok"),
                                   "freq", "first")
@@ -227,12 +308,15 @@ def train_bpe(words: DataFrame, num_merges: int = 80, first_id: int = 256,
                 since_ckpt = 0
             result.step_seconds.append(round(time.perf_counter() - t_step, 3))
         if recounted == len(result.rules) < num_merges:
+            if cut:
+                base.unpersist()
+                base, pending = whole, list(result.rules)
             now = base if not pending else base.select(apply_rules("tok", pending).alias("tok"), "freq", "first")
             result.indexed = train_indexed(now.select("tok", "freq", "first"), shift, max_len, result, num_merges,
                                            min_count=min_count)
     finally:
         base.unpersist()
-        for p in scratch:
+        for p in [*scratch, *keys.paths]:
             drop_scratch(spark, p)
     return result
 

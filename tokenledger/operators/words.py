@@ -80,16 +80,18 @@ def _observed(df: DataFrame, columns: dict[str, Column]) -> list[_Field]:
 
 
 def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
-              weight: str | None = "weight") -> DataFrame:
+              weight: str | None = "weight", by: Sequence[str] = ()) -> DataFrame:
     """Distinct words with weighted frequency and first occurrence.
 
     Returns ``(word, freq bigint, first struct<*order, pos>)``.  The
     aggregation is partial (map-side) then final, so a hot word costs one
     row per partition in the shuffle.  The order columns are any integers,
-    also negative or null (nulls come first).
+    also negative or null (nulls come first).  ``by`` names columns that keep
+    words apart; they come before ``word``.
     """
+    group = [*by, "word"]
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    exploded = corpus.select(*order, w.alias("_w"), F.posexplode(words(text)).alias("pos", "word"))
+    exploded = corpus.select(*dict.fromkeys([*by, *order]), w.alias("_w"), F.posexplode(words(text)).alias("pos", "word"))
     fields = _observed(corpus, {n: F.col(n) for n in order})
     pos = F.col("pos")
     if sum(f.bits for f in fields) + _POS_BITS <= 63:
@@ -97,19 +99,19 @@ def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
         for f in fields:
             key = F.shiftleft(key, f.bits) + f.code(F.col(f.name), "bigint")
         key = F.shiftleft(key, _POS_BITS) + pos.cast("bigint")
-        agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
+        agg = exploded.groupBy(*group).agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
         rest, parts = F.shiftright("_k", _POS_BITS), []
         for f in reversed(fields):
             parts.append(f.decode(rest.bitwiseAND(F.lit((1 << f.bits) - 1)), "bigint").alias(f.name))
             rest = F.shiftright(rest, f.bits)
         at = F.col("_k").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).cast("int")
-        return agg.select("word", "freq", F.struct(*reversed(parts), at.alias("pos")).alias("first"))
+        return agg.select(*group, "freq", F.struct(*reversed(parts), at.alias("pos")).alias("first"))
     if sum(f.digits for f in fields) + _POS_DIGITS <= 38:
         key = _dec(0)
         for f in fields:
             key = (key * _dec(10 ** f.digits)).cast(_KEY) + f.code(F.col(f.name), _KEY)
         key = ((key * _dec(10 ** _POS_DIGITS)).cast(_KEY) + pos.cast(_KEY)).cast(_KEY)
-        agg = exploded.groupBy("word").agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
+        agg = exploded.groupBy(*group).agg(F.sum("_w").alias("freq"), F.min(key).alias("_k"))
 
         def cut(k: Column, digits: int) -> tuple[Column, Column]:
             low = (k % _dec(10 ** digits)).cast(_KEY)
@@ -120,8 +122,8 @@ def word_freq(corpus: DataFrame, order: Sequence[str], text: str = "text",
         for f in reversed(fields):
             rest, code = cut(rest, f.digits)
             parts.append(f.decode(code, _KEY).alias(f.name))
-        return agg.select("word", "freq", F.struct(*reversed(parts), at.cast("int").alias("pos")).alias("first"))
-    return (exploded.groupBy("word")
+        return agg.select(*group, "freq", F.struct(*reversed(parts), at.cast("int").alias("pos")).alias("first"))
+    return (exploded.groupBy(*group)
             .agg(F.sum("_w").alias("freq"), F.min(F.struct(*order, "pos")).alias("first")))
 
 
@@ -132,6 +134,25 @@ def word_table(corpus: DataFrame, order: Sequence[str], text: str = "text",
     return wf.select("word", utf8_byte_string("word").alias("tok"), "freq", "first")
 
 
+def word_tables(corpus: DataFrame, mixes: dict[str, Sequence[tuple[str, int]]]) -> dict[str, DataFrame]:
+    """The word table of several mixes ``[(source, weight), ...]`` from one pass
+    over a corpus ``(source, doc_ord, text)``: its words are counted by source
+    and written once, a mix then weights and joins the counts of its sources."""
+    from tokenledger.session import materialize
+
+    counted, _ = materialize(word_freq(corpus, ["doc_ord"], weight=None, by=["source"]), "source-words")
+    out = {}
+    for name, mix in mixes.items():
+        pick = lambda values: F.element_at(F.create_map(*[F.lit(x) for v in values for x in v]), F.col("source"))
+        rows = counted.where(F.col("source").isin([s for s, _ in mix])).select(
+            "word", (F.col("freq") * pick(mix).cast("bigint")).alias("freq"),
+            F.struct(pick([(s, i) for i, (s, _) in enumerate(mix)]).cast("int").alias("source_ord"),
+                     F.col("first.doc_ord").alias("doc_ord"), F.col("first.pos").alias("pos")).alias("first"))
+        out[name] = rows.groupBy("word").agg(F.sum("freq").alias("freq"), F.min("first").alias("first")).select(
+            "word", utf8_byte_string("word").alias("tok"), "freq", "first")
+    return out
+
+
 def rank_words(table: DataFrame, first: str = "first") -> tuple[DataFrame, int, list[str]]:
     """Dense, order-preserving rank of each distinct word by first occurrence.
 

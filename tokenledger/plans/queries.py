@@ -28,7 +28,7 @@ from tokenledger.operators.scan import VariantScan, scan_of
 from tokenledger.operators.segment_store import SegmentStore
 from tokenledger.operators.train import Rule, compression, frequent_word_rules, train_bpe
 from tokenledger.operators.vocab import BoltOn, LargeBoltOn, build_vocab, vocab_added
-from tokenledger.operators.words import WordKeys, first_key, word_freq, word_table
+from tokenledger.operators.words import WordKeys, first_key, word_freq, word_table, word_tables
 from tokenledger.plans import reports
 from tokenledger.session import materialize, scratch_path
 from tokenledger.sources import fixtures as fx
@@ -78,15 +78,23 @@ def train_documents(spark: SparkSession, sf: str, mix_name: str | None = None,
     return train_bpe(words_, num_merges, written=True).rules, words_
 
 
-def trained_many(spark: SparkSession, sf: str, mix_names: list[str | None]) -> dict[str | None, list[Rule]]:
-    """Train independent mixes concurrently (one driver thread each).
+def trained_many(spark: SparkSession, sf: str, mix_names: list[str]) -> dict[str, list[Rule]]:
+    """Train independent mixes concurrently (one driver thread each), from one
+    count of the words of all their languages.
 
     Each training is a chain of small dependent jobs; running the chains side
     by side lets the scheduler fill idle cores.
     """
+    mixes = {m: tb.DOCUMENT_MIXES[m] for m in mix_names}
+    langs = dict.fromkeys(lang for mix in mixes.values() for lang, _ in mix)
+    tables = word_tables(tb.documents_corpus(spark, sf, [(lang, 1) for lang in langs]), mixes)
+
+    def train(name: str) -> list[Rule]:
+        return train_bpe(materialize(tables[name], "words")[0], DOC_MERGES, written=True).rules
+
     with ThreadPoolExecutor(max_workers=len(mix_names)) as pool:
-        futures = {m: pool.submit(train_documents, spark, sf, m) for m in mix_names}
-        return {m: f.result()[0] for m, f in futures.items()}
+        futures = {m: pool.submit(train, m) for m in mix_names}
+        return {m: f.result() for m, f in futures.items()}
 
 
 def _doc_keys(spark: SparkSession, sf: str) -> WordKeys:

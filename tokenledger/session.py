@@ -103,6 +103,25 @@ def workers_import_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, *known) if x)
 
 
+#: Bytes of rows that Spark hands to a Python worker at a time (a smaller setting
+#: of the session stays), and settings by which workers give freed memory back.
+BATCH_BYTES = 4 << 20
+_WORKER_ENV = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(16 << 20), "MALLOC_TRIM_THRESHOLD_": str(32 << 20),
+               "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def bounded_workers(spark: SparkSession) -> None:
+    """Python workers that import this package and get bounded batches: the
+    setting by rows alone lets a batch of long texts take any size."""
+    workers_import_package(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None)
+    if now is None or not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    for k, v in _WORKER_ENV.items():
+        spark.sparkContext.environment.setdefault(k, v)
+
+
 def num_partitions(df) -> int | None:
     """Partition count of a DataFrame's plan, or None where the RDD view is
     not available (e.g. a Spark Connect session)."""
