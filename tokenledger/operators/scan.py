@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from tokenledger.functions.tokens import char_to_id, id_to_char
 from tokenledger.functions.vocab import BARRIER, BARRIER_BYTES
-from tokenledger.operators.queue_encode import MergeQueue
-from tokenledger.session import workers_import_package
+from tokenledger.operators.queue_encode import MergeQueue, slices
+from tokenledger.session import bounded_workers
 
 #: Entries of all variants together that one automaton may hold (about 100 MB a worker).
 SCAN_ENTRIES = 200_000
@@ -173,7 +173,7 @@ class VariantScan:
     def _column(self, df: DataFrame, text: str, out: list[T.StructField], method) -> DataFrame:
         """``df`` with columns computed from each text, null for a null text."""
         spark = df.sparkSession
-        workers_import_package(spark)
+        bounded_workers(spark)
         shared = spark.sparkContext.broadcast(([list(e) for e in self.variants.values()], self.rules))
         key, at, names = self._key, df.columns.index(text), [f.name for f in out]
         kept = [i for i, c in enumerate(df.columns) if c not in names]
@@ -183,7 +183,7 @@ class VariantScan:
 
         def run(batches):
             scan = _scanner(key, shared)
-            for b in batches:
+            for b in (part for whole in batches for part in slices(whole, at)):
                 rows = [(None,) * len(names) if t is None else method(scan, t) for t in b.column(at).to_pylist()]
                 cols = list(zip(*rows)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), *(pa.array(c, t) for c, t in zip(cols, types))],
@@ -202,13 +202,13 @@ class VariantScan:
         marks the ids it meets in bitmaps of ``BITMAP_BITS`` ids; their union is
         a native bitmap aggregate, so no id becomes a row."""
         spark = df.sparkSession
-        workers_import_package(spark)
+        bounded_workers(spark)
         shared = spark.sparkContext.broadcast(([list(e) for e in self.variants.values()], self.rules))
         key, names = self._key, [base, *self.variants]
 
         def run(batches):
             scan, used = _scanner(key, shared), [set() for _ in names]
-            for b in batches:
+            for b in (part for whole in batches for part in slices(whole, 0)):
                 for t in b.column(0).to_pylist():
                     for s, tokens in zip(used, scan.token_strings(t) if t else ()):
                         s.update(tokens)
